@@ -29,6 +29,9 @@ def get_session(master: str | None = None, app: str = "tillcast",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor.
+        conf["spark.driver.memory"] = os.environ.get("TILLCAST_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
