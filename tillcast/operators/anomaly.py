@@ -88,7 +88,9 @@ def category_anomalies(primary: DataFrame, fine: DataFrame, forecastable: DataFr
             "report_date",
             F.date_format("report_date", "EEEE").alias("day_name"),
             "metric_type",
-            F.round("actual_value", 2).alias("actual_value"),
+            # actual values are exact money / counts: round them as decimals (half-up),
+            # not as binary doubles.
+            F.round(F.col("actual_value").cast("decimal(38,4)"), 2).cast("double").alias("actual_value"),
             F.round("predicted_value", 2).alias("predicted_value"),
             F.round("lower_bound", 2).alias("lower_bound"),
             F.round("upper_bound", 2).alias("upper_bound"),

@@ -187,39 +187,39 @@ def d6_all_categories(spark, sf_dir):
 
 
 _DENSE_PRIMARY_SQL = """
-, b AS (SELECT min(report_date) AS lo, max(report_date) AS hi FROM item_sales),
-sp AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS report_date FROM b),
-se AS (SELECT DISTINCT location, primary_category FROM item_sales),
-act AS (SELECT report_date, location, primary_category, sum(net_sales) AS s, sum(quantity_sold) AS q
-        FROM item_sales GROUP BY report_date, location, primary_category),
+, pb AS (SELECT min(report_date) AS lo, max(report_date) AS hi FROM item_sales),
+psp AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS report_date FROM pb),
+pse AS (SELECT DISTINCT location, primary_category FROM item_sales),
+pact AS (SELECT report_date, location, primary_category, sum(net_sales) AS s, sum(quantity_sold) AS q
+         FROM item_sales GROUP BY report_date, location, primary_category),
 dense_primary AS (
-  SELECT sp.report_date, se.location, se.primary_category,
-         CAST(coalesce(act.s, 0) AS DOUBLE) AS total_sales, CAST(coalesce(act.q, 0) AS BIGINT) AS total_quantity
-  FROM sp CROSS JOIN se
-  LEFT JOIN act ON act.report_date = sp.report_date AND act.location = se.location
-                AND act.primary_category = se.primary_category
+  SELECT psp.report_date, pse.location, pse.primary_category,
+         CAST(coalesce(pact.s, 0) AS DOUBLE) AS total_sales, CAST(coalesce(pact.q, 0) AS BIGINT) AS total_quantity
+  FROM psp CROSS JOIN pse
+  LEFT JOIN pact ON pact.report_date = psp.report_date AND pact.location = pse.location
+                AND pact.primary_category = pse.primary_category
 )
 """
 
 _DENSE_FINE_SQL = """
-, b AS (SELECT min(report_date) AS lo, max(report_date) AS hi FROM item_sales),
-ac AS (SELECT location, primary_category, category, min(report_date) AS first_sale_date
-       FROM item_sales GROUP BY location, primary_category, category),
-cd AS (SELECT location, category, CAST(date_diff('day', min(first_sale_date), max(b.hi)) + 1 AS INTEGER) AS days
-       FROM ac CROSS JOIN b GROUP BY location, category),
-sp AS (SELECT CAST(unnest(generate_series(ac.first_sale_date, b.hi, INTERVAL 1 DAY)) AS DATE) AS report_date,
-              ac.location, ac.primary_category, ac.category
-       FROM ac CROSS JOIN b),
-act AS (SELECT report_date, location, primary_category, category, sum(net_sales) AS s, sum(quantity_sold) AS q
-        FROM item_sales GROUP BY report_date, location, primary_category, category),
+, fb AS (SELECT min(report_date) AS lo, max(report_date) AS hi FROM item_sales),
+fac AS (SELECT location, primary_category, category, min(report_date) AS first_sale_date
+        FROM item_sales GROUP BY location, primary_category, category),
+fcd AS (SELECT location, category, CAST(date_diff('day', min(first_sale_date), max(fb.hi)) + 1 AS INTEGER) AS days
+        FROM fac CROSS JOIN fb GROUP BY location, category),
+fsp AS (SELECT CAST(unnest(generate_series(fac.first_sale_date, fb.hi, INTERVAL 1 DAY)) AS DATE) AS report_date,
+               fac.location, fac.primary_category, fac.category
+        FROM fac CROSS JOIN fb),
+fact AS (SELECT report_date, location, primary_category, category, sum(net_sales) AS s, sum(quantity_sold) AS q
+         FROM item_sales GROUP BY report_date, location, primary_category, category),
 dense_fine AS (
-  SELECT sp.report_date, sp.location, sp.primary_category, sp.category,
-         CAST(coalesce(act.s, 0) AS DOUBLE) AS total_sales, CAST(coalesce(act.q, 0) AS BIGINT) AS total_quantity
-  FROM sp
-  LEFT JOIN act ON act.report_date = sp.report_date AND act.location = sp.location
-                AND act.primary_category = sp.primary_category AND act.category = sp.category
-  JOIN cd ON cd.location = sp.location AND cd.category = sp.category
-  WHERE cd.days >= 100
+  SELECT fsp.report_date, fsp.location, fsp.primary_category, fsp.category,
+         CAST(coalesce(fact.s, 0) AS DOUBLE) AS total_sales, CAST(coalesce(fact.q, 0) AS BIGINT) AS total_quantity
+  FROM fsp
+  LEFT JOIN fact ON fact.report_date = fsp.report_date AND fact.location = fsp.location
+                 AND fact.primary_category = fsp.primary_category AND fact.category = fsp.category
+  JOIN fcd ON fcd.location = fsp.location AND fcd.category = fsp.category
+  WHERE fcd.days >= 100
 )
 """
 
