@@ -206,9 +206,7 @@ def e6_sales_anomalies_tier1(spark, sf_dir):
         F.round("anomaly_probability", 6).alias("anomaly_probability"), "is_anomaly", "anomaly_type")
 
 
-@query("E11_category_anomalies_view",
-       q_core._DENSE_PRIMARY_SQL
-       + q_core._DENSE_FINE_SQL + f"""
+E11_CTE = (q_core._DENSE_PRIMARY_SQL + q_core._DENSE_FINE_SQL + f"""
 , up AS (
   SELECT report_date, location, primary_category AS name, CAST(NULL AS VARCHAR) AS cat,
          'sales' AS metric_type, CAST(total_sales AS DOUBLE) AS v FROM dense_primary
@@ -230,7 +228,8 @@ allz AS (
          CAST(NULL AS VARCHAR) AS parent_category, report_date, metric_type, v, m, sd FROM zp
   UNION ALL
   SELECT 'category', zf.location, zf.cat, fc.primary_category, report_date, metric_type, v, m, sd
-  FROM zf LEFT JOIN fc ON fc.location = zf.location AND fc.category = zf.cat)
+  FROM zf LEFT JOIN fc ON fc.location = zf.location AND fc.category = zf.cat),
+category_anomalies AS (
 SELECT granularity, location, category_name, parent_category, report_date, dayname(report_date) AS day_name,
        metric_type, CAST(round(CAST(v AS DECIMAL(38,4)), 2) AS DOUBLE) AS actual_value,
        round(m, 2) AS predicted_value,
@@ -239,7 +238,11 @@ SELECT granularity, location, category_name, parent_category, report_date, dayna
        abs((v - m) / NULLIF(sd, 0)) > 2.5 AS is_anomaly,
        CASE WHEN (v - m) / NULLIF(sd, 0) > 2.5 THEN 'spike' WHEN (v - m) / NULLIF(sd, 0) < -2.5 THEN 'drop'
             ELSE 'normal' END AS anomaly_type
-FROM allz""")
+FROM allz)
+""")
+
+
+@query("E11_category_anomalies_view", E11_CTE + "SELECT * FROM category_anomalies")
 def e11_category_anomalies_view(spark, sf_dir):
     prim = q_core.primary_anomalies(spark, sf_dir)
     fine = q_core.fine_anomalies(spark, sf_dir)
