@@ -37,6 +37,37 @@ def zscore_anomalies(series: DataFrame, keys: list[str], value_col: str = "actua
         .alias("anomaly_type"))
 
 
+def zscore_from_arrays(arr: DataFrame, keys: list[str]) -> DataFrame:
+    """E7 on series arrays (``series.series_arrays``): the same result as
+    ``zscore_anomalies`` on the exploded, unpivoted rows, but the statistics come
+    from the array itself (two passes over at most one value per day), so there is
+    no aggregate + join and the dense rows are never shuffled."""
+    metrics = F.array(
+        F.struct(F.lit("sales").alias("metric_type"),
+                 F.transform("vals", lambda v: v["total_sales"].cast("double")).alias("x")),
+        F.struct(F.lit("quantity").alias("metric_type"),
+                 F.transform("vals", lambda v: v["total_quantity"].cast("double")).alias("x")))
+    m = arr.select(*keys, "start", F.explode(metrics).alias("m")).select(
+        *keys, "start", "m.metric_type", F.col("m.x").alias("x"))
+    n = F.size("x").cast("double")
+    mean = F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v) / n
+    m = m.withColumn("mean_val", mean)
+    ss = F.aggregate("x", F.lit(0.0), lambda acc, v: acc + (v - F.col("mean_val")) * (v - F.col("mean_val")))
+    m = m.withColumn("stddev_val", F.when(n > 1, F.sqrt(ss / (n - 1))))
+    rows = m.select(*keys, "metric_type", "start", "mean_val", "stddev_val",
+                    F.posexplode("x").alias("i", "actual_value"))
+    z = (F.col("actual_value") - F.col("mean_val")) / F.nullif(F.col("stddev_val"), F.lit(0.0))
+    return rows.select(
+        F.date_add("start", F.col("i")).alias("report_date"), *keys, "metric_type", "actual_value",
+        F.col("mean_val").alias("predicted_value"),
+        (F.col("mean_val") - Z_THRESHOLD * F.col("stddev_val")).alias("lower_bound"),
+        (F.col("mean_val") + Z_THRESHOLD * F.col("stddev_val")).alias("upper_bound"),
+        (F.abs(z) / Z_PROBABILITY_SCALE).alias("anomaly_probability"),
+        (F.abs(z) > Z_THRESHOLD).alias("is_anomaly"),
+        F.when(z > Z_THRESHOLD, "spike").when(z < -Z_THRESHOLD, "drop").otherwise("normal")
+        .alias("anomaly_type"))
+
+
 def normal_cdf(x) -> F.Column:
     """Standard normal CDF as a Column expression (no UDF).
 

@@ -1,12 +1,13 @@
 """Date spine, category first-sale table, dense (zero-filled) series,
 forecastable categories and quality tiers.
 
-Dense series are days x series rows by definition. They are generated per series
-row (``explode(sequence(first, last))``), never by joining a spine to every
-category, and the actual sums are merged by one aggregation over
-``union(zeros, facts)``: one shuffle, map-side combined, instead of a cross join
-followed by a left join. The series length is bounded by the calendar, so no group
-grows with the fact table.
+Dense series are days x series rows by definition. They are never built by joining
+a spine to every category. Instead the fact is aggregated per (series, date)
+(map-side combined), the sparse points of each series are collected into one
+array (at most one entry per calendar day, so bounded by the calendar, not by the
+fact table), and the zero-filled value array is built in O(days) with array
+functions. Dense rows are generated after the last shuffle, so zeros are never
+shuffled, and per-series statistics (E7) read the same array without a join.
 """
 
 from __future__ import annotations
@@ -36,30 +37,66 @@ def all_categories(sales: DataFrame) -> DataFrame:
             .agg(F.min("report_date").alias("first_sale_date")))
 
 
-def _dense(keys: list[str], series: DataFrame, facts: DataFrame, start_col: str | None,
-           hi) -> DataFrame:
-    start = F.col(start_col) if start_col else None
-    zeros = series.select(
-        F.explode(F.sequence(start, hi)).alias("report_date"), *keys,
-        F.lit(0).cast("decimal(38,4)").alias("s"), F.lit(0).cast("bigint").alias("q"))
-    actual = facts.select("report_date", *keys,
-                          F.col("net_sales").cast("decimal(38,4)").alias("s"),
-                          F.col("quantity_sold").cast("bigint").alias("q"))
-    return (zeros.unionByName(actual)
-            .groupBy("report_date", *keys)
-            .agg(F.sum("s").cast("double").alias("total_sales"),
-                 F.sum("q").alias("total_quantity")))
+def series_arrays(facts: DataFrame, keys: list[str], start, hi) -> DataFrame:
+    """One row per series: keys, ``start`` date and ``vals`` = array of
+    struct(total_sales double, total_quantity bigint), one per day start..hi,
+    zero-filled.
+
+    ``start`` / ``hi`` are Columns (a global first date, or None for each series'
+    own first date; the last date). Facts with NULL keys never match an equality join in the
+    reference, so callers drop them before this step.
+    """
+    daily = facts.groupBy(*keys, "report_date").agg(
+        F.sum("net_sales").cast("double").alias("s"), F.sum("quantity_sold").cast("bigint").alias("q"))
+    pts = daily.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("report_date").alias("d"), "s", "q"))).alias("pts"))
+    zero = F.struct(F.lit(0.0).alias("total_sales"), F.lit(0).cast("bigint").alias("total_quantity"))
+
+    def fill(x, i):
+        prev_end = F.when(i == 0, F.date_sub(F.col("start"), 1)).otherwise(F.element_at(F.col("pts"), i)["d"])
+        gap = F.datediff(x["d"], prev_end) - 1
+        return F.concat(F.array_repeat(zero, gap),
+                        F.array(F.struct(x["s"].alias("total_sales"), x["q"].alias("total_quantity"))))
+
+    last_d = F.element_at(F.col("pts"), -1)["d"]
+    vals = F.concat(F.flatten(F.transform("pts", fill)),
+                    F.array_repeat(zero, F.datediff(F.col("hi"), last_d)))
+    if start is None:
+        start = F.element_at(F.col("pts"), 1)["d"]
+    return (pts.withColumn("start", start).withColumn("hi", hi)
+            .select(*keys, "start", vals.alias("vals")))
+
+
+def explode_series(arr: DataFrame, keys: list[str]) -> DataFrame:
+    """Series arrays -> dense rows (report_date, keys, total_sales, total_quantity)."""
+    return (arr.select(*keys, "start", F.posexplode("vals").alias("i", "v"))
+            .select(F.date_add("start", F.col("i")).alias("report_date"), *keys,
+                    F.col("v.total_sales").alias("total_sales"),
+                    F.col("v.total_quantity").alias("total_quantity")))
+
+
+def _with_zero_series(arr: DataFrame, zero_keys: DataFrame, keys, start, hi) -> DataFrame:
+    """Add all-zero series for keys that have no matching facts (e.g. NULL keys)."""
+    zero = F.struct(F.lit(0.0).alias("total_sales"), F.lit(0).cast("bigint").alias("total_quantity"))
+    z = zero_keys.select(*keys, start.alias("start"),
+                         F.array_repeat(zero, F.datediff(hi, start) + 1).alias("vals"))
+    return arr.unionByName(z)
 
 
 def primary_category_dense(sales: DataFrame) -> DataFrame:
     """Every spine date x every (location, primary_category) that ever sold,
     zero-filled. A NULL primary never matches an equality join in the reference, so
     its series stays all zeros: NULL-keyed facts are not merged in."""
+    return explode_series(primary_series_arrays(sales), ["location", "primary_category"])
+
+
+def primary_series_arrays(sales: DataFrame) -> DataFrame:
     lo, hi = spine_bounds(sales)
     keys = ["location", "primary_category"]
-    series = sales.select(*keys).distinct().withColumn("lo", lo)
     facts = sales.where(F.col("primary_category").isNotNull())
-    return _dense(keys, series, facts, "lo", hi)
+    arr = series_arrays(facts, keys, lo, hi)
+    null_series = sales.where(F.col("primary_category").isNull()).select(*keys).distinct()
+    return _with_zero_series(arr, null_series, keys, lo, hi)
 
 
 def category_days(sales: DataFrame) -> DataFrame:
@@ -80,12 +117,24 @@ def category_dense(sales: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFr
     Actuals are matched on (date, primary, category). ``category_dense_compat``
     reproduces the reference's join on category alone (fan-out across primaries).
     """
+    return explode_series(category_series_arrays(sales, min_days), ["location", "primary_category", "category"])
+
+
+def category_series_arrays(sales: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFrame:
+    """D8 as series arrays: one row per qualifying (location, primary, category)."""
     _, hi = spine_bounds(sales)
     keys = ["location", "primary_category", "category"]
-    series = category_days(sales).where(F.col("days_since_first_sale") >= min_days)
-    facts = sales.join(series.select(*keys), keys, "left_semi")
-    facts = facts.where(F.col("primary_category").isNotNull() & F.col("category").isNotNull())
-    return _dense(keys, series, facts, "first_sale_date", hi)
+    cats = all_categories(sales)
+    # Days are counted per category *name* (across primaries): a tiny aggregate of
+    # the per-series table, joined back (AQE broadcasts it).
+    per_cat = cats.groupBy("location", "category").agg(F.min("first_sale_date").alias("cat_first"))
+    ok = (cats.join(per_cat, ["location", "category"])
+          .where(F.datediff(hi, F.col("cat_first")) + 1 >= min_days)
+          .select(*keys, "first_sale_date"))
+    facts = sales.where(F.col("primary_category").isNotNull() & F.col("category").isNotNull())
+    arr = series_arrays(facts, keys, None, hi).join(ok.select(*keys), keys, "left_semi")
+    nulls = ok.where(F.col("primary_category").isNull() | F.col("category").isNull())
+    return _with_zero_series(arr, nulls, keys, F.col("first_sale_date"), hi)
 
 
 def category_dense_compat(sales: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFrame:

@@ -296,14 +296,12 @@ def _round6(df):
 
 def primary_anomalies(spark, sf_dir):
     keys = ["location", "primary_category"]
-    dense = series.primary_category_dense(tables(spark, sf_dir).item_sales)
-    return anomaly.zscore_anomalies(series.unpivot_metrics(dense, keys), keys + ["metric_type"])
+    return anomaly.zscore_from_arrays(series.primary_series_arrays(tables(spark, sf_dir).item_sales), keys)
 
 
 def fine_anomalies(spark, sf_dir):
     keys = ["location", "primary_category", "category"]
-    dense = series.category_dense(tables(spark, sf_dir).item_sales)
-    return anomaly.zscore_anomalies(series.unpivot_metrics(dense, keys), keys + ["metric_type"])
+    return anomaly.zscore_from_arrays(series.category_series_arrays(tables(spark, sf_dir).item_sales), keys)
 
 
 @query("E7_primary_category_anomalies",
