@@ -28,4 +28,4 @@ def query(key: str, sql: str | None = None):
 
 def load_all() -> None:
     # Importing the modules registers their queries.
-    from tillcast.plans import q_catalog, q_core, q_forecast, q_report  # noqa: F401
+    from tillcast.plans import q_catalog, q_core, q_forecast, q_report, q_sources  # noqa: F401

@@ -229,7 +229,13 @@ local_weather AS (
          CAST(CASE WHEN dayofyear(d) % 10 = 0 THEN NULL ELSE 4 + dayofyear(d) % 12 END AS DOUBLE)
            AS wind_speed_knots,
          CAST(CASE WHEN dayofyear(d) % 5 = 0 THEN NULL ELSE 5 + dayofyear(d) % 15 END AS DOUBLE)
-           AS wind_speed_mph
+           AS wind_speed_mph,
+         CAST(10 + dayofyear(d) % 20 AS DOUBLE) AS wind_gust_mph,
+         CAST(CASE WHEN month(d) IN (12, 1, 2) AND (dayofyear(d) * 11) % 10 < 2 THEN 73
+                   WHEN (dayofyear(d) * 13) % 10 < 3 THEN 61 ELSE dayofyear(d) % 4 END AS BIGINT) AS weather_code,
+         CAST((dayofyear(d) * 3) % 101 AS BIGINT) AS cloud_cover_pct,
+         CAST(30 + (dayofyear(d) * 5) % 70 AS BIGINT) AS humidity_pct,
+         CAST(dayofyear(d) % 11 AS DOUBLE) AS uv_index
   FROM cal WHERE dayofyear(d) % 17 <> 0
 ),
 weather_forecast AS (
@@ -244,7 +250,13 @@ weather_forecast AS (
                WHEN (dayofyear(d) * 13) % 10 < 3 THEN TRUE ELSE FALSE END)
            OR (dayofyear(d) * 37) % 101 > 30 AS rain_likely,
          (month(d) IN (12, 1, 2) AND (dayofyear(d) * 11) % 10 < 2) AS snow_likely,
-         CAST(5 + dayofyear(d) % 15 AS DOUBLE) AS wind_speed_mph
+         CAST(5 + dayofyear(d) % 15 AS DOUBLE) AS wind_speed_mph,
+         CAST(10 + dayofyear(d) % 20 AS DOUBLE) AS wind_gust_mph,
+         CAST(CASE WHEN month(d) IN (12, 1, 2) AND (dayofyear(d) * 11) % 10 < 2 THEN 73
+                   WHEN (dayofyear(d) * 13) % 10 < 3 THEN 61 ELSE dayofyear(d) % 4 END AS BIGINT) AS weather_code,
+         CAST((dayofyear(d) * 3) % 101 AS BIGINT) AS cloud_cover_pct,
+         CAST(30 + (dayofyear(d) * 5) % 70 AS BIGINT) AS humidity_pct,
+         CAST(dayofyear(d) % 11 AS DOUBLE) AS uv_index
   FROM (SELECT CAST(unnest(generate_series(hi + 1, hi + 14, INTERVAL 1 DAY)) AS DATE) AS d
         FROM bounds) f
 ),
