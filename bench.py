@@ -63,9 +63,8 @@ def main() -> None:
         "Q77_day_category_matrix": lambda: catalog.day_category_matrix(t),
     }
     try:
-        from tillcast.operators import report_recovery  # noqa: F401
-        from tillcast.plans import q_sources
-        jobs["B6_words_layout"] = lambda: q_sources.words_roundtrip(spark, sf_dir, fact=t.item_sales)
+        from tillcast.plans import q_recovery
+        jobs["B6_words_layout"] = lambda: q_recovery.words_roundtrip(spark, sf_dir, fact=t.item_sales)
     except ImportError:
         pass
 
