@@ -51,3 +51,120 @@ def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame
         if monthly:
             df = df.where(F.col("report_month") <= F.trunc(e, "month"))
     return df.select(*FACT_COLUMNS) if monthly else df
+
+
+# ---------------------------------------------------------------------------
+# G: idempotent maintenance. Each operation is a lazy DataFrame transform (the new
+# table content) plus a small write helper. Writes go through the shared staging
+# folder (spark.checkpoint.dir) whenever the target is also a source, so a lost
+# executor or a re-run never reads a half-written table.
+# ---------------------------------------------------------------------------
+
+def replace_keys(table: DataFrame, new_rows: DataFrame, keys=("report_date", "location")) -> DataFrame:
+    """Delete every row whose key appears in ``new_rows``, then insert them.
+    Running it twice gives the same table."""
+    keys = list(keys)
+    return table.join(new_rows.select(*keys).distinct(), keys, "left_anti").unionByName(new_rows)
+
+
+def replace_range(table: DataFrame, new_rows: DataFrame, start, end, location) -> DataFrame:
+    """Delete every date of [start, end] for ``location`` - including dates for
+    which ``new_rows`` has nothing - then insert ``new_rows``."""
+    d = F.col("report_date")
+    in_range = d.between(F.lit(start).cast("date"), F.lit(end).cast("date")) & (F.col("location") == location)
+    return table.where(~in_range).unionByName(new_rows)
+
+
+def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str = "weather_date") -> DataFrame:
+    """The incoming rows whose key is not in the table yet (one per key); existing
+    rows are never updated."""
+    return incoming.dropDuplicates([key]).join(existing.select(key), key, "left_anti")
+
+
+def align_schema(df: DataFrame, target: DataFrame) -> DataFrame:
+    """Add the target's missing columns (typed NULLs), in the target's order."""
+    cols = []
+    for f in target.schema.fields:
+        cols.append(F.col(f.name).cast(f.dataType) if f.name in df.columns
+                    else F.lit(None).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
+def overall_status(op_log: DataFrame, run_key: str = "run_id") -> DataFrame:
+    """Per run: 'partial_failure' if any operation failed, else 'success'."""
+    return op_log.groupBy(run_key).agg(
+        F.when(F.bool_or(F.col("status") == "failed"), "partial_failure").otherwise("success").alias("status"),
+        F.sum("record_count").alias("record_count"))
+
+
+def reports_due(candidates: DataFrame, report_log: DataFrame, recipients: DataFrame) -> DataFrame:
+    """(date, location) reports not yet sent successfully (a failed send is
+    retried), with the count of active recipients; none are due without recipients."""
+    sent = report_log.where(F.col("status") == "success").select("report_date", "location")
+    n = recipients.where(F.coalesce(F.col("active"), F.lit(False))).agg(F.count(F.lit(1)).alias("recipient_count"))
+    due = candidates.join(sent, ["report_date", "location"], "left_anti")
+    return due.join(n, how="cross").where(F.col("recipient_count") > 0)
+
+
+def report_log_row(report_date, location, status: str, recipient_count: int, error: str | None,
+                   spark: SparkSession, sent_at) -> DataFrame:
+    """One report-log row; the error message is cut to 500 characters."""
+    return spark.createDataFrame(
+        [(report_date, location, status, recipient_count, error)],
+        "report_date string, location string, status string, recipient_count int, error_message string",
+    ).select(F.to_date("report_date").alias("report_date"), "location",
+             F.lit(sent_at).cast("timestamp").alias("sent_at"), "status", "recipient_count",
+             F.substring("error_message", 1, 500).alias("error_message"))
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared staging folder and read it back (cuts lineage so a
+    table can be rewritten from its own content; survives executor loss)."""
+    import uuid
+
+    from tillcast.session import checkpoint_dir
+    path = f"{checkpoint_dir(df.sparkSession)}/stage-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def write_replace_partitions(new_content: DataFrame, path: str, partition_col: str = "report_date") -> None:
+    """Dynamic partition overwrite: only the partitions present in ``new_content``
+    are replaced (G3 / G10 / S3)."""
+    (new_content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+
+
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def apply_replace_keys(spark: SparkSession, path: str, new_rows: DataFrame,
+                       keys=("report_date", "location")) -> None:
+    """G3 on a stored fact (day grain): only the touched date partitions are read,
+    rebuilt (other locations kept, the new rows in) and overwritten."""
+    new_rows = new_rows.select(*FACT_COLUMNS)
+    cur = read_if_exists(spark, path)
+    if cur is None:
+        content = new_rows
+    else:
+        touched = cur.join(new_rows.select("report_date").distinct(), "report_date", "left_semi")
+        content = replace_keys(touched.select(*FACT_COLUMNS), new_rows, keys)
+    write_replace_partitions(stage(content, "replace"), path)
+
+
+def replace_if_not_empty(incoming: DataFrame, path: str) -> bool:
+    """Replace the whole table, unless the new content is empty."""
+    if not incoming.head(1):
+        return False
+    incoming.write.mode("overwrite").parquet(path)
+    return True
+
+
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Append log rows."""
+    rows.write.mode("append").parquet(path)
