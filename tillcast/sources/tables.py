@@ -144,17 +144,20 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def apply_replace_keys(spark: SparkSession, path: str, new_rows: DataFrame,
-                       keys=("report_date", "location")) -> None:
-    """G3 on a stored fact (day grain): only the touched date partitions are read,
-    rebuilt (other locations kept, the new rows in) and overwritten."""
+                       keys=("report_date", "location"), grain: str = "day") -> None:
+    """G3 on a stored fact: only the touched date (or month) partitions are read,
+    rebuilt (other keys kept, the new rows in), staged and overwritten."""
+    part = _part_col(grain)
     new_rows = new_rows.select(*FACT_COLUMNS)
+    if grain == "month":
+        new_rows = new_rows.withColumn("report_month", F.trunc("report_date", "month"))
     cur = read_if_exists(spark, path)
     if cur is None:
         content = new_rows
     else:
-        touched = cur.join(new_rows.select("report_date").distinct(), "report_date", "left_semi")
-        content = replace_keys(touched.select(*FACT_COLUMNS), new_rows, keys)
-    write_replace_partitions(stage(content, "replace"), path)
+        touched = cur.join(new_rows.select(part).distinct(), part, "left_semi")
+        content = replace_keys(touched.select(*new_rows.columns), new_rows, keys)
+    write_replace_partitions(stage(content, "replace"), path, part)
 
 
 def replace_if_not_empty(incoming: DataFrame, path: str) -> bool:
