@@ -16,7 +16,7 @@ import os
 import re
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -36,8 +36,9 @@ def main() -> None:
     from tillcast.sources import tables as T
     from tillcast.sources import testdata
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillcast-bench-")
-    fact_path = os.path.join(root, "item_sales")
+    from tillcast.session import checkpoint_dir
+    root = f"{checkpoint_dir(spark)}/bench-{uuid.uuid4().hex}"      # a fresh folder per run
+    fact_path = f"{root}/item_sales"
 
     t0 = time.time()
     T.write_fact(testdata.item_sales(spark, sf_dir), fact_path, grain=os.environ.get("BENCH_FACT_GRAIN", "month"))

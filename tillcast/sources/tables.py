@@ -30,9 +30,11 @@ def write_fact(df: DataFrame, path: str, mode: str = "overwrite", grain: str = "
     out = df.select(*FACT_COLUMNS)
     if grain == "month":
         out = out.withColumn("report_month", F.trunc("report_date", "month"))
+    # A full write replaces the whole table (static overwrite), whatever the
+    # session's partitionOverwriteMode is.
     (out.repartition(part)
         .sortWithinPartitions("report_date", "primary_category", "category")
-        .write.mode(mode).partitionBy(part).parquet(path))
+        .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(part).parquet(path))
 
 
 def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
