@@ -31,7 +31,7 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", app="tillcast-bench", shuffle_partitions=int(cpus) * 2)
 
     from tillcast.operators import anomaly, forecast, series
-    from tillcast.plans import catalog, q_forecast, report
+    from tillcast.plans import catalog, report
     from tillcast.plans.context import Tables
     from tillcast.sources import tables as T
     from tillcast.sources import testdata
@@ -56,8 +56,8 @@ def main() -> None:
         "E7_category_anomalies": lambda: anomaly.zscore_from_arrays(
             series.category_series_arrays(t.item_sales), fine_keys),
         "F3_period_comparisons": lambda: report.period_comparisons(t.daily_summary),
-        "E5_category_forecast_tier1": lambda: q_forecast.tier1(fine_dense(), fine_keys, "total_sales",
-                                                               "predicted_sales"),
+        "E5_category_forecast_tier1": lambda: forecast.tier1_from_arrays(
+            series.category_series_arrays(t.item_sales), fine_keys, "total_sales", value_name="predicted_sales"),
         "E3_category_forecast_tier2": lambda: forecast.tier2_forecast(
             forecast.tier2_fit(fine_dense(), fine_keys, "total_sales"), fine_keys,
             value_name="predicted_sales"),

@@ -92,6 +92,45 @@ def tier1_forecast(coef: DataFrame, seasonal: DataFrame, keys: list[str],
                     F.lit(confidence).alias("confidence_level"))
 
 
+def tier1_from_arrays(arr: DataFrame, keys: list[str], metric: str, horizon: int = DEFAULT_HORIZON,
+                      confidence: float = DEFAULT_CONFIDENCE, value_name: str = "predicted_value") -> DataFrame:
+    """Tier 1 on zero-filled series arrays (``series.series_arrays``): the same model
+    as ``tier1_fit`` + ``tier1_forecast``, computed in one projection per series with
+    array functions - slope / intercept from centred sums over the day index, the
+    seven weekday offsets, sigma - so no shuffle or join follows the series build."""
+    z = z_value(confidence)
+    y = F.transform("vals", lambda v: v[metric].cast("double"))
+    a = arr.select(*keys, "start", y.alias("y"))
+    n = F.size("y").cast("double")
+    ibar = (n - 1) / 2
+    a = a.withColumn("ybar", F.aggregate("y", F.lit(0.0), lambda acc, v: acc + v) / n)
+    sxy = F.aggregate(F.transform("y", lambda v, i: (i - ibar) * (v - F.col("ybar"))), F.lit(0.0),
+                      lambda acc, v: acc + v)
+    sxx = n * (n * n - 1) / 12
+    a = a.withColumn("slope", F.when(n > 1, sxy / sxx)).withColumn("icpt", F.col("ybar") - F.col("slope") * ibar)
+    dow0 = F.dayofweek("start")
+    a = a.withColumn("rd", F.transform("y", lambda v, i: F.struct(
+        (v - (F.col("icpt") + F.col("slope") * i)).alias("r"), ((dow0 - 1 + i) % 7 + 1).alias("dow"))))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("c"))
+    season = F.transform(F.sequence(F.lit(1), F.lit(7)), lambda d: F.aggregate(
+        F.filter("rd", lambda x: x["dow"] == d), zero,
+        lambda acc, x: F.struct((acc["s"] + x["r"]).alias("s"), (acc["c"] + 1).alias("c")),
+        lambda acc: F.try_divide(acc["s"], acc["c"].cast("double"))))
+    a = a.withColumn("season", season)
+    e = F.transform("rd", lambda x: x["r"] - F.coalesce(F.element_at("season", x["dow"]), F.lit(0.0)))
+    a = a.withColumn("e", e).withColumn("ebar", F.aggregate("e", F.lit(0.0), lambda acc, v: acc + v) / n)
+    ss = F.aggregate("e", F.lit(0.0), lambda acc, v: acc + (v - F.col("ebar")) * (v - F.col("ebar")))
+    a = a.withColumn("sigma", F.when(n > 1, F.sqrt(ss / (n - 1))))
+    f = a.select(*keys, "start", "icpt", "slope", "season", "sigma",
+                 F.explode(F.sequence(F.size("y"), F.size("y") + horizon - 1)).alias("i"))
+    dow = (F.dayofweek("start") - 1 + F.col("i")) % 7 + 1
+    yhat = F.col("icpt") + F.col("slope") * F.col("i") + F.coalesce(F.element_at("season", dow), F.lit(0.0))
+    return f.select(F.date_add("start", F.col("i")).alias("forecast_date"), *keys, yhat.alias(value_name),
+                    (yhat - z * F.col("sigma")).alias("lower_bound"),
+                    (yhat + z * F.col("sigma")).alias("upper_bound"),
+                    F.lit(confidence).alias("confidence_level"))
+
+
 # ---------------------------------------------------------------------------
 # Tier 2
 # ---------------------------------------------------------------------------

@@ -79,6 +79,13 @@ def tier1(history, keys, value, name):
     return forecast.tier1_forecast(coef, seas, keys, value_name=name)
 
 
+def tier1_dense(spark, sf_dir, keys, value, name):
+    """Tier 1 over the zero-filled primary / fine series (array form)."""
+    sales = tables(spark, sf_dir).item_sales
+    arr = series.primary_series_arrays(sales) if keys == PRIMARY_KEYS else series.category_series_arrays(sales)
+    return forecast.tier1_from_arrays(arr, keys, value, value_name=name)
+
+
 @query("E4_total_sales_forecast_tier1",
        _tier1_cte("daily_summary", TOTAL_KEYS, "total_net_sales", "tot")
        + _tier1_select("tot", TOTAL_KEYS, "predicted_sales"))
@@ -91,7 +98,7 @@ def e4_total_forecast_tier1(spark, sf_dir):
        q_core._DENSE_PRIMARY_SQL + _tier1_cte("dense_primary", PRIMARY_KEYS, "total_sales", "ps")
        + _tier1_select("ps", PRIMARY_KEYS, "predicted_sales"))
 def e5_primary_sales_tier1(spark, sf_dir):
-    out = tier1(_primary_dense(spark, sf_dir), PRIMARY_KEYS, "total_sales", "predicted_sales")
+    out = tier1_dense(spark, sf_dir, PRIMARY_KEYS, "total_sales", "predicted_sales")
     return _round_cols(out, ["predicted_sales", "lower_bound", "upper_bound"], 2)
 
 
@@ -99,7 +106,7 @@ def e5_primary_sales_tier1(spark, sf_dir):
        q_core._DENSE_PRIMARY_SQL + _tier1_cte("dense_primary", PRIMARY_KEYS, "total_quantity", "pq")
        + _tier1_select("pq", PRIMARY_KEYS, "predicted_quantity"))
 def e5_primary_qty_tier1(spark, sf_dir):
-    out = tier1(_primary_dense(spark, sf_dir), PRIMARY_KEYS, "total_quantity", "predicted_quantity")
+    out = tier1_dense(spark, sf_dir, PRIMARY_KEYS, "total_quantity", "predicted_quantity")
     return _round_cols(out, ["predicted_quantity", "lower_bound", "upper_bound"], 2)
 
 
@@ -107,7 +114,7 @@ def e5_primary_qty_tier1(spark, sf_dir):
        q_core._DENSE_FINE_SQL + _tier1_cte("dense_fine", FINE_KEYS, "total_sales", "cs")
        + _tier1_select("cs", FINE_KEYS, "predicted_sales"))
 def e5_category_sales_tier1(spark, sf_dir):
-    out = tier1(_fine_dense(spark, sf_dir), FINE_KEYS, "total_sales", "predicted_sales")
+    out = tier1_dense(spark, sf_dir, FINE_KEYS, "total_sales", "predicted_sales")
     return _round_cols(out, ["predicted_sales", "lower_bound", "upper_bound"], 2)
 
 
@@ -115,7 +122,7 @@ def e5_category_sales_tier1(spark, sf_dir):
        q_core._DENSE_FINE_SQL + _tier1_cte("dense_fine", FINE_KEYS, "total_quantity", "cq")
        + _tier1_select("cq", FINE_KEYS, "predicted_quantity"))
 def e5_category_qty_tier1(spark, sf_dir):
-    out = tier1(_fine_dense(spark, sf_dir), FINE_KEYS, "total_quantity", "predicted_quantity")
+    out = tier1_dense(spark, sf_dir, FINE_KEYS, "total_quantity", "predicted_quantity")
     return _round_cols(out, ["predicted_quantity", "lower_bound", "upper_bound"], 2)
 
 
@@ -147,9 +154,8 @@ FROM s1_fc s JOIN q1_fc q USING (forecast_date, {k})
 
 @query("E9_primary_category_forecast", _combined_sql(q_core._DENSE_PRIMARY_SQL, "dense_primary", PRIMARY_KEYS))
 def e9_primary_category_forecast(spark, sf_dir):
-    d = _primary_dense(spark, sf_dir)
-    s = tier1(d, PRIMARY_KEYS, "total_sales", "predicted_sales")
-    q = tier1(d, PRIMARY_KEYS, "total_quantity", "predicted_quantity")
+    s = tier1_dense(spark, sf_dir, PRIMARY_KEYS, "total_sales", "predicted_sales")
+    q = tier1_dense(spark, sf_dir, PRIMARY_KEYS, "total_quantity", "predicted_quantity")
     return forecast.combined_forecast(s, q, PRIMARY_KEYS)
 
 
@@ -160,9 +166,8 @@ def e9_primary_category_forecast(spark, sf_dir):
                       HAVING date_diff('day', min(report_date), DATE '{AS_OF}') >= 100) fc
       ON fc.location = s.location AND fc.category = s.category"""))
 def e10_category_forecast(spark, sf_dir):
-    d = _fine_dense(spark, sf_dir)
-    s = tier1(d, FINE_KEYS, "total_sales", "predicted_sales")
-    q = tier1(d, FINE_KEYS, "total_quantity", "predicted_quantity")
+    s = tier1_dense(spark, sf_dir, FINE_KEYS, "total_sales", "predicted_sales")
+    q = tier1_dense(spark, sf_dir, FINE_KEYS, "total_quantity", "predicted_quantity")
     fc = series.forecastable_categories(tables(spark, sf_dir).item_sales, AS_OF)
     return forecast.category_forecast_view(s, q, fc, FINE_KEYS)
 
