@@ -417,3 +417,121 @@ def category_mix_on(t):
     v = t.view.where(F.col("report_date") == _d(t.as_of))
     g = v.groupBy("location", "primary_category").agg(_money().alias("sales"))
     return g.withColumn("share", F.round(F.col("sales") / F.sum("sales").over(Window.partitionBy("location")), 6))
+
+
+# -- forecasts / weather forecasts / anomalies -------------------------------------------
+
+def forecast_window(fc: DataFrame, as_of, days=7, date_col="forecast_date") -> DataFrame:
+    """Q30/Q36: forecast rows of the ``days`` days after as_of."""
+    d = _d(as_of)
+    return fc.where((F.col(date_col) > d) & (F.col(date_col) <= F.date_add(d, days)))
+
+
+def forecast_on(fc: DataFrame, day: F.Column, date_col="forecast_date") -> DataFrame:
+    """Q32/Q35/Q38/Q41: forecast rows of one day (e.g. next Saturday, tomorrow)."""
+    return fc.where(F.col(date_col) == day)
+
+
+def next_saturday(as_of) -> F.Column:
+    return F.next_day(_d(as_of), "SAT")
+
+
+def rain_this_weekend(wf: DataFrame, as_of) -> DataFrame:
+    """Q37: rain likely on the coming Saturday or Sunday?"""
+    sat = next_saturday(as_of)
+    wk = wf.where(F.col("forecast_date").between(sat, F.date_add(sat, 1)))
+    return wk.agg(F.bool_or("rain_likely").alias("rain_likely"), F.count(F.lit(1)).alias("days"),
+                  F.max("precipitation_probability_pct").alias("max_probability_pct"))
+
+
+def next_rainy_day(wf: DataFrame, as_of) -> DataFrame:
+    """Q40: the first forecast day after as_of with rain likely."""
+    return wf.where(F.col("forecast_date") > _d(as_of)).agg(
+        F.min(F.when(F.col("rain_likely"), F.col("forecast_date"))).alias("next_rainy_day"))
+
+
+def forecast_sum(fc: DataFrame, keys, value, as_of, days=7) -> DataFrame:
+    """Q42: predicted total over the next ``days`` days per series."""
+    return forecast_window(fc, as_of, days).groupBy(*keys).agg(F.round(F.sum(value), 2).alias(f"{value}_sum"))
+
+
+def weekend_rank(fc: DataFrame, keys, part, value, as_of) -> DataFrame:
+    """Q44: series ranked by their predicted total on the coming weekend."""
+    sat = next_saturday(as_of)
+    wk = fc.where(F.col("forecast_date").between(sat, F.date_add(sat, 1)))
+    g = wk.groupBy(*keys).agg(F.round(F.sum(value), 2).alias("weekend_total"))
+    return top_n(g, part, [F.desc("weekend_total"), *[F.asc(k) for k in keys]], 1000)
+
+
+def forecast_matrix(fc: DataFrame, keys, value, as_of, days=7) -> DataFrame:
+    """Q46: next-7-day matrix, series x weekday (pivot with fixed values)."""
+    w = forecast_window(fc, as_of, days)
+    return w.groupBy(*keys).pivot("day_name", DAY_NAMES).agg(F.round(F.sum(value), 2))
+
+
+def anomalies_since(an: DataFrame, as_of, days=None, months=None, kind=None, extra=None) -> DataFrame:
+    """Q47-Q49/Q51-Q53: anomalous rows, optionally of one type / recent window / filter."""
+    a = an.where(F.col("is_anomaly"))
+    d = _d(as_of)
+    if days is not None:
+        a = a.where((F.col("report_date") > F.date_sub(d, days)) & (F.col("report_date") <= d))
+    if months is not None:
+        a = a.where((F.col("report_date") > F.add_months(d, -months)) & (F.col("report_date") <= d))
+    if kind is not None:
+        a = a.where(F.col("anomaly_type") == kind)
+    if extra is not None:
+        a = a.where(extra)
+    return a
+
+
+def weekly_actuals_with_forecast(ds: DataFrame, fc: DataFrame) -> DataFrame:
+    """Q79: weekly actual sales and weekly forecast sales, tagged by kind."""
+    # actual sums are exact 4-decimal money: round them as decimals (half-up)
+    act = ds.groupBy("location", F.date_trunc("week", "report_date").cast("date").alias("week")).agg(
+        F.round(F.sum("total_net_sales").cast("decimal(38,4)"), 2).cast("double").alias("sales")) \
+        .withColumn("kind", F.lit("actual"))
+    f = fc.groupBy("location", F.date_trunc("week", "forecast_date").cast("date").alias("week")).agg(
+        F.round(F.sum("predicted_sales"), 2).alias("sales")).withColumn("kind", F.lit("forecast"))
+    return act.unionByName(f)
+
+
+def kpi_row(day: DataFrame, comparisons: DataFrame, as_of) -> DataFrame:
+    """Q88/Q93/Q118: the day's KPIs with week / month / year changes."""
+    d = _d(as_of)
+    c = comparisons.where(F.col("report_date") == d).drop("day_name", "current_sales", "current_quantity")
+    return day.where(F.col("report_date") == d).join(c, ["report_date", "location"], "left")
+
+
+def insights(trending: DataFrame, anomalies: DataFrame, best_events: DataFrame, as_of, n=3) -> DataFrame:
+    """Q90/Q92: one list of insights - top movers, recent anomalies, best event."""
+    t = top_n(trending, ["location"], [F.desc("growth_pct"), F.asc("item_name")], n).select(
+        F.lit("trending_item").alias("kind"), "location", F.col("item_name").alias("subject"),
+        F.col("growth_pct").cast("double").alias("metric"), F.lit(None).cast("date").alias("report_date"))
+    a = anomalies_since(anomalies, as_of, days=30).select(
+        F.lit("anomaly").alias("kind"), "location", F.col("anomaly_type").alias("subject"),
+        F.col("actual_sales").cast("double").alias("metric"), "report_date")
+    e = best_events.orderBy(F.desc("avg_daily_sales"), "event_name").limit(1).select(
+        F.lit("best_event").alias("kind"), F.lit(None).cast("string").alias("location"),
+        F.col("event_name").alias("subject"), F.col("avg_daily_sales").cast("double").alias("metric"),
+        F.lit(None).cast("date").alias("report_date"))
+    return t.unionByName(a).unionByName(e)
+
+
+def backtest(history: DataFrame, keys, value, origin, horizon=14, confidence=0.9) -> DataFrame:
+    """Q33: rolling-origin accuracy - fit on history up to ``origin``, forecast the next
+    ``horizon`` days, compare with actuals: MAE, MAPE (non-zero actuals), coverage."""
+    from tillcast.operators import forecast as FC
+    o = _d(origin)
+    train = history.where(F.col("report_date") <= o)
+    coef, seas = FC.tier1_fit(train, keys, value)
+    fc = FC.tier1_forecast(coef, seas, keys, horizon, confidence)
+    act = history.where((F.col("report_date") > o) & (F.col("report_date") <= F.date_add(o, horizon))) \
+        .select(*keys, F.col("report_date").alias("forecast_date"), F.col(value).cast("double").alias("actual"))
+    j = fc.join(act, [*keys, "forecast_date"])
+    err = F.abs(F.col("actual") - F.col("predicted_value"))
+    return j.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("points"),
+        F.round(F.avg(err), 2).alias("mae"),
+        F.round(100 * F.avg(F.when(F.col("actual") != 0, err / F.abs(F.col("actual")))), 2).alias("mape_pct"),
+        F.round(F.avg(F.col("actual").between(F.col("lower_bound"), F.col("upper_bound")).cast("double")), 4)
+        .alias("coverage"))

@@ -335,3 +335,178 @@ q("Q112_category_mix_on_as_of", f"""
         WHERE report_date = DATE '{AS_OF}' GROUP BY ALL)
 SELECT *, round(sales / sum(sales) OVER (PARTITION BY location), 6) AS share FROM g
 """, C.category_mix_on)
+
+
+# -- forecasts, weather forecasts and anomalies -------------------------------------------
+
+from tillcast.operators import anomaly  # noqa: E402
+from tillcast.plans import q_forecast  # noqa: E402
+from tillcast.plans import report as R  # noqa: E402
+
+_Z = q_forecast.Z90
+_TOT = q_forecast._tier1_cte("daily_summary", ["location"], "total_net_sales", "tot")
+_SAT = f"(DATE '{AS_OF}' + CAST(7 - (dayofweek(DATE '{AS_OF}') + 1) % 7 AS INTEGER))"   # next Saturday (strict)
+
+
+def _e8(t):
+    return q_forecast.e8_sales_forecast_view(t.spark, t.sf_dir)
+
+
+def _e9(t):
+    return q_forecast.e9_primary_category_forecast(t.spark, t.sf_dir)
+
+
+_E8_SEL = f"""SELECT forecast_date, location, round(yhat, 2) AS predicted_sales,
+       round(yhat - {_Z!r} * sigma, 2) AS lower_bound, round(yhat + {_Z!r} * sigma, 2) AS upper_bound,
+       0.9 AS confidence_level, dayname(forecast_date) AS day_name,
+       dayofweek(forecast_date) IN (0, 6) AS is_weekend FROM tot_fc"""
+
+q("Q30_forecast_next_7_days", _TOT + f", e8 AS ({_E8_SEL}) SELECT * FROM e8 WHERE forecast_date > DATE '{AS_OF}' "
+  f"AND forecast_date <= DATE '{AS_OF}' + 7", lambda t: C.forecast_window(_e8(t), AS_OF))
+q("Q32_forecast_next_saturday", _TOT + f", e8 AS ({_E8_SEL}) SELECT * FROM e8 WHERE forecast_date = {_SAT}",
+  lambda t: C.forecast_on(_e8(t), C.next_saturday(AS_OF)))
+
+_WF = ("SELECT forecast_date, high_temp_f, low_temp_f, precipitation_probability_pct, rain_likely, snow_likely "
+       "FROM weather_forecast")
+
+
+def _wf(t):
+    return t.forecast_weather.select("forecast_date", "high_temp_f", "low_temp_f", "precipitation_probability_pct",
+                                     "rain_likely", "snow_likely")
+
+
+q("Q35_weather_tomorrow", f"{_WF} WHERE forecast_date = DATE '{AS_OF}' + 1",
+  lambda t: C.forecast_on(_wf(t), F.date_add(F.lit(AS_OF).cast("date"), 1)))
+q("Q36_weather_next_7_days", f"{_WF} WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7",
+  lambda t: C.forecast_window(_wf(t), AS_OF))
+q("Q37_rain_this_weekend", f"""
+SELECT bool_or(rain_likely) AS rain_likely, count(*) AS days, max(precipitation_probability_pct) AS max_probability_pct
+FROM weather_forecast WHERE forecast_date BETWEEN {_SAT} AND {_SAT} + 1
+""", lambda t: C.rain_this_weekend(t.forecast_weather, AS_OF))
+q("Q38_high_next_saturday", f"{_WF} WHERE forecast_date = {_SAT}",
+  lambda t: C.forecast_on(_wf(t), C.next_saturday(AS_OF)))
+q("Q40_next_rainy_day", f"""
+SELECT min(CASE WHEN rain_likely THEN forecast_date END) AS next_rainy_day FROM weather_forecast
+WHERE forecast_date > DATE '{AS_OF}'
+""", lambda t: C.next_rainy_day(t.forecast_weather, AS_OF))
+
+_E9_CTE = q_forecast._combined_sql(q_core._DENSE_PRIMARY_SQL, "dense_primary", q_forecast.PRIMARY_KEYS)
+_E9_AS = _E9_CTE.replace("\nSELECT s.forecast_date,", "\n, e9 AS (SELECT s.forecast_date,", 1) + ")\n"
+
+q("Q41_primary_qty_tomorrow", _E9_AS + f"SELECT * FROM e9 WHERE forecast_date = DATE '{AS_OF}' + 1",
+  lambda t: C.forecast_on(_e9(t), F.date_add(F.lit(AS_OF).cast("date"), 1)))
+q("Q42_primary_qty_next_week", _E9_AS + f"""
+SELECT location, primary_category, round(sum(predicted_quantity), 2) AS predicted_quantity_sum FROM e9
+WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7 GROUP BY ALL
+""", lambda t: C.forecast_sum(_e9(t), ["location", "primary_category"], "predicted_quantity", AS_OF))
+q("Q44_primary_weekend_rank", _E9_AS + f"""
+, g AS (SELECT location, primary_category, round(sum(predicted_quantity), 2) AS weekend_total FROM e9
+        WHERE forecast_date BETWEEN {_SAT} AND {_SAT} + 1 GROUP BY ALL)
+SELECT *, {_rank("location", "weekend_total DESC, location, primary_category")} FROM g
+""", lambda t: C.weekend_rank(_e9(t), ["location", "primary_category"], ["location"], "predicted_quantity", AS_OF))
+q("Q46_primary_forecast_matrix", _E9_AS + "SELECT location, primary_category, " + ", ".join(
+    f"round(sum(CASE WHEN day_name = '{d}' THEN predicted_sales END), 2) AS {d}" for d in C.DAY_NAMES)
+  + f" FROM e9 WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7 GROUP BY ALL",
+  lambda t: C.forecast_matrix(_e9(t), ["location", "primary_category"], "predicted_sales", AS_OF))
+
+_E6_AS = q_forecast.E6_SQL.replace("\nSELECT report_date, location, actual AS actual_sales",
+                                    "\n, e6 AS (SELECT report_date, location, actual AS actual_sales", 1) + ")\n"
+_E11_AS = q_forecast.E11_CTE
+
+
+def _e6(t):
+    return q_forecast.e6_sales_anomalies_tier1(t.spark, t.sf_dir)
+
+
+def _e11(t):
+    return q_forecast.e11_category_anomalies_view(t.spark, t.sf_dir)
+
+
+q("Q47_sales_anomalies", _E6_AS + "SELECT * FROM e6 WHERE is_anomaly", lambda t: C.anomalies_since(_e6(t), AS_OF))
+q("Q48_sales_spikes", _E6_AS + "SELECT * FROM e6 WHERE is_anomaly AND anomaly_type = 'spike'",
+  lambda t: C.anomalies_since(_e6(t), AS_OF, kind="spike"))
+q("Q49_sales_anomalies_last_month", _E6_AS + f"""
+SELECT * FROM e6 WHERE is_anomaly AND report_date > CAST(DATE '{AS_OF}' - INTERVAL 1 MONTH AS DATE)
+  AND report_date <= DATE '{AS_OF}'
+""", lambda t: C.anomalies_since(_e6(t), AS_OF, months=1))
+q("Q51_category_anomalies_by_name", _E11_AS + f"""
+SELECT * FROM category_anomalies WHERE is_anomaly AND category_name = '{PRIMARY}'
+""", lambda t: C.anomalies_since(_e11(t), AS_OF, extra=F.col("category_name") == PRIMARY))
+q("Q52_category_anomalies_last_week", _E11_AS + f"""
+SELECT * FROM category_anomalies WHERE is_anomaly AND report_date > DATE '{AS_OF}' - 7
+  AND report_date <= DATE '{AS_OF}'
+""", lambda t: C.anomalies_since(_e11(t), AS_OF, days=7))
+q("Q53_quantity_spikes_last_30_days", _E11_AS + f"""
+SELECT * FROM category_anomalies WHERE is_anomaly AND anomaly_type = 'spike' AND metric_type = 'quantity'
+  AND report_date > DATE '{AS_OF}' - 30 AND report_date <= DATE '{AS_OF}'
+""", lambda t: C.anomalies_since(_e11(t), AS_OF, days=30, kind="spike", extra=F.col("metric_type") == "quantity"))
+
+
+def _item_spikes(t):
+    """Q50: z-score spikes of every item's zero-filled daily series (per location)."""
+    keys = ["location", "item_name"]
+    sales = t.item_sales
+    lo, hi = series.spine_bounds(sales)
+    arr = series.series_arrays(sales.where(F.col("item_name").isNotNull()), keys, lo, hi)
+    z = anomaly.zscore_from_arrays(arr, keys)
+    out = z.where(F.col("anomaly_type") == "spike")
+    for c in ("predicted_value", "lower_bound", "upper_bound", "anomaly_probability"):
+        out = out.withColumn(c, F.round(c, 6))
+    return out
+
+
+q("Q50_item_spikes", """
+, ib AS (SELECT min(report_date) AS lo, max(report_date) AS hi FROM item_sales),
+isp AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS report_date FROM ib),
+ise AS (SELECT DISTINCT location, item_name FROM item_sales),
+iact AS (SELECT report_date, location, item_name, sum(net_sales) AS s, sum(quantity_sold) AS q
+         FROM item_sales GROUP BY ALL),
+idense AS (SELECT isp.report_date, ise.location, ise.item_name, CAST(coalesce(iact.s, 0) AS DOUBLE) AS total_sales,
+                  CAST(coalesce(iact.q, 0) AS BIGINT) AS total_quantity
+           FROM isp CROSS JOIN ise LEFT JOIN iact ON iact.report_date = isp.report_date
+                AND iact.location = ise.location AND iact.item_name = ise.item_name),
+unp AS (SELECT report_date, location, item_name, 'sales' AS metric_type, total_sales AS v FROM idense
+        UNION ALL SELECT report_date, location, item_name, 'quantity', CAST(total_quantity AS DOUBLE) FROM idense),
+st AS (SELECT location, item_name, metric_type, avg(v) AS m, stddev_samp(v) AS sd FROM unp GROUP BY ALL),
+z AS (SELECT u.*, st.m, st.sd, (u.v - st.m) / NULLIF(st.sd, 0) AS z FROM unp u JOIN st USING (location, item_name, metric_type))
+SELECT report_date, location, item_name, metric_type, v AS actual_value, round(m, 6) AS predicted_value,
+       round(m - 2.5 * sd, 6) AS lower_bound, round(m + 2.5 * sd, 6) AS upper_bound,
+       round(abs(z) / 4.0, 6) AS anomaly_probability, abs(z) > 2.5 AS is_anomaly, 'spike' AS anomaly_type
+FROM z WHERE z > 2.5
+""", _item_spikes)
+q("Q79_weekly_actuals_with_forecast", _TOT + f"""
+, e8 AS ({_E8_SEL})
+SELECT location, CAST(date_trunc('week', report_date) AS DATE) AS week,
+       CAST(round(CAST(sum(total_net_sales) AS DECIMAL(38,4)), 2) AS DOUBLE) AS sales,
+       'actual' AS kind FROM daily_summary GROUP BY ALL
+UNION ALL
+SELECT location, CAST(date_trunc('week', forecast_date) AS DATE) AS week, round(sum(predicted_sales), 2) AS sales,
+       'forecast' AS kind FROM e8 GROUP BY ALL
+""", lambda t: C.weekly_actuals_with_forecast(t.daily_summary, _e8(t)))
+
+from tillcast.plans import q_report  # noqa: E402
+
+q("Q88_kpi_row", q_report._F3_CTE + f"""
+SELECT d.location, d.report_date, d.total_net_sales, d.total_quantity_sold, d.total_discount, d.unique_items_sold,
+       d.line_item_count, d.avg_temp_f, d.max_temp_f, d.min_temp_f, d.precipitation_in, d.had_rain, d.had_snow,
+       d.event_names, d.event_count, d.day_name, d.is_weekend, f3.wow_sales_pct, f3.wow_qty_pct, f3.mom_sales_pct,
+       f3.mom_qty_pct, f3.yoy_sales_pct, f3.yoy_qty_pct
+FROM daily_summary d LEFT JOIN f3 USING (report_date, location) WHERE d.report_date = DATE '{AS_OF}'
+""", lambda t: C.kpi_row(R.day_summary(t.daily_summary), R.period_comparisons(t.daily_summary), AS_OF))
+
+_Q33_TRAIN = f"""
+, bt_hist AS (SELECT * FROM daily_summary WHERE report_date <= DATE '{AS_OF}' - 28)
+"""
+q("Q33_forecast_backtest", _Q33_TRAIN + q_forecast._tier1_cte("bt_hist", ["location"], "total_net_sales", "bt")
+  + f"""
+, act AS (SELECT location, report_date AS forecast_date, CAST(total_net_sales AS DOUBLE) AS actual FROM daily_summary
+          WHERE report_date > DATE '{AS_OF}' - 28 AND report_date <= DATE '{AS_OF}' - 28 + 14),
+j AS (SELECT f.location, f.yhat, f.yhat - {_Z!r} * f.sigma AS lo, f.yhat + {_Z!r} * f.sigma AS hi, a.actual
+      FROM bt_fc f JOIN act a ON a.location = f.location AND a.forecast_date = f.forecast_date)
+SELECT location, count(*) AS points, round(avg(abs(actual - yhat)), 2) AS mae,
+       round(100 * avg(CASE WHEN actual <> 0 THEN abs(actual - yhat) / abs(actual) END), 2) AS mape_pct,
+       round(avg(CAST(actual BETWEEN lo AND hi AS DOUBLE)), 4) AS coverage
+FROM j GROUP BY location
+""", lambda t: C.backtest(t.daily_summary, ["location"], "total_net_sales",
+                         (__import__("datetime").date.fromisoformat(AS_OF)
+                          - __import__("datetime").timedelta(days=28)).isoformat()))

@@ -182,8 +182,7 @@ def _phi_sql(x: str) -> str:
     return f"(0.5 * (1.0 + CASE WHEN {x} >= 0 THEN {erf_abs} ELSE -{erf_abs} END))"
 
 
-@query("E6_sales_anomalies_tier1",
-       _tier1_cte("daily_summary", TOTAL_KEYS, "total_net_sales", "tot") + f"""
+E6_SQL = (_tier1_cte("daily_summary", TOTAL_KEYS, "total_net_sales", "tot") + f"""
 , fit AS (
   SELECT h.location, h.report_date, h.y AS actual, c.a + c.b * h.t + coalesce(s.season, 0) AS fitted, g.sigma
   FROM tot_h h JOIN tot_coef c USING (location) JOIN tot_sig g USING (location)
@@ -199,6 +198,9 @@ SELECT report_date, location, actual AS actual_sales, round(pred, 2) AS predicte
        CASE WHEN coalesce(prob > 0.9, FALSE) AND actual > hi THEN 'spike'
             WHEN coalesce(prob > 0.9, FALSE) AND actual < lo THEN 'drop' ELSE 'normal' END AS anomaly_type
 FROM pr""")
+
+
+@query("E6_sales_anomalies_tier1", E6_SQL)
 def e6_sales_anomalies_tier1(spark, sf_dir):
     hist = _total_history(spark, sf_dir)
     coef, seas = forecast.tier1_fit(hist, TOTAL_KEYS, "total_net_sales")
