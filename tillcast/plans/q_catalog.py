@@ -510,3 +510,29 @@ FROM j GROUP BY location
 """, lambda t: C.backtest(t.daily_summary, ["location"], "total_net_sales",
                          (__import__("datetime").date.fromisoformat(AS_OF)
                           - __import__("datetime").timedelta(days=28)).isoformat()))
+
+_Q89_G = f"""
+, v89 AS (SELECT * FROM restaurant_analytics
+          WHERE report_date > DATE '{AS_OF}' - 14 AND report_date <= DATE '{AS_OF}'),
+g89 AS (SELECT location, item_name,
+               CAST(coalesce(sum(CASE WHEN report_date > DATE '{AS_OF}' - 7 THEN quantity_sold END), 0) AS BIGINT)
+                 AS last_7,
+               CAST(coalesce(sum(CASE WHEN report_date <= DATE '{AS_OF}' - 7 THEN quantity_sold END), 0) AS BIGINT)
+                 AS prior_7
+        FROM v89 GROUP BY location, item_name),
+q89 AS (SELECT *, round(100.0 * (last_7 - prior_7) / prior_7, 4) AS growth_pct FROM g89 WHERE prior_7 >= 5),
+ev27 AS (SELECT DISTINCT event_date AS report_date, region, event_name FROM expanded_events),
+q27 AS (SELECT event_name, round(avg(total_net_sales), 4) AS avg_daily_sales
+        FROM ev27 JOIN daily_summary USING (report_date, region) GROUP BY event_name)
+"""
+q("Q90_insights", _E6_AS + _Q89_G + f"""
+SELECT 'trending_item' AS kind, location, item_name AS subject, CAST(growth_pct AS DOUBLE) AS metric,
+       CAST(NULL AS DATE) AS report_date
+FROM q89 QUALIFY row_number() OVER (PARTITION BY location ORDER BY growth_pct DESC, item_name) <= 3
+UNION ALL
+SELECT 'anomaly', location, anomaly_type, CAST(actual_sales AS DOUBLE), report_date FROM e6
+WHERE is_anomaly AND report_date > DATE '{AS_OF}' - 30 AND report_date <= DATE '{AS_OF}'
+UNION ALL
+SELECT * FROM (SELECT 'best_event', CAST(NULL AS VARCHAR), event_name, CAST(avg_daily_sales AS DOUBLE),
+                      CAST(NULL AS DATE) FROM q27 ORDER BY avg_daily_sales DESC, event_name LIMIT 1)
+""", lambda t: C.insights(C.trending_items(t), _e6(t), C.best_event(t, 1), AS_OF))
