@@ -28,4 +28,4 @@ def query(key: str, sql: str | None = None):
 
 def load_all() -> None:
     # Importing the modules registers their queries.
-    from tillcast.plans import q_catalog, q_core, q_forecast, q_recovery, q_report, q_sources, q_stream, q_tables  # noqa: F401,E501
+    from tillcast.plans import q_catalog, q_core, q_forecast, q_more, q_recovery, q_report, q_sources, q_stream, q_tables  # noqa: F401,E501
