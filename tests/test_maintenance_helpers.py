@@ -56,3 +56,27 @@ def test_write_and_read_fact_prunes(spark):
         r = T.read_fact(spark, f"{root}/{grain}", "2025-02-01", "2025-02-28")
         assert [x.report_date for x in r.collect()] == [D(2025, 2, 1)]
         assert r.columns == T.FACT_COLUMNS or grain == "day"
+
+
+def test_weather_backfill_from_documents(spark):
+    import json
+    import os
+    from tillcast.sources import weather_json
+    root = f"{checkpoint_dir(spark)}/test-g7-{uuid.uuid4().hex}"
+    os.makedirs(f"{root}/docs")
+    docs = [{"daily": {"time": ["2025-01-01", "2025-01-02"], "temperature_2m_mean": [30.0, None],
+                       "rain_sum": [None, 0.2], "weather_code": [71, None], "cloud_cover_mean": [2.5, 3.5]}},
+            {"daily": {"time": ["2025-01-03"], "temperature_2m_mean": [40.0], "weather_code": [0]}}]
+    for i, d in enumerate(docs):
+        with open(f"{root}/docs/doc{i}.json", "w") as f:
+            json.dump(d, f)
+    n = weather_json.backfill(spark, f"{root}/docs", f"{root}/weather", f"{root}/log", "2025-01-04")
+    assert n == 3
+    w = {r.weather_date: r for r in spark.read.parquet(f"{root}/weather").collect()}
+    assert w[D(2025, 1, 1)].had_snow and not w[D(2025, 1, 1)].had_rain
+    assert w[D(2025, 1, 1)].weather_condition == "Light Snow" and w[D(2025, 1, 1)].cloud_cover_pct == 2
+    assert w[D(2025, 1, 2)].had_rain and w[D(2025, 1, 2)].weather_condition == "Unknown"
+    assert w[D(2025, 1, 2)].cloud_cover_pct == 4 and w[D(2025, 1, 3)].cloud_cover_pct is None
+    assert w[D(2025, 1, 3)].avg_temp_f == 40.0 and w[D(2025, 1, 3)].uv_index is None
+    log = spark.read.parquet(f"{root}/log").collect()[0]
+    assert (log.status, log.record_count, log.date_range_end) == ("success", 3, D(2025, 1, 3))

@@ -117,3 +117,20 @@ def documents_from_rows(rows: DataFrame, date_col: str, variables: dict, chunk_c
         # a variable that is NULL on every day of the chunk is left out of the document
         arrays.append(F.when(F.exists("rs", has(n)), F.transform("rs", field(n))).alias(n))
     return g.select(chunk_col, F.to_json(F.struct(F.struct(*arrays).alias("daily"))).alias("doc"))
+
+
+def backfill(spark: SparkSession, documents_path: str, table_path: str, log_path: str, fetched_at) -> int:
+    """Rebuild the weather table from every landed archive document (A9 -> A7),
+    then append one fetch-log row (G1). Returns the number of rows loaded."""
+    from tillcast.sources import tables as T
+    rows = archive_rows(read_documents(spark, documents_path)).dropDuplicates(["weather_date"])
+    rows = T.stage(rows, "weather-backfill")          # one computation for the count and the write
+    n = rows.count()
+    rows.write.mode("overwrite").parquet(table_path)
+    log = rows.agg(F.min("weather_date").alias("date_range_start"), F.max("weather_date").alias("date_range_end")) \
+        .select(F.lit(fetched_at).cast("date").alias("fetch_date"), F.lit("backfill").alias("fetch_type"),
+                F.lit(fetched_at).cast("timestamp").alias("processed_at"),
+                F.lit("success" if n else "failed").alias("status"), F.lit(n).cast("bigint").alias("record_count"),
+                "date_range_start", "date_range_end", F.lit(None).cast("string").alias("error_message"))
+    T.append_rows(log, log_path)
+    return n
