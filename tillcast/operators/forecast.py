@@ -19,6 +19,7 @@ matter how large the fact table grows.
 
 from __future__ import annotations
 
+import sys
 from statistics import NormalDist
 
 import numpy as np
@@ -27,6 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The per-series fit runs in Python workers. Serialise this module's functions by
+# value so executors need only numpy / pandas, not this package on their path.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover - older cloudpickle
+    pass
+
 DEFAULT_HORIZON = 14
 DEFAULT_CONFIDENCE = 0.9
 MIN_POINTS = 21
