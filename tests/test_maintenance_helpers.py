@@ -80,3 +80,19 @@ def test_weather_backfill_from_documents(spark):
     assert w[D(2025, 1, 3)].avg_temp_f == 40.0 and w[D(2025, 1, 3)].uv_index is None
     log = spark.read.parquet(f"{root}/log").collect()[0]
     assert (log.status, log.record_count, log.date_range_end) == ("success", 3, D(2025, 1, 3))
+
+
+def test_refresh_job_writes_result_tables(spark):
+    from pyspark.sql import functions as F
+    from tillcast import jobs
+    from tillcast.plans.context import Tables
+    from tillcast.sources import testdata
+    sf = "/root/testdata/sf0.001"
+    fact = testdata.item_sales(spark, sf).where(F.col("report_date") >= F.lit("2000-01-01").cast("date"))
+    t = Tables(spark, sf, fact=fact)
+    root = f"{checkpoint_dir(spark)}/test-jobs-{uuid.uuid4().hex}"
+    written = jobs.refresh(t, root, "2001-08-02 06:00:00")
+    assert all(written.values()), written
+    fc = spark.read.parquet(f"{root}/results/sales_forecast_results")
+    assert fc.count() == 14 * t.daily_summary.select("location").distinct().count()   # known locations only
+    assert fc.select(F.countDistinct("refreshed_at")).first()[0] == 1

@@ -17,32 +17,60 @@ from tillcast.sources import testdata
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = testdata.AS_OF,
-                 fact: DataFrame | None = None):
+    """The engine's input tables and the views built on them.
+
+    Give stored tables directly (``fact``, ``locations``, ``weather``,
+    ``forecast_weather``, ``local_events``), e.g. from ``Tables.from_parquet``; any
+    table not given is derived from the test data in ``sf_dir``.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, as_of: str = testdata.AS_OF,
+                 fact: DataFrame | None = None, locations: DataFrame | None = None,
+                 weather: DataFrame | None = None, forecast_weather: DataFrame | None = None,
+                 local_events: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
-        self._fact = fact
+        self._given = {"item_sales": fact, "locations": locations, "weather": weather,
+                       "forecast_weather": forecast_weather, "local_events": local_events}
+
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, root: str, as_of: str) -> "Tables":
+        """Stored tables under ``root``: item_sales (date-partitioned), locations,
+        local_weather, weather_forecast, local_events."""
+        from tillcast.sources.tables import read_fact
+        rd = spark.read.parquet
+        return cls(spark, None, as_of, fact=read_fact(spark, f"{root}/item_sales"),
+                   locations=rd(f"{root}/locations"), weather=rd(f"{root}/local_weather"),
+                   forecast_weather=rd(f"{root}/weather_forecast"), local_events=rd(f"{root}/local_events"))
+
+    def _get(self, name, derive):
+        given = self._given[name]
+        if given is not None:
+            return given
+        if self.sf_dir is None:
+            raise ValueError(f"table {name} was not given and there is no test-data folder")
+        return derive(self.spark, self.sf_dir)
 
     @cached_property
     def item_sales(self) -> DataFrame:
-        return self._fact if self._fact is not None else testdata.item_sales(self.spark, self.sf_dir)
+        return self._get("item_sales", testdata.item_sales)
 
     @cached_property
     def locations(self) -> DataFrame:
-        return testdata.locations(self.spark, self.sf_dir)
+        return self._get("locations", testdata.locations)
 
     @cached_property
     def weather(self) -> DataFrame:
-        return testdata.local_weather(self.spark, self.sf_dir)
+        return self._get("weather", testdata.local_weather)
 
     @cached_property
     def forecast_weather(self) -> DataFrame:
-        return testdata.weather_forecast(self.spark, self.sf_dir)
+        return self._get("forecast_weather", testdata.weather_forecast)
 
     @cached_property
     def local_events(self) -> DataFrame:
-        return testdata.local_events(self.spark, self.sf_dir)
+        return self._get("local_events", testdata.local_events)
 
     @cached_property
     def expanded_events(self) -> DataFrame:
