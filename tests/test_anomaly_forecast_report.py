@@ -139,3 +139,14 @@ def test_dense_fanout_compat(spark):
     assert default.count() == 240
     assert compat.count() == 480                      # a category under two primaries fans out
     assert compat.where(F.col("total_sales") != 1.0).count() == 0
+
+
+def test_dense_rows_equal_array_fill(spark):
+    sales = spark.createDataFrame(
+        [(D(2025, 1, 3) + dt.timedelta(days=i), "L", "P", float(i % 4), i % 2) for i in range(0, 40, 3)],
+        "report_date date, location string, primary_category string, net_sales double, quantity_sold long")
+    keys = ["location", "primary_category"]
+    lo, hi = F.lit(D(2025, 1, 1)), F.lit(D(2025, 2, 20))
+    rows = sorted(tuple(r) for r in series.dense_rows(sales, keys, lo, hi).collect())
+    arr = sorted(tuple(r) for r in series.explode_series(series.series_arrays(sales, keys, lo, hi), keys).collect())
+    assert rows == arr and len(rows) == 51

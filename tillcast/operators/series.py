@@ -67,6 +67,32 @@ def series_arrays(facts: DataFrame, keys: list[str], start, hi) -> DataFrame:
             .select(*keys, "start", vals.alias("vals")))
 
 
+def dense_rows(facts: DataFrame, keys: list[str], start, hi) -> DataFrame:
+    """Zero-filled rows straight from the sparse daily points: each point emits its
+    own day and the zero days before the next point (or through ``hi``); the first
+    point also emits the days from ``start`` (None = from itself). lag / lead over the series'
+    points (one shuffle by series, bounded by its days) and a code-generated explode;
+    no arrays are built, no zeros are shuffled."""
+    daily = facts.groupBy(*keys, "report_date").agg(
+        F.sum("net_sales").cast("double").alias("s"), F.sum("quantity_sold").cast("bigint").alias("q"))
+    w = Window.partitionBy(*keys).orderBy("report_date")
+    prev, nxt = F.lag("report_date").over(w), F.lead("report_date").over(w)
+    first = F.col("report_date") if start is None else start
+    d = daily.select(*keys, "report_date", "s", "q",
+                     F.when(prev.isNull(), first).otherwise(F.col("report_date")).alias("from_d"),
+                     F.when(nxt.isNull(), hi).otherwise(F.date_sub(nxt, 1)).alias("to_d"))
+    e = d.select(*keys, "report_date", "s", "q", F.explode(F.sequence("from_d", "to_d")).alias("day"))
+    own = F.col("day") == F.col("report_date")
+    return e.select(F.col("day").alias("report_date"), *keys,
+                    F.when(own, F.col("s")).otherwise(F.lit(0.0)).alias("total_sales"),
+                    F.when(own, F.col("q")).otherwise(F.lit(0).cast("bigint")).alias("total_quantity"))
+
+
+def _zero_rows(zero_keys: DataFrame, keys, start, hi) -> DataFrame:
+    return zero_keys.select(F.explode(F.sequence(start, hi)).alias("report_date"), *keys,
+                            F.lit(0.0).alias("total_sales"), F.lit(0).cast("bigint").alias("total_quantity"))
+
+
 def explode_series(arr: DataFrame, keys: list[str]) -> DataFrame:
     """Series arrays -> dense rows (report_date, keys, total_sales, total_quantity)."""
     return (arr.select(*keys, "start", F.posexplode("vals").alias("i", "v"))
@@ -87,7 +113,11 @@ def primary_category_dense(sales: DataFrame) -> DataFrame:
     """Every spine date x every (location, primary_category) that ever sold,
     zero-filled. A NULL primary never matches an equality join in the reference, so
     its series stays all zeros: NULL-keyed facts are not merged in."""
-    return explode_series(primary_series_arrays(sales), ["location", "primary_category"])
+    lo, hi = spine_bounds(sales)
+    keys = ["location", "primary_category"]
+    facts = sales.where(F.col("primary_category").isNotNull())
+    null_series = sales.where(F.col("primary_category").isNull()).select(*keys).distinct()
+    return dense_rows(facts, keys, lo, hi).unionByName(_zero_rows(null_series, keys, lo, hi))
 
 
 def primary_series_arrays(sales: DataFrame) -> DataFrame:
@@ -117,20 +147,32 @@ def category_dense(sales: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFr
     Actuals are matched on (date, primary, category). ``category_dense_compat``
     reproduces the reference's join on category alone (fan-out across primaries).
     """
-    return explode_series(category_series_arrays(sales, min_days), ["location", "primary_category", "category"])
+    _, hi = spine_bounds(sales)
+    keys = ["location", "primary_category", "category"]
+    ok = _qualifying_categories(sales, hi, min_days)
+    facts = sales.where(F.col("primary_category").isNotNull() & F.col("category").isNotNull()) \
+        .join(ok.select(*keys), keys, "left_semi")
+    nulls = ok.where(F.col("primary_category").isNull() | F.col("category").isNull())
+    return dense_rows(facts, keys, None, hi).unionByName(_zero_rows(nulls, keys, F.col("first_sale_date"), hi))
+
+
+def _qualifying_categories(sales: DataFrame, hi, min_days: int) -> DataFrame:
+    """(location, primary, category, first_sale_date) whose category *name* (across
+    primaries) has existed >= min_days up to the last fact date: a tiny aggregate of
+    the per-series table, joined back (AQE broadcasts it)."""
+    keys = ["location", "primary_category", "category"]
+    cats = all_categories(sales)
+    per_cat = cats.groupBy("location", "category").agg(F.min("first_sale_date").alias("cat_first"))
+    return (cats.join(per_cat, ["location", "category"])
+            .where(F.datediff(hi, F.col("cat_first")) + 1 >= min_days)
+            .select(*keys, "first_sale_date"))
 
 
 def category_series_arrays(sales: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFrame:
     """D8 as series arrays: one row per qualifying (location, primary, category)."""
     _, hi = spine_bounds(sales)
     keys = ["location", "primary_category", "category"]
-    cats = all_categories(sales)
-    # Days are counted per category *name* (across primaries): a tiny aggregate of
-    # the per-series table, joined back (AQE broadcasts it).
-    per_cat = cats.groupBy("location", "category").agg(F.min("first_sale_date").alias("cat_first"))
-    ok = (cats.join(per_cat, ["location", "category"])
-          .where(F.datediff(hi, F.col("cat_first")) + 1 >= min_days)
-          .select(*keys, "first_sale_date"))
+    ok = _qualifying_categories(sales, hi, min_days)
     facts = sales.where(F.col("primary_category").isNotNull() & F.col("category").isNotNull())
     arr = series_arrays(facts, keys, None, hi).join(ok.select(*keys), keys, "left_semi")
     nulls = ok.where(F.col("primary_category").isNull() | F.col("category").isNull())
