@@ -375,16 +375,29 @@ def _wf(t):
                                      "rain_likely", "snow_likely")
 
 
-q("Q35_weather_tomorrow", f"{_WF} WHERE forecast_date = DATE '{AS_OF}' + 1",
-  lambda t: C.forecast_on(_wf(t), F.date_add(F.lit(AS_OF).cast("date"), 1)))
-q("Q36_weather_next_7_days", f"{_WF} WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7",
+_TODAY = f"DATE '{AS_OF}' + 1"        # as_of is the last data day (yesterday)
+_TOMORROW = f"DATE '{AS_OF}' + 2"
+
+
+def _day(n):
+    return F.date_add(F.lit(AS_OF).cast("date"), n)
+
+
+q("Q35_snow_today", f"{_WF} WHERE forecast_date = {_TODAY}", lambda t: C.forecast_on(_wf(t), _day(1)))
+q("Q36_weather_tomorrow", f"{_WF} WHERE forecast_date = {_TOMORROW}", lambda t: C.forecast_on(_wf(t), _day(2)))
+q("Q37_weather_next_7_days", f"{_WF} WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7",
   lambda t: C.forecast_window(_wf(t), AS_OF))
-q("Q37_rain_this_weekend", f"""
+q("Q38_rain_this_weekend", f"""
 SELECT bool_or(rain_likely) AS rain_likely, count(*) AS days, max(precipitation_probability_pct) AS max_probability_pct
 FROM weather_forecast WHERE forecast_date BETWEEN {_SAT} AND {_SAT} + 1
 """, lambda t: C.rain_this_weekend(t.forecast_weather, AS_OF))
-q("Q38_high_next_saturday", f"{_WF} WHERE forecast_date = {_SAT}",
+q("Q39_high_next_saturday", f"{_WF} WHERE forecast_date = {_SAT}",
   lambda t: C.forecast_on(_wf(t), C.next_saturday(AS_OF)))
+q("Q110_snow_this_week", f"""
+SELECT bool_or(snow_likely) AS snow_likely, count(*) AS days FROM weather_forecast
+WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7
+""", lambda t: C.forecast_window(t.forecast_weather, AS_OF).agg(
+    F.bool_or("snow_likely").alias("snow_likely"), F.count(F.lit(1)).alias("days")))
 q("Q40_next_rainy_day", f"""
 SELECT min(CASE WHEN rain_likely THEN forecast_date END) AS next_rainy_day FROM weather_forecast
 WHERE forecast_date > DATE '{AS_OF}'
@@ -393,8 +406,14 @@ WHERE forecast_date > DATE '{AS_OF}'
 _E9_CTE = q_forecast._combined_sql(q_core._DENSE_PRIMARY_SQL, "dense_primary", q_forecast.PRIMARY_KEYS)
 _E9_AS = _E9_CTE.replace("\nSELECT s.forecast_date,", "\n, e9 AS (SELECT s.forecast_date,", 1) + ")\n"
 
-q("Q41_primary_qty_tomorrow", _E9_AS + f"SELECT * FROM e9 WHERE forecast_date = DATE '{AS_OF}' + 1",
-  lambda t: C.forecast_on(_e9(t), F.date_add(F.lit(AS_OF).cast("date"), 1)))
+q("Q41_primary_qty_tomorrow", _E9_AS + f"SELECT * FROM e9 WHERE forecast_date = {_TOMORROW}",
+  lambda t: C.forecast_on(_e9(t), _day(2)))
+q("Q45_primary_forecast_with_intervals", _E9_AS + f"""
+SELECT forecast_date, location, primary_category, predicted_sales, sales_lower_bound, sales_upper_bound,
+       confidence_level FROM e9 WHERE primary_category = '{PRIMARY}'
+""", lambda t: _e9(t).where(F.col("primary_category") == PRIMARY).select(
+    "forecast_date", "location", "primary_category", "predicted_sales", "sales_lower_bound", "sales_upper_bound",
+    "confidence_level"))
 q("Q42_primary_qty_next_week", _E9_AS + f"""
 SELECT location, primary_category, round(sum(predicted_quantity), 2) AS predicted_quantity_sum FROM e9
 WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7 GROUP BY ALL
@@ -536,3 +555,11 @@ UNION ALL
 SELECT * FROM (SELECT 'best_event', CAST(NULL AS VARCHAR), event_name, CAST(avg_daily_sales AS DOUBLE),
                       CAST(NULL AS DATE) FROM q27 ORDER BY avg_daily_sales DESC, event_name LIMIT 1)
 """, lambda t: C.insights(C.trending_items(t), _e6(t), C.best_event(t, 1), AS_OF))
+
+q("Q111_most_discounted_item", """
+, g AS (SELECT location, item_name, CAST(sum(discount) AS DOUBLE) AS total_discount
+        FROM restaurant_analytics GROUP BY location, item_name)
+SELECT *, """ + _rank("location", "total_discount DESC, item_name") + " FROM g QUALIFY rank <= 1",
+  lambda t: C.top_n(t.view.groupBy("location", "item_name").agg(
+      F.sum("discount").cast("double").alias("total_discount")),
+      ["location"], [F.desc("total_discount"), F.asc("item_name")], 1))
