@@ -563,3 +563,8 @@ SELECT *, """ + _rank("location", "total_discount DESC, item_name") + " FROM g Q
   lambda t: C.top_n(t.view.groupBy("location", "item_name").agg(
       F.sum("discount").cast("double").alias("total_discount")),
       ["location"], [F.desc("total_discount"), F.asc("item_name")], 1))
+q("Q81_temp_sales_scatter_points", """
+SELECT location, report_date, avg_temp_f, precipitation_in, total_net_sales FROM daily_summary
+WHERE avg_temp_f IS NOT NULL
+""", lambda t: t.daily_summary.where(F.col("avg_temp_f").isNotNull()).select(
+    "location", "report_date", "avg_temp_f", "precipitation_in", "total_net_sales"))
