@@ -2,12 +2,14 @@
 forecastable categories and quality tiers.
 
 Dense series are days x series rows by definition. They are never built by joining
-a spine to every category. Instead the fact is aggregated per (series, date)
-(map-side combined), the sparse points of each series are collected into one
-array (at most one entry per calendar day, so bounded by the calendar, not by the
-fact table), and the zero-filled value array is built in O(days) with array
-functions. Dense rows are generated after the last shuffle, so zeros are never
-shuffled, and per-series statistics (E7) read the same array without a join.
+a spine to every category. The fact is aggregated per (series, date) (map-side
+combined) and shuffled once by series; then either
+* ``dense_rows`` (D7, D8): each point emits its own day and the zero days before
+  the next point (lag / lead + a code-generated explode), or
+* ``series_arrays`` (E7, tier-1 forecasts): the points of a series form one
+  zero-filled array (at most one entry per calendar day, so bounded by the
+  calendar, not by the fact table) from which statistics are read without a join.
+Either way zeros are generated after the last shuffle and are never shuffled.
 """
 
 from __future__ import annotations
@@ -43,8 +45,8 @@ def series_arrays(facts: DataFrame, keys: list[str], start, hi) -> DataFrame:
     zero-filled.
 
     ``start`` / ``hi`` are Columns (a global first date, or None for each series'
-    own first date; the last date). Facts with NULL keys never match an equality join in the
-    reference, so callers drop them before this step.
+    own first date; the last date). Facts with NULL keys never match an equality
+    join in the reference, so callers drop them before this step.
     """
     daily = facts.groupBy(*keys, "report_date").agg(
         F.sum("net_sales").cast("double").alias("s"), F.sum("quantity_sold").cast("bigint").alias("q"))
