@@ -276,6 +276,26 @@ def this_vs_last_month(t):
                             / F.nullif(F.col("last_month"), F.lit(0.0)), 2).alias("change_pct"))
 
 
+def compare_months(t, year, m1, m2):
+    """Q61: two months of one year side by side (sales and days with data)."""
+    ds = t.daily_summary.where(F.col("year") == year)
+
+    def total(m):   # sums of exact 4-decimal money, made canonical through DECIMAL
+        return F.sum(F.when(F.col("month") == m, F.col("total_net_sales"))).cast("decimal(38,4)").cast("double")
+
+    return ds.groupBy("location").agg(
+        total(m1).alias("month_a_sales"), total(m2).alias("month_b_sales"),
+        F.count(F.when(F.col("month") == m1, 1)).alias("month_a_days"),
+        F.count(F.when(F.col("month") == m2, 1)).alias("month_b_days"))
+
+
+def best_category_where(t, cond):
+    """Q75: best primary category by sales on the days matching ``cond``."""
+    g = t.view.where(cond).groupBy("location", "primary_category").agg(
+        _money().alias("total_sales"), F.sum("quantity_sold").alias("total_quantity"))
+    return top_n(g, ["location"], [F.desc("total_sales"), F.asc("primary_category")], 1)
+
+
 def yoy_by_category(t):
     """Q63: year-over-year growth per primary category (self-join on year - 1)."""
     y = t.view.groupBy("location", "primary_category", "year").agg(_money().alias("sales"))

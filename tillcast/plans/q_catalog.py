@@ -121,7 +121,7 @@ q("Q72_top_items_summer_event_days",
 q("Q71_top_items_rainy_weekends",
   _TOP_ITEMS.format(where="WHERE coalesce(had_rain, FALSE) AND is_weekend", key="total_sales", n=10),
   lambda t: C.top_items_where(t, C.nz("had_rain") & F.col("is_weekend")))
-q("Q102_top_items_in_category",
+q("Q105_top_items_in_category",
   _TOP_ITEMS.format(where=f"WHERE primary_category = '{PRIMARY}'", key="total_sales", n=5),
   lambda t: C.top_items_in_category(t, PRIMARY))
 q("Q19_temp_sales_correlation", """
@@ -200,7 +200,7 @@ SELECT location, year, month,
        CAST(sum(CASE WHEN item_name = '{ITEM_B}' THEN quantity_sold END) AS BIGINT) AS item_b_quantity
 FROM restaurant_analytics WHERE item_name IN ('{ITEM_A}', '{ITEM_B}') GROUP BY location, year, month
 """, lambda t: C.compare_items(t, ITEM_A, ITEM_B))
-q("Q61_this_vs_last_month", f"""
+q("Q62_this_vs_last_month", f"""
 , g AS (SELECT location,
           sum(CASE WHEN report_date >= date_trunc('month', DATE '{AS_OF}') AND report_date <= DATE '{AS_OF}'
                    THEN total_net_sales END) AS tm,
@@ -326,7 +326,7 @@ q("Q121_data_in_month", """
 SELECT location, count(*) AS days, CAST(sum(total_net_sales) AS DOUBLE) AS sales FROM daily_summary
 WHERE year = 2001 AND month = 7 GROUP BY location
 """, lambda t: C.data_in_month(t, 2001, 7))
-q("Q105_category_daily_sales", f"""
+q("Q102_category_daily_sales", f"""
 SELECT location, report_date, CAST(sum(net_sales) AS DOUBLE) AS sales, CAST(sum(quantity_sold) AS BIGINT) AS quantity
 FROM restaurant_analytics WHERE primary_category = '{PRIMARY}' GROUP BY location, report_date
 """, lambda t: C.category_daily_sales(t, PRIMARY))
@@ -568,3 +568,20 @@ SELECT location, report_date, avg_temp_f, precipitation_in, total_net_sales FROM
 WHERE avg_temp_f IS NOT NULL
 """, lambda t: t.daily_summary.where(F.col("avg_temp_f").isNotNull()).select(
     "location", "report_date", "avg_temp_f", "precipitation_in", "total_net_sales"))
+
+q("Q61_june_vs_july", """
+SELECT location,
+       CAST(CAST(sum(CASE WHEN month = 6 THEN total_net_sales END) AS DECIMAL(38,4)) AS DOUBLE) AS month_a_sales,
+       CAST(CAST(sum(CASE WHEN month = 7 THEN total_net_sales END) AS DECIMAL(38,4)) AS DOUBLE) AS month_b_sales,
+       count(CASE WHEN month = 6 THEN 1 END) AS month_a_days, count(CASE WHEN month = 7 THEN 1 END) AS month_b_days
+FROM daily_summary WHERE year = 2001 GROUP BY location
+""", lambda t: C.compare_months(t, 2001, 6, 7))
+q("Q75_best_category_cold_no_event_weekdays", f"""
+, g AS (SELECT location, primary_category, CAST(sum(net_sales) AS DOUBLE) AS total_sales,
+               CAST(sum(quantity_sold) AS BIGINT) AS total_quantity
+        FROM restaurant_analytics
+        WHERE avg_temp_f < {COLD_F} AND NOT coalesce(has_local_event, FALSE) AND NOT is_weekend
+        GROUP BY location, primary_category)
+SELECT *, """ + _rank("location", "total_sales DESC, primary_category") + " FROM g QUALIFY rank <= 1",
+  lambda t: C.best_category_where(t, (F.col("avg_temp_f") < COLD_F) & ~C.nz("has_local_event")
+                                  & ~F.col("is_weekend")))
