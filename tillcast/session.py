@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins from runtime sizes (broadcast
 # only when the measured side is below the threshold, sort-merge otherwise), splits
@@ -46,11 +48,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a shared filesystem every executor
-    and the driver can read). Only when it is unset - local tests - do we pick a
-    scratch folder of our own.
+    and the driver can read). Only on a local master - tests - is a scratch folder
+    picked when it is unset; on any other master an unset folder is an error, because
+    a machine-local folder would not be seen by the other executors.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir is unset on master {master}: name a shared folder")
         path = tempfile.mkdtemp(prefix="tillcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -58,10 +64,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def run_dir(spark: SparkSession) -> str:
+    """Folder of this application's staged tables inside the shared checkpoint folder.
+
+    One folder per application, so whoever owns the checkpoint folder can delete the
+    folders of finished applications (the name carries the application id).
+    """
+    return f"{checkpoint_dir(spark)}/tillcast-{spark.sparkContext.applicationId}"
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under ``run_dir`` and read it back: a cut in the
+    lineage that survives lost executors, and a table several later passes can share."""
+    spark = df.sparkSession
+    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
