@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tillcast.llm.mixing import OP2_SQL, op2_mix_sources
+from tillcast.llm.packing import op5_best_fit_packing
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op5_best_fit_packing": op5_best_fit_packing,
 }
 
 ORACLE = {
