@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from tillcast.llm.mixing import OP2_SQL, op2_mix_sources
 from tillcast.llm.packing import op5_best_fit_packing
+from tillcast.llm.sharding import op3_sampled_splitter_shards
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_sampled_splitter_shards": op3_sampled_splitter_shards,
     "op5_best_fit_packing": op5_best_fit_packing,
 }
 
