@@ -13,7 +13,7 @@ from tillcast.session import stage
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Most rows of a side that is broadcast (checked by a count before each use).
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,3 +41,17 @@ def ranked(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     inside = F.row_number().over(W.partitionBy("__part").orderBy(*order)) - 1
     return (parts.withColumn("__inside", inside).join(F.broadcast(before), "__part")
             .withColumn(name, F.col("__before") + F.col("__inside")).drop("__part", "__before", "__inside"))
+
+
+def byte_chunks(texts, limit: int = 4_000_000):
+    """An Arrow column of texts in chunks of about ``limit`` bytes: (first row, list of bytes);
+    a null is empty."""
+    chunk, first, held = [], 0, 0
+    for i, value in enumerate(texts.cast("binary")):
+        chunk.append(value.as_py() or b"")
+        held += len(chunk[-1])
+        if held >= limit:
+            yield first, chunk
+            chunk, first, held = [], i + 1, 0
+    if chunk:
+        yield first, chunk

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillcast.llm.minhash import op9_minhash_groups
 from tillcast.llm.mixing import OP2_SQL, op2_mix_sources
 from tillcast.llm.packing import op5_best_fit_packing
 from tillcast.llm.sharding import op3_sampled_splitter_shards
@@ -10,6 +11,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_sampled_splitter_shards": op3_sampled_splitter_shards,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_minhash_groups": op9_minhash_groups,
 }
 
 ORACLE = {
