@@ -5,10 +5,12 @@ from __future__ import annotations
 from tillcast.llm.minhash import op9_minhash_groups
 from tillcast.llm.mixing import OP2_SQL, op2_mix_sources
 from tillcast.llm.packing import op5_best_fit_packing
+from tillcast.llm.quality import op1_quality_classifier
 from tillcast.llm.repetition import op6_repetition_rules
 from tillcast.llm.sharding import op3_sampled_splitter_shards
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_mix_sources": op2_mix_sources,
     "op3_sampled_splitter_shards": op3_sampled_splitter_shards,
     "op5_best_fit_packing": op5_best_fit_packing,
