@@ -8,6 +8,7 @@ from tillcast.llm.packing import op5_best_fit_packing
 from tillcast.llm.quality import op1_quality_classifier
 from tillcast.llm.repetition import op6_repetition_rules
 from tillcast.llm.sharding import op3_sampled_splitter_shards
+from tillcast.llm.toxicity import op7_toxicity
 from tillcast.llm.winnowing import op10_winnowing_fingerprints
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_sampled_splitter_shards": op3_sampled_splitter_shards,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_repetition_rules": op6_repetition_rules,
+    "op7_toxicity": op7_toxicity,
     "op9_minhash_groups": op9_minhash_groups,
     "op10_winnowing_fingerprints": op10_winnowing_fingerprints,
 }
