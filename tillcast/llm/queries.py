@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillcast.llm.language import op4_language_spans
 from tillcast.llm.minhash import op9_minhash_groups
 from tillcast.llm.mixing import OP2_SQL, op2_mix_sources
 from tillcast.llm.packing import op5_best_fit_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_mix_sources": op2_mix_sources,
     "op3_sampled_splitter_shards": op3_sampled_splitter_shards,
+    "op4_language_spans": op4_language_spans,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_toxicity": op7_toxicity,
