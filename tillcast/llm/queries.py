@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillcast.llm.chat import OP8_SQL, op8_preference_format
 from tillcast.llm.language import op4_language_spans
 from tillcast.llm.minhash import op9_minhash_groups
 from tillcast.llm.mixing import OP2_SQL, op2_mix_sources
@@ -20,10 +21,12 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_toxicity": op7_toxicity,
+    "op8_preference_format": op8_preference_format,
     "op9_minhash_groups": op9_minhash_groups,
     "op10_winnowing_fingerprints": op10_winnowing_fingerprints,
 }
 
 ORACLE = {
     "op2_mix_sources": OP2_SQL,
+    "op8_preference_format": OP8_SQL,
 }
