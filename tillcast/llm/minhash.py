@@ -258,5 +258,20 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BAND
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def dedup(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` of which one stays per component (the least doc_id), with their
+    columns. A doc_id that comes with several texts goes only if none of them stays; rows
+    equal in doc_id and text become one."""
+    found = stage(groups(docs, **how).filter("doc_id is not null").select("doc_id", "kept"), "groups")
+    ids = stage(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1"), "ids")
+    gone, again = ids.filter("not kept").select("doc_id"), ids.filter("kept").select("doc_id")
+    left = docs.join(bounded_broadcast(gone, gone.count()), "doc_id", "left_anti")
+    n = again.count()
+    if not n:
+        return left
+    again = bounded_broadcast(again, n)
+    return left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op9_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents"), width=3, percent=85)
