@@ -21,6 +21,7 @@ are ignored.
 from __future__ import annotations
 
 import bisect
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -71,10 +72,17 @@ def range_of(splitters: list[tuple]) -> Column:
 LOWEST = (-(1 << 63), -1)
 
 
+def text_cuts(hashes: list[int]) -> set[tuple]:
+    """Splitters before the drawn texts, and also behind those drawn twice or more: a heavy
+    text gets a range of its own."""
+    often = {h for h, n in Counter(hashes).items() if n > 1 and h < (1 << 63) - 1}
+    return {(h, *LOWEST) for h in hashes} | {(h + 1, *LOWEST) for h in often}
+
+
 def split_ranges(rows: DataFrame, total: int, n_ranges: int, whole: float) -> list[tuple]:
     """Splitters under which no range of several texts weighs over twice the mean, and no
     range of one text over ``whole`` bytes, unless it is one record."""
-    splitters = sorted({(h, *LOWEST) for h, _, _ in drawn(rows, n_ranges)})
+    splitters = sorted(text_cuts([h for h, _, _ in drawn(rows, n_ranges)]))
     while True:
         full = rows.withColumn("range", range_of(splitters)).groupBy("range").agg(
             F.sum("size").alias("bytes"), F.min("hash").alias("low"), F.max("hash").alias("high"), F.count("*").alias("n"))
@@ -86,14 +94,17 @@ def split_ranges(rows: DataFrame, total: int, n_ranges: int, whole: float) -> li
         inside = rows.withColumn("range", range_of(splitters)).filter(F.col("range").isin(list(over)))
         # Enough draws that each overfull range is cut to about the mean.
         more = drawn(inside, sum(-(-2 * r["bytes"] * n_ranges // total) for r in over.values()))
-        new = set()
+        texts, new = [], set()
         for s in more:
             r = over[bisect.bisect_right(splitters, s)]
-            cut = s if r["low"] == r["high"] else (s[0], *LOWEST) if s[0] > r["low"] else None
-            new |= {cut} if cut else set()
-        for r in over.values():  # always progress: cut behind the lowest text, if there are several
+            if r["low"] == r["high"]:
+                new.add(s)
+            else:
+                texts.append(s[0])
+        new |= text_cuts(texts)
+        for r in over.values():  # always progress: the lowest text apart from the others
             if r["low"] != r["high"]:
-                new.add((r["high"], *LOWEST))
+                new.add((r["low"] + 1, *LOWEST))
         merged = sorted(set(splitters) | new)
         if merged == splitters:
             return splitters
