@@ -196,11 +196,28 @@ def left_over(buckets: DataFrame, signed: DataFrame, sets: DataFrame, percent: i
                           F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("j"))
     minors = rows.filter("minor").select("key", "class_id", "component", F.lit(True).alias("minor"),
                                          F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"), F.pmod(spread, minor_blocks).cast("int").alias("j"))
-    full = members.unionAll(minors).join(signed.select("class_id", "signature"), "class_id").join(sets, "class_id")
+    signatures_of = signed.select("class_id", "signature")
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
+    def close_pairs(block: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, np.ndarray]:
+        """Minors, members and which of their pairs are close by signature and apart by component."""
         minor = block[block["minor"]].reset_index(drop=True)
         member = block[~block["minor"]].reset_index(drop=True)
+        if not len(minor) or not len(member):
+            return minor, member, np.zeros((len(minor), len(member)), dtype=bool)
+        close = estimates(np.stack(minor["signature"]), np.stack(member["signature"])) >= at_least
+        return minor, member, close & (minor["component"].to_numpy()[:, None] != member["component"].to_numpy()[None, :])
+
+    def close_rows(block: pd.DataFrame) -> pd.DataFrame:
+        minor, member, close = close_pairs(block)
+        return pd.concat([minor[close.any(axis=1)], member[close.any(axis=0)]])
+
+    # Signatures alone leave the few rows for which full sets are needed.
+    blocks_of = members.unionAll(minors).join(signatures_of, "class_id").select("key", "i", "j", "class_id", "component", "minor", "signature")
+    few = blocks_of.groupBy("key", "i", "j").applyInPandas(close_rows, blocks_of.schema)
+    full = few.join(sets, "class_id")
+
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        minor, member, close = close_pairs(block)
         links, joined = [], {}
 
         def root(c):
@@ -208,17 +225,14 @@ def left_over(buckets: DataFrame, signed: DataFrame, sets: DataFrame, percent: i
                 c = joined[c]
             return c
 
-        if len(minor) and len(member):
-            close = estimates(np.stack(minor["signature"]), np.stack(member["signature"])) >= at_least
-            close &= minor["component"].to_numpy()[:, None] != member["component"].to_numpy()[None, :]
-            for p, q in zip(*np.nonzero(close), strict=True):
-                x, y = root(minor["component"][p]), root(member["component"][q])
-                if x != y:
-                    a, b = minor["shingles"][p], member["shingles"][q]
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * both >= percent * (len(a) + len(b) - both):
-                        joined[max(x, y)] = min(x, y)
-                        links.append((minor["class_id"][p], member["class_id"][q]))
+        for p, q in zip(*np.nonzero(close), strict=True):
+            x, y = root(minor["component"][p]), root(member["component"][q])
+            if x != y:
+                a, b = minor["shingles"][p], member["shingles"][q]
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    joined[max(x, y)] = min(x, y)
+                    links.append((minor["class_id"][p], member["class_id"][q]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return full.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
