@@ -50,7 +50,7 @@ def test_validate_totals_strict(spark):
     totals = spark.createDataFrame([("a", 101.0), ("b", 101.01)], "file_name string, grand_total double")
     v = {r.file_name: r for r in RR.validate_totals(recs, totals, recs.select("file_name")).collect()}
     assert v["a"].is_valid and not v["b"].is_valid and v["c"].is_valid
-    assert "warning" in v["c"].message
+    assert v["c"].is_valid and v["c"].reason == "no_grand_total"
 
 
 def test_quality_review(spark):
@@ -62,7 +62,7 @@ def test_quality_review(spark):
                            recs.select("file_name"))
     q = {r.file_name: r for r in RR.quality_review(recs, v).collect()}
     assert q["f"].status == "flagged" and q["f"].issue_count == 1 and "'X'" in q["f"].issues[0]
-    assert q["g"].status == "flagged" and "Duplicate words" in q["g"].issues[0]
+    assert q["g"].status == "flagged" and "repeats a word" in q["g"].issues[0]
 
 
 def test_cells_layout(spark):

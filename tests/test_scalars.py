@@ -57,7 +57,7 @@ def test_date_from_stem(spark):
     d, err = files.date_from_stem(F.col("n"))
     got = df.select(d, err).collect()
     assert got[0][0] == dt.date(2025, 6, 14) and got[0][1] is None
-    assert got[1][0] is None and got[1][1].startswith("Could not extract date")
+    assert got[1][0] is None and got[1][1].startswith("no date at the end")
     assert got[2][0] is None
 
 

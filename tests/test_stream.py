@@ -17,6 +17,25 @@ def _totals(df):
                   for r in df.collect())
 
 
+def test_a_bad_file_leaves_the_others_loaded(spark):
+    """Both layouts in one stream; a bad amount, an empty report, a bad date and a huge
+    quantity each fail their own file only."""
+    from tillcast.plans.q_recovery import damaged
+    sales = testdata.item_sales(spark, SF).where("report_date between '1997-12-01' and '1998-01-31'")
+    cells, words = damaged(*report_render.render_mixed(sales))
+    root = f"{checkpoint_dir(spark)}/test-bad-{uuid.uuid4().hex}"
+    land_words(words, f"{root}/landing", 1, cells)
+    ingest = ReportIngest(spark, f"{root}/tables")
+    ingest.start(f"{root}/landing", f"{root}/_ckpt").awaitTermination()
+    log = {r.file_name: r for r in spark.read.parquet(ingest.log_path).collect()}
+    assert set(log) == {r.file_name for r in words.select("file_name").union(cells.select("file_name")).distinct().collect()}
+    failed_days = {"02", "04", "06", "99", "13"}
+    for name, r in log.items():
+        assert r.status == ("failed" if name[-6:-4] in failed_days else "success"), (name, r.status, r.error_message)
+    loaded = {(str(r.report_date), r.location) for r in spark.read.parquet(ingest.fact_path).select("report_date", "location").distinct().collect()}
+    assert loaded == {(n[-14:-4], r.location) for n, r in log.items() if r.status == "success"}
+
+
 def test_stream_equals_batch_and_is_idempotent(spark):
     sales = testdata.item_sales(spark, SF).where(F.col("report_date") >= F.lit("2001-01-01").cast("date"))
     words = report_render.render_words(sales)

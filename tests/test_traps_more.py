@@ -59,3 +59,32 @@ def test_category_forecast_fans_out_on_non_unique_category(spark):
                                "location string, category string, primary_category string")
     out = forecast.category_forecast_view(s, q, fc, ["location", "category"]).collect()
     assert sorted(r.parent_primary for r in out) == ["P1", "P2"]
+
+
+def test_weekend_rank_keeps_every_series(spark):
+    import datetime
+
+    from tillcast.plans import catalog
+    day = datetime.date(2001, 8, 4)     # the Saturday after the day below
+    fc = spark.createDataFrame([("L", f"c{i:04d}", day, float(i)) for i in range(1500)],
+                               "location string, category string, forecast_date date, predicted_quantity double")
+    got = catalog.weekend_rank(fc, ["location", "category"], ["location"], "predicted_quantity", "2001-08-01")
+    assert got.count() == 1500 and got.where("rank = 1").first().category == "c1499"
+
+
+def test_retry_takes_a_skipped_row_for_no_import(spark):
+    from tillcast.sources import files
+    f = spark.createDataFrame([("a", "L")], "report_date string, location string")
+    log = spark.createDataFrame([("a", "L", "failed"), ("a", "L", "skipped")], "report_date string, location string, status string")
+    assert files.new_files(f, log, retry_failed=True).count() == 1 and files.new_files(f, log).count() == 0
+
+
+def test_unreadable_table_is_not_an_empty_one(spark, tmp_path):
+    import pytest
+
+    from tillcast.sources import tables as T
+    assert T.read_if_exists(spark, str(tmp_path / "none")) is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        T.read_if_exists(spark, str(tmp_path / "broken"))

@@ -47,9 +47,11 @@ def analytics_view(sales: DataFrame, locations: DataFrame, weather: DataFrame,
 
 
 def analytics_extended(view: DataFrame, sales_anomalies: DataFrame) -> DataFrame:
-    """The view plus the day's total-sales anomaly columns."""
-    a = sales_anomalies.select("report_date", "anomaly_probability", "is_anomaly", "anomaly_type")
-    return view.join(a, "report_date", "left")
+    """The view plus the day's total-sales anomaly columns, by (date, location) where the
+    anomalies are per location, so no row is multiplied."""
+    keys = ["report_date"] + ["location"] * ("location" in sales_anomalies.columns)
+    a = sales_anomalies.select(*keys, "anomaly_probability", "is_anomaly", "anomaly_type")
+    return view.join(a, keys, "left")
 
 
 def _wind(w) -> F.Column:
@@ -57,15 +59,17 @@ def _wind(w) -> F.Column:
 
 
 def daily_sales_with_weather(daily_summary: DataFrame, weather: DataFrame) -> DataFrame:
-    """Day totals (all locations) with defaulted weather features."""
-    d = daily_summary.groupBy("report_date").agg(
+    """Day totals (all locations) with defaulted weather features; where the weather is
+    per region, one row per day and region."""
+    wkeys = _weather_keys(weather)
+    d = daily_summary.groupBy("report_date", *wkeys).agg(
         F.sum("total_net_sales").alias("total_sales"),
         F.max(F.col("is_weekend").cast("int")).alias("is_weekend"))
-    w = weather.select(F.col("weather_date").alias("report_date"), "avg_temp_f", "precipitation_in",
+    w = weather.select(F.col("weather_date").alias("report_date"), *wkeys, "avg_temp_f", "precipitation_in",
                        "wind_speed_mph", "wind_speed_knots", "had_rain", "had_snow")
-    j = d.join(w, "report_date", "left")
+    j = d.join(w, ["report_date", *wkeys], "left")
     return j.select(
-        "report_date", "total_sales",
+        "report_date", *wkeys, "total_sales",
         F.coalesce("avg_temp_f", F.lit(DEFAULT_AVG_TEMP_F)).alias("avg_temp_f"),
         F.coalesce("precipitation_in", F.lit(DEFAULT_PRECIP_IN)).alias("precipitation_in"),
         _wind(j).alias("wind_speed_mph"),
@@ -109,16 +113,18 @@ def future_regressors(forecast: DataFrame, as_of: str, horizon: int = 14) -> Dat
 
 
 def category_sales_with_weather(view: DataFrame, weather: DataFrame) -> DataFrame:
-    """C11: (date, primary_category) sums from the view, with defaulted weather."""
-    d = view.groupBy("report_date", "primary_category").agg(
+    """C11: (date, primary_category) sums from the view, with defaulted weather; per region
+    too where the weather is."""
+    wkeys = _weather_keys(weather)
+    d = view.groupBy("report_date", *wkeys, "primary_category").agg(
         F.sum("net_sales").cast("double").alias("total_sales"),
         F.sum("quantity_sold").alias("total_quantity"),
         F.max(F.col("is_weekend").cast("int")).alias("is_weekend"))
-    w = weather.select(F.col("weather_date").alias("report_date"), "avg_temp_f", "precipitation_in",
+    w = weather.select(F.col("weather_date").alias("report_date"), *wkeys, "avg_temp_f", "precipitation_in",
                        "wind_speed_mph", "wind_speed_knots", "had_rain", "had_snow")
-    j = d.join(w, "report_date", "left")
+    j = d.join(w, ["report_date", *wkeys], "left")
     return j.select(
-        "report_date", "primary_category", "total_sales", "total_quantity",
+        "report_date", *wkeys, "primary_category", "total_sales", "total_quantity",
         F.coalesce("avg_temp_f", F.lit(DEFAULT_AVG_TEMP_F)).alias("avg_temp_f"),
         F.coalesce("precipitation_in", F.lit(DEFAULT_PRECIP_IN)).alias("precipitation_in"),
         _wind(j).alias("wind_speed_mph"),

@@ -382,8 +382,9 @@ def location_days(t, location):
         .select("location", "report_date", "total_net_sales", "total_quantity_sold")
 
 
-def trending_items(t, min_prior=5, days=7):
-    """Q89/Q91: last-7-day vs prior-7-day quantity growth per item (prior >= min_prior)."""
+def trending_items(t, min_prior=None, days=7):
+    """Q89/Q91: last-7-day vs prior-7-day quantity growth per item; NULL growth from nothing.
+    ``min_prior`` leaves out items with smaller prior sales (default: none)."""
     d = _d(t.as_of)
     rd = F.col("report_date")
     cur = (rd > F.date_sub(d, days)) & (rd <= d)
@@ -392,8 +393,10 @@ def trending_items(t, min_prior=5, days=7):
     g = v.groupBy("location", "item_name").agg(
         F.coalesce(F.sum(F.when(cur, F.col("quantity_sold"))), F.lit(0)).alias("last_7"),
         F.coalesce(F.sum(F.when(prev, F.col("quantity_sold"))), F.lit(0)).alias("prior_7"))
-    return g.where(F.col("prior_7") >= min_prior).withColumn(
-        "growth_pct", F.round(100.0 * (F.col("last_7") - F.col("prior_7")) / F.col("prior_7"), 4))
+    if min_prior is not None:
+        g = g.where(F.col("prior_7") >= min_prior)
+    return g.withColumn("growth_pct", F.when(F.col("prior_7") != 0, F.round(
+        100.0 * (F.col("last_7") - F.col("prior_7")) / F.col("prior_7"), 4)))
 
 
 # -- coverage ---------------------------------------------------------------------------------------
@@ -480,7 +483,8 @@ def weekend_rank(fc: DataFrame, keys, part, value, as_of) -> DataFrame:
     sat = next_saturday(as_of)
     wk = fc.where(F.col("forecast_date").between(sat, F.date_add(sat, 1)))
     g = wk.groupBy(*keys).agg(F.round(F.sum(value), 2).alias("weekend_total"))
-    return top_n(g, part, [F.desc("weekend_total"), *[F.asc(k) for k in keys]], 1000)
+    w = Window.partitionBy(*part).orderBy(F.desc("weekend_total"), *[F.asc(k) for k in keys])
+    return g.withColumn("rank", F.row_number().over(w))
 
 
 def forecast_matrix(fc: DataFrame, keys, value, as_of, days=7) -> DataFrame:

@@ -306,7 +306,7 @@ g AS (SELECT location, item_name,
              CAST(coalesce(sum(CASE WHEN report_date <= DATE '{AS_OF}' - 7 THEN quantity_sold END), 0) AS BIGINT)
                AS prior_7
       FROM v GROUP BY location, item_name)
-SELECT *, round(100.0 * (last_7 - prior_7) / prior_7, 4) AS growth_pct FROM g WHERE prior_7 >= 5
+SELECT *, CASE WHEN prior_7 <> 0 THEN round(100.0 * (last_7 - prior_7) / prior_7, 4) END AS growth_pct FROM g
 """, C.trending_items)
 q("Q94_coverage", f"""
 SELECT location, min(report_date) AS first_date, max(report_date) AS last_date,
@@ -539,7 +539,7 @@ g89 AS (SELECT location, item_name,
                CAST(coalesce(sum(CASE WHEN report_date <= DATE '{AS_OF}' - 7 THEN quantity_sold END), 0) AS BIGINT)
                  AS prior_7
         FROM v89 GROUP BY location, item_name),
-q89 AS (SELECT *, round(100.0 * (last_7 - prior_7) / prior_7, 4) AS growth_pct FROM g89 WHERE prior_7 >= 5),
+q89 AS (SELECT *, CASE WHEN prior_7 <> 0 THEN round(100.0 * (last_7 - prior_7) / prior_7, 4) END AS growth_pct FROM g89),
 ev27 AS (SELECT DISTINCT event_date AS report_date, region, event_name FROM expanded_events),
 q27 AS (SELECT event_name, round(avg(total_net_sales), 4) AS avg_daily_sales
         FROM ev27 JOIN daily_summary USING (report_date, region) GROUP BY event_name)

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tillcast.functions.timeintel import us_holidays
-from tillcast.operators import events
+from tillcast.operators import enrich, events
 from tillcast.plans import catalog as C
 from tillcast.plans import q_catalog, q_forecast
 from tillcast.plans.context import tables
@@ -57,6 +57,21 @@ def c1_classify_recurrence(spark, sf_dir):
     return out.select("event_date", "event_name", "event_type", "end_date", "recurrence_type", "region")
 
 
+UNKNOWN_LOCATION = "MIDDLE EAST"     # left out of the locations of the next query
+
+
+@query("C4_unknown_location_dropped", f"""
+SELECT location, count(*) AS rows, round(CAST(sum(net_sales) AS DOUBLE), 2) AS net_sales
+FROM item_sales WHERE location <> '{UNKNOWN_LOCATION}' GROUP BY location
+""")
+def c4_unknown_location_dropped(spark, sf_dir):
+    """The view's inner join with the locations drops the rows of an unknown one."""
+    t = tables(spark, sf_dir)
+    known = t.locations.where(F.col("location") != UNKNOWN_LOCATION)
+    v = enrich.analytics_view(t.item_sales, known, t.weather, t.day_events)
+    return v.groupBy("location").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("net_sales").cast("double"), 2).alias("net_sales"))
+
+
 @query("C7_analytics_extended", q_catalog._E6_AS + """
 SELECT r.report_date, r.location, r.item_name, CAST(r.net_sales AS DOUBLE) AS net_sales,
        e6.anomaly_probability, e6.is_anomaly, e6.anomaly_type
@@ -67,8 +82,7 @@ def c7_analytics_extended(spark, sf_dir):
     t = tables(spark, sf_dir)
     a = q_forecast.e6_sales_anomalies_tier1(spark, sf_dir)
     v = t.view.select("report_date", "location", "item_name", F.col("net_sales").cast("double").alias("net_sales"))
-    return v.join(a.select("report_date", "location", "anomaly_probability", "is_anomaly", "anomaly_type"),
-                  ["report_date", "location"], "left")
+    return enrich.analytics_extended(v, a)
 
 
 @query("E0_us_holidays", f"""

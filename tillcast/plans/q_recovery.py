@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tillcast.operators import report_recovery as RR
 from tillcast.plans.context import tables
 from tillcast.plans.registry import query
+from tillcast.session import stage
 from tillcast.sources import report_render
 
-OLD = report_render.OLD_FORMAT_BEFORE
 MISMATCH_DAY = report_render.MISMATCH_DAY
 
 _EXPECTED = """
@@ -41,18 +41,68 @@ def b6_words_layout_roundtrip(spark, sf_dir):
     return words_roundtrip(spark, sf_dir)
 
 
-@query("B5_cells_layout_roundtrip", _EXPECTED + _BIG_TABLES + _REC
-       + " WHERE file_name IN (SELECT file_name FROM nrows WHERE n > 10)")
+@query("B5_cells_layout_roundtrip", _EXPECTED + _REC)
 def b5_cells_layout_roundtrip(spark, sf_dir):
-    cells = report_render.render_cells(tables(spark, sf_dir).item_sales)
-    rows, _ = RR.route_layouts(cells, cells.sparkSession.createDataFrame([], "file_name string, page int, "
-                                                                         "top double, x0 double, text string"))
-    return RR.records(RR.parse_cells(rows)).select(*RR.RECORD_COLS)
+    """Every report has cells and words; those whose table is too small to be picked (at
+    most 10 rows) are recovered from their words, so no report is missing."""
+    sales = tables(spark, sf_dir).item_sales
+    recs, _ = RR.parse_reports(report_render.render_cells(sales), report_render.render_words(sales))
+    return recs.select(*RR.RECORD_COLS)
 
 
-def _mixed(spark, sf_dir):
+def _landed(spark, sf_dir):
+    """Report content as the extractor lands it: (cells, words), stored."""
     cells, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
-    return RR.parse_reports(cells, words), cells, words
+    return stage(cells, "cells"), stage(words, "words")
+
+
+def _mixed(spark, sf_dir):
+    """((records, grand totals), cells, words): parsed once, stored."""
+    cells, words = _landed(spark, sf_dir)
+    parsed = stage(RR.parse_rows(cells, words), "parsed")
+    return (RR.records(parsed), RR.grand_totals(parsed)), cells, words
+
+
+def damaged(cells, words):
+    """The rendered reports with damage by the day of the month in their names: 2nd a
+    malformed amount, 4th a quantity beyond any integer, 6th no item rows, 8th a date that
+    does not exist, 10th an empty table row."""
+    day = F.regexp_extract("file_name", r"-(\d{2})\.pdf$", 1)
+    renamed = F.when(day == "08", F.regexp_replace("file_name", r"-08\.pdf$", "-99.pdf")).otherwise(F.col("file_name"))
+    bad_amount, bad_quantity = F.lit("$1.2.3"), F.lit("9" * 20)
+    total_row = words.where(F.col("text") == "Grand").select("file_name", "page", "top")
+    words = (words.join(total_row.withColumn("total", F.lit(True)), ["file_name", "page", "top"], "left")
+             .where((day != "06") | F.col("total"))
+             .withColumn("text", F.when((day == "02") & (F.col("x0") == 300.0), bad_amount)
+                         .when((day == "04") & (F.col("x0") == 190.0), bad_quantity).otherwise(F.col("text")))
+             .select(renamed.alias("file_name"), "page", "top", "x0", "text"))
+    cells = cells.where((day != "06") | (F.try_element_at("cells", F.lit(1)) == "Grand Total"))
+    c = F.col("cells")
+    changed = F.transform(c, lambda v, i: F.when((day == "02") & (i == 3), bad_amount).when((day == "04") & (i == 2), bad_quantity).otherwise(v))
+    empty = cells.where((day == "10") & (F.col("row_no") == 1)).withColumn("row_no", F.lit(0)).withColumn("cells", F.array().cast("array<string>"))
+    cells = cells.withColumn("cells", changed).unionByName(empty).withColumn("file_name", renamed)
+    return cells, words
+
+
+@query("B8_malformed_files", _EXPECTED + rf"""
+, f AS (SELECT file_name, report_date, count(*) AS n FROM exp GROUP BY file_name, report_date)
+SELECT CASE WHEN day(report_date) = 8 THEN regexp_replace(file_name, '-08\.pdf$', '-99.pdf') ELSE file_name END AS file_name,
+       CASE WHEN day(report_date) = 6 THEN 0 ELSE n END AS record_count,
+       day(report_date) NOT IN (2, 4, 6, 8, {MISMATCH_DAY}) AS is_valid,
+       CASE day(report_date) WHEN 2 THEN 'malformed_value' WHEN 4 THEN 'malformed_value' WHEN 6 THEN 'no_records' WHEN 8 THEN 'bad_name'
+            WHEN {MISMATCH_DAY} THEN 'total_mismatch' ELSE 'ok' END AS reason
+FROM f
+""")
+def b8_malformed_files(spark, sf_dir):
+    from tillcast.sources import files as FS
+    cells, words = damaged(*_landed(spark, sf_dir))
+    parsed = stage(RR.parse_rows(cells, words), "parsed")
+    names = FS.match_report_files(cells.select("file_name").unionByName(words.select("file_name")).distinct())
+    v = RR.validate_totals(RR.records(parsed), RR.grand_totals(parsed), names, RR.parse_errors(parsed))
+    v = v.join(names.select("file_name", "report_date"), "file_name")
+    bad_name = F.col("report_date").isNull()
+    return v.select("file_name", "record_count", (F.col("is_valid") & ~bad_name).alias("is_valid"),
+                    F.when(bad_name, "bad_name").otherwise(F.col("reason")).alias("reason"))
 
 
 @query("B4_layout_router_roundtrip", _EXPECTED + _REC)
@@ -61,14 +111,11 @@ def b4_layout_router_roundtrip(spark, sf_dir):
     return recs.select(*RR.RECORD_COLS)
 
 
-@query("B3_picked_tables", _EXPECTED + _BIG_TABLES + f"""
-SELECT DISTINCT file_name, 1 AS page, 1 AS table_no FROM exp
-WHERE report_date < DATE '{OLD}' AND file_name IN (SELECT file_name FROM nrows WHERE n > 10)
+@query("B3_picked_tables", _EXPECTED + _BIG_TABLES + """
+SELECT DISTINCT file_name, 1 AS page, 1 AS table_no FROM nrows WHERE n > 10
 """)
 def b3_picked_tables(spark, sf_dir):
-    cells = report_render.render_cells(
-        tables(spark, sf_dir).item_sales.where(F.col("report_date") < F.lit(OLD).cast("date")))
-    return RR.pick_tables(cells)
+    return RR.pick_tables(report_render.render_cells(tables(spark, sf_dir).item_sales))
 
 
 _VALID = _EXPECTED + f"""
@@ -128,16 +175,20 @@ def b10_file_category_totals(spark, sf_dir):
 
 
 @query("B1_parse_currency_words", _EXPECTED + """
-SELECT count(*) AS currency_words, CAST(0 AS INTEGER) AS errors FROM exp
+SELECT file_name, round(sum(net_sales), 2) AS net, round(min(net_sales), 2) AS lowest, round(max(net_sales), 2) AS highest,
+       count(*) AS currency_words, 0::BIGINT AS errors
+FROM exp GROUP BY file_name
 """)
 def b1_parse_currency_words(spark, sf_dir):
-    """B1 over every rendered net-sales word: how many parse, how many fail."""
+    """B1 over every rendered net-sales word of an item: the parsed values, per file."""
     _, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
     cur = words.where((F.col("x0") == 300.0) & F.col("text").startswith("$"))
     items = cur.join(words.where(F.col("x0") == 85.0).select("file_name", "page", "top"),
                      ["file_name", "page", "top"], "left_semi")
-    return items.agg(F.count(RR.parse_currency("text")).alias("currency_words"),
-                     F.count(F.when(RR.currency_error("text"), 1)).cast("int").alias("errors"))
+    value = RR.parse_currency("text")
+    return items.groupBy("file_name").agg(
+        F.round(F.sum(value), 2).alias("net"), F.round(F.min(value), 2).alias("lowest"), F.round(F.max(value), 2).alias("highest"),
+        F.count(value).alias("currency_words"), F.count(F.when(RR.currency_error("text"), 1)).alias("errors"))
 
 
 _SPINE = """
@@ -156,11 +207,10 @@ def _spine(spark, sf_dir):
         "location", F.explode(F.sequence(lo, hi)).alias("report_date"))
 
 
-def _file_index(cells, words):
-    names = cells.select("file_name").unionByName(words.select("file_name")).distinct()
+def _file_index(names):
     return names.select("file_name",
                         F.regexp_extract("file_name", r"^report-(.+)-(\d{4}-\d{2}-\d{2})\.pdf$", 1).alias("location"),
-                        F.to_date(F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})\.pdf$", 1)).alias("report_date"))
+                        F.try_to_date(F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})\.pdf$", 1)).alias("report_date"))
 
 
 @query("B12_expected_vs_present", _SPINE + """
@@ -171,7 +221,8 @@ FROM sp
 """)
 def b12_expected_vs_present(spark, sf_dir):
     cells, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
-    return RR.expected_dates(_spine(spark, sf_dir), _file_index(cells, words))
+    names = cells.select("file_name").unionByName(words.select("file_name")).distinct()
+    return RR.expected_dates(_spine(spark, sf_dir), _file_index(names))
 
 
 @query("B11_import_summary", _SPINE + _VALID + f"""
@@ -195,10 +246,14 @@ SELECT location,
 FROM j GROUP BY location
 """)
 def b11_import_summary(spark, sf_dir):
-    (recs, totals), cells, words = _mixed(spark, sf_dir)
-    idx = _file_index(cells, words)
-    files = idx.select("file_name")
-    v = RR.validate_totals(recs, totals, files)
+    """The reports are parsed once into a staged table; verdict, review and totals of a
+    file then come from it."""
+    cells, words = _landed(spark, sf_dir)
+    parsed = stage(RR.parse_rows(cells, words), "parsed")
+    recs = stage(RR.records(parsed), "records")
+    files = parsed.select("file_name").distinct()
+    idx = _file_index(files)
+    v = stage(RR.validate_totals(recs, RR.grand_totals(parsed), files, RR.parse_errors(parsed)), "verdicts")
     q = RR.quality_review(recs, v).select("file_name", "status")
     ft = RR.file_totals(recs).select("file_name", "total_qty", "total_sales")
     status = (idx.join(v, "file_name", "left").join(q, "file_name", "left").join(ft, "file_name", "left")

@@ -140,7 +140,7 @@ def a2_match_report_files(spark, sf_dir):
 , st AS (SELECT file_name, regexp_extract(regexp_replace(file_name, '\.[^./]*$', ''), '(\d{4}-\d{2}-\d{2})$', 1)
                   AS d, regexp_replace(file_name, '\.[^./]*$', '') AS stem FROM names)
 SELECT file_name, CASE WHEN d <> '' THEN CAST(d AS DATE) END AS report_date,
-       CASE WHEN d = '' THEN 'Could not extract date from filename: ' || stem END AS error
+       CASE WHEN d = '' THEN 'no date at the end of the name: ' || stem END AS error
 FROM st
 """)
 def a3_date_from_file_stem(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Registered query: the streaming ingest (S1-S4) end to end over reports rendered
+"""Registered queries: the streaming ingest (S1-S4) end to end over reports rendered
 from the whole fact table."""
 
 from __future__ import annotations
@@ -7,31 +7,64 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tillcast.operators import summarize
 from tillcast.plans.context import tables
 from tillcast.plans.registry import query
-from tillcast.session import checkpoint_dir
+from tillcast.session import run_dir
 from tillcast.sources import report_render
 from tillcast.streaming.ingest import ReportIngest, land_words
 
 
-@query("S1_stream_ingest_daily_totals", f"""
+_DAY_SQL = f"""
 , it AS (SELECT report_date, location, primary_category, category, item_name,
-                CAST(round(sum(net_sales), 2) AS DOUBLE) AS net, sum(quantity_sold) AS qty
-         FROM item_sales GROUP BY ALL)
+                CAST(round(sum(net_sales), 2) AS DOUBLE) AS net, sum(quantity_sold) AS qty,
+                CAST(round(sum(discount), 2) AS DOUBLE) AS disc
+         FROM item_sales GROUP BY ALL),
+loaded AS (SELECT * FROM it WHERE day(report_date) <> {report_render.MISMATCH_DAY})
+"""
+DUE_AS_OF = "2001-07-31"        # the reports of the day before are due
+
+
+def ingested(spark, sf_dir, landing_files: int = 4, files_per_trigger: int = 2, **how) -> ReportIngest:
+    """Render every report (old ones as table cells too), land them as files and run the
+    stream to completion. Reports whose grand total is off are rejected by validation and
+    never loaded."""
+    root = f"{run_dir(spark)}/stream-{uuid.uuid4().hex}"
+    cells, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
+    land_words(words, f"{root}/landing", landing_files, cells)
+    ingest = ReportIngest(spark, f"{root}/tables", **how)
+    ingest.start(f"{root}/landing", f"{root}/_checkpoint", max_files_per_trigger=files_per_trigger).awaitTermination()
+    return ingest
+
+
+@query("S1_stream_ingest_daily_totals", _DAY_SQL + """
 SELECT report_date, location, round(sum(net), 2) AS total_sales, CAST(sum(qty) AS BIGINT) AS total_quantity,
        count(*) AS item_rows
-FROM it WHERE day(report_date) <> {report_render.MISMATCH_DAY} GROUP BY report_date, location
+FROM loaded GROUP BY report_date, location
 """)
-def s1_stream_ingest(spark, sf_dir, landing_files: int = 4, files_per_trigger: int = 2):
-    """Render every report, land them as files, run the stream to completion and
-    return the refreshed daily totals. Reports whose grand total is off are
-    rejected by validation and never loaded."""
-    root = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    words = report_render.render_words(tables(spark, sf_dir).item_sales)
-    land_words(words, f"{root}/landing", landing_files)
-    ingest = ReportIngest(spark, f"{root}/tables")
-    q = ingest.start(f"{root}/landing", f"{root}/_checkpoint", max_files_per_trigger=files_per_trigger)
-    q.awaitTermination()
-    totals = spark.read.parquet(ingest.totals_path)
+def s1_stream_ingest(spark, sf_dir):
+    totals = spark.read.parquet(ingested(spark, sf_dir).totals_path)
     return totals.select("report_date", "location", F.round("total_sales", 2).alias("total_sales"),
                          "total_quantity", "item_rows")
+
+
+@query("S3_daily_summary", _DAY_SQL + """
+SELECT report_date, location, round(sum(net), 2) AS total_net_sales, CAST(sum(qty) AS BIGINT) AS total_quantity_sold,
+       round(sum(disc), 2) AS total_discount, count(DISTINCT item_name) AS unique_items_sold, count(*) AS line_item_count
+FROM loaded WHERE location IN (SELECT location FROM locations) GROUP BY report_date, location
+""")
+def s3_daily_summary(spark, sf_dir):
+    """The daily summary (D1) that the stream keeps for the touched days."""
+    t = tables(spark, sf_dir)
+    build = lambda fact: summarize.daily_summary(fact, t.locations, t.weather, t.day_events)
+    d = spark.read.parquet(ingested(spark, sf_dir, daily_summary=build).summary_path)
+    return d.select("report_date", "location", F.round("total_net_sales", 2).alias("total_net_sales"), "total_quantity_sold",
+                    F.round("total_discount", 2).alias("total_discount"), "unique_items_sold", "line_item_count")
+
+
+@query("S4_reports_due", _DAY_SQL + f"""
+SELECT DISTINCT report_date, location FROM loaded WHERE report_date = DATE '{DUE_AS_OF}' - 1
+""")
+def s4_reports_due(spark, sf_dir):
+    """The reports that the ingest marked as due: those of the day before ``as_of``."""
+    return spark.read.parquet(ingested(spark, sf_dir, as_of=DUE_AS_OF).due_path).select("report_date", "location")

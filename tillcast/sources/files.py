@@ -34,11 +34,12 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def match_report_files(files: DataFrame, pattern: str = DEFAULT_NAME_PATTERN,
                        name_col: str = "file_name") -> DataFrame:
-    """A2: keep names matching the pattern; derive location and report_date."""
+    """A2: keep names matching the pattern; derive location and report_date (NULL for a
+    date that does not exist, which the caller logs as a failed file)."""
     m = F.regexp_extract(name_col, pattern, 2)
     return (files.where(F.col(name_col).rlike(pattern))
             .withColumn("location", F.regexp_extract(name_col, pattern, 1))
-            .withColumn("report_date", F.to_date(m)))
+            .withColumn("report_date", F.try_to_date(m)))
 
 
 def date_from_stem(name: Column) -> tuple[Column, Column]:
@@ -46,15 +47,16 @@ def date_from_stem(name: Column) -> tuple[Column, Column]:
     stem = F.regexp_replace(name, r"\.[^./]*$", "")
     d = F.regexp_extract(stem, STEM_DATE_PATTERN, 1)
     ok = d != ""
-    err = F.when(~ok, F.concat(F.lit("Could not extract date from filename: "), stem))
-    return F.when(ok, F.to_date(d)), err
+    day = F.when(ok, F.try_to_date(d))
+    err = F.when(day.isNull(), F.concat(F.lit("no date at the end of the name: "), stem))
+    return day, err
 
 
 def new_files(files: DataFrame, import_log: DataFrame, keys=("report_date", "location"),
               retry_failed: bool = False) -> DataFrame:
     """Files whose key is not in the import log. Any status counts (a failed
-    date is never retried) unless ``retry_failed``."""
-    log = import_log if not retry_failed else import_log.where(F.col("status") != "failed")
+    date is never retried); with ``retry_failed`` only a success does."""
+    log = import_log if not retry_failed else import_log.where(F.col("status") == "success")
     return files.join(log.select(*keys).distinct(), list(keys), "left_anti")
 
 

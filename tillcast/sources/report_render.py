@@ -62,7 +62,7 @@ def render_words(sales: DataFrame) -> DataFrame:
     avg = F.when(F.col("qty") > 0, F.col("net") / F.col("qty")).otherwise(F.lit(0.0))
     cat_words = F.transform(F.split("category", " "),
                             lambda wd, i: F.struct((20.0 + 30.0 * i).alias("x0"), wd.alias("text")))
-    item_words = F.transform(F.filter(F.split("item_name", " "), lambda wd: wd != ""),
+    item_words = F.transform(F.array_remove(F.split("item_name", " "), ""),
                              lambda wd, i: F.struct((85.0 + 25.0 * i).alias("x0"), wd.alias("text")))
     nums = F.array(
         F.struct(F.lit(190.0).alias("x0"), F.col("qty").cast("string").alias("text")),

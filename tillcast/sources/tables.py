@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcast.session import stage
+
 FACT_COLUMNS = ["report_date", "location", "primary_category", "category", "item_name",
                 "quantity_sold", "net_sales", "discount", "data_source"]
 
@@ -23,17 +25,17 @@ def _part_col(grain: str) -> str:
 
 
 def write_fact(df: DataFrame, path: str, mode: str = "overwrite", grain: str = "day") -> None:
-    """A1 write. ``repartition(partition column)`` gives one writer task per folder
-    (one file per date / month instead of one per input partition); AQE splits a
-    hot folder's task when it is skewed."""
+    """A1 write. The rebalance hint gathers a folder's rows in few files (instead of one per
+    input partition), and AQE splits a hot folder's rows over several tasks, which a
+    ``repartition`` by the partition column would leave in one."""
     part = _part_col(grain)
     out = df.select(*FACT_COLUMNS)
     if grain == "month":
         out = out.withColumn("report_month", F.trunc("report_date", "month"))
     # A full write replaces the whole table (static overwrite), whatever the
     # session's partitionOverwriteMode is.
-    (out.repartition(part)
-        .sortWithinPartitions("report_date", "primary_category", "category")
+    (out.hint("rebalance", part)
+        .sortWithinPartitions(*dict.fromkeys([part, "report_date", "primary_category", "category"]))
         .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(part).parquet(path))
 
 
@@ -119,30 +121,20 @@ def report_log_row(report_date, location, status: str, recipient_count: int, err
              F.substring("error_message", 1, 500).alias("error_message"))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared staging folder and read it back (cuts lineage so a
-    table can be rewritten from its own content; survives executor loss)."""
-    import uuid
-
-    from tillcast.session import checkpoint_dir
-    path = f"{checkpoint_dir(df.sparkSession)}/stage-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def write_replace_partitions(new_content: DataFrame, path: str, partition_col: str = "report_date") -> None:
     """Dynamic partition overwrite: only the partitions present in ``new_content``
     are replaced (G3 / G10 / S3)."""
-    (new_content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (new_content.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The stored table, or None only if nothing is there: any other failure to read it is
+    raised, so that an unreadable table is never taken for an empty one and overwritten."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
         return None
+    return spark.read.parquet(path)
 
 
 def apply_replace_keys(spark: SparkSession, path: str, new_rows: DataFrame,

@@ -9,8 +9,8 @@ deterministic DataFrame derivation over the raw parquet tables:
   region). Location = the supplier's region, primary category = p_type, fine
   category = p_type/p_brand, item = p_name. Money is DECIMAL so sums are exact in any
   order; operators cast to double at their output.
-* locations: the regions, except MIDDLE EAST, so the inner join of the analytics view
-  really drops an unknown location.
+* locations: the regions (that an unknown location is dropped by the inner join of the
+  analytics view is shown by one query, with a location left out).
 * local_weather: a function of the calendar over the orders' date range; every 17th
   day of the year has no row, so missing-weather defaults are exercised.
 * weather_forecast: the same functions over the 14 days after the last order date.
@@ -33,7 +33,6 @@ from tillcast.functions import weathercodes
 AS_OF = "2001-08-01"           # last order date of every scale factor
 EVENT_EPOCH = "1995-01-01"      # first order date; events are placed from here
 EVENT_SPAN_DAYS = 2405          # days from first to last order date, inclusive
-EXCLUDED_LOCATION = "MIDDLE EAST"
 
 _DEC_PRICE = "decimal(12,2)"
 _DEC_RATE = "decimal(4,2)"
@@ -86,7 +85,6 @@ def item_sales_brand_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (read(spark, sf_dir, "region")
-            .where(F.col("r_name") != EXCLUDED_LOCATION)
             .select(F.col("r_name").alias("location"),
                     F.lower("r_name").alias("region"),
                     F.concat(F.lit("Store "), "r_name").alias("display_name")))
@@ -214,7 +212,7 @@ item_sales AS (
 ),
 locations AS (
   SELECT r_name AS location, lower(r_name) AS region, concat('Store ', r_name) AS display_name
-  FROM region WHERE r_name <> '{EXCLUDED_LOCATION}'
+  FROM region
 ),
 local_weather AS (
   SELECT d AS weather_date,

@@ -1,13 +1,15 @@
 """Report files arriving as a stream -> idempotent fact updates.
 
-Source: a folder where an extractor lands ``report_words`` parquet files (all words
-of a report in one landed file). Structured Streaming's file source tracks which
+Source: a folder where an extractor lands parquet files of report content (all content
+of a report in one landed file): positioned words, and table cells for reports with the
+table layout. A file that only holds words need not have the columns of cells. Structured Streaming's file source tracks which
 files were processed (checkpoint), and ``foreachBatch`` runs the batch pipeline on
 each micro-batch:
 
-  S1  name check (A2) -> already imported? (G2) -> parse (B6) -> validate (B8) ->
-      replace (date, location) in the fact (G3) -> import log (G1)
-  S3  refresh the day totals / category-day aggregates of the touched dates only
+  S1  name check (A2) -> already imported? (G2) -> route and parse (B3-B6) -> validate (B8)
+      -> replace (date, location) in the fact (G3) -> import log (G1)
+  S3  refresh the day totals, category-day aggregates and (given how to build it) the
+      daily summary of the touched dates only
   S4  flag reports due when the imported date is the day before ``as_of``
 
 ``trigger(availableNow=True)`` (S2) processes whatever has landed and stops, so a
@@ -20,21 +22,27 @@ replaces its own (date, location).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillcast.operators import report_recovery as RR
 from tillcast.sources import files as FS
 from tillcast.sources import tables as T
 
-WORDS_SCHEMA = "file_name string, page int, top double, x0 double, text string"
+CONTENT_SCHEMA = ("file_name string, page int, top double, x0 double, text string, "
+                  "table_no int, row_no int, cells array<string>")
 LOG_COLUMNS = ["file_name", "report_date", "location", "status", "record_count", "total_sales", "error_message"]
 
 
 class ReportIngest:
     def __init__(self, spark: SparkSession, table_root: str, as_of: str | None = None,
                  name_pattern: str = FS.DEFAULT_NAME_PATTERN, retry_failed: bool = False,
-                 grain: str = "month", processed_at: str | None = None):
+                 grain: str = "month", processed_at: str | None = None,
+                 daily_summary: Callable[[DataFrame], DataFrame] | None = None):
+        """``daily_summary``: builds D1 rows from the fact rows of the touched days."""
         self.spark = spark
         self.root = table_root.rstrip("/")
         self.as_of = as_of
@@ -42,6 +50,7 @@ class ReportIngest:
         self.retry_failed = retry_failed
         self.grain = grain
         self.processed_at = processed_at or as_of
+        self.daily_summary = daily_summary
 
     @property
     def fact_path(self):
@@ -59,6 +68,10 @@ class ReportIngest:
     def category_path(self):
         return f"{self.root}/category_daily"
 
+    @property
+    def summary_path(self):
+        return f"{self.root}/daily_summary"
+
     @property
     def due_path(self):
         return f"{self.root}/reports_due"
@@ -69,10 +82,14 @@ class ReportIngest:
         return df.select(*LOG_COLUMNS).withColumn(
             "processed_at", F.lit(self.processed_at).cast("timestamp")).withColumn("batch_id", F.lit(batch_id))
 
-    def process_batch(self, words: DataFrame, batch_id: int) -> None:
-        spark = words.sparkSession
-        names = words.select("file_name").distinct()
-        matched = FS.match_report_files(names, self.pattern)
+    def process_batch(self, content: DataFrame, batch_id: int) -> None:
+        spark = content.sparkSession
+        for field in StructType.fromDDL(CONTENT_SCHEMA):
+            if field.name not in content.columns:
+                content = content.withColumn(field.name, F.lit(None).cast(field.dataType))
+        names = content.select("file_name").distinct()
+        # A name without a date that exists is a failed file, like any other odd name.
+        matched = FS.match_report_files(names, self.pattern).where(F.col("report_date").isNotNull())
         rejected = names.join(matched.select("file_name"), "file_name", "left_anti")
         log = T.read_if_exists(spark, self.log_path)
         if log is not None:
@@ -81,12 +98,14 @@ class ReportIngest:
         todo = matched if log is None else FS.new_files(matched, log, retry_failed=self.retry_failed)
         skipped = matched.join(todo.select("file_name"), "file_name", "left_anti")
 
-        parsed = RR.parse_words(words.join(todo.select("file_name"), "file_name", "left_semi"))
-        recs = RR.records(parsed)
+        content = content.join(todo.select("file_name"), "file_name", "left_semi")
+        cells = content.where(F.col("cells").isNotNull()).select("file_name", "page", "table_no", "row_no", "cells")
+        words = content.where(F.col("cells").isNull()).select("file_name", "page", "top", "x0", "text")
         # Stage the parsed batch once (shared folder): every step below reads it, and
         # nothing is parsed twice or lost with an executor.
-        recs = T.stage(recs, f"recs-{batch_id}")
-        valid = T.stage(RR.validate_totals(recs, RR.grand_totals(parsed), todo), f"valid-{batch_id}")
+        parsed = T.stage(RR.parse_rows(cells, words), f"parsed-{batch_id}")
+        recs = RR.records(parsed)
+        valid = T.stage(RR.validate_totals(recs, RR.grand_totals(parsed), todo, RR.parse_errors(parsed)), f"valid-{batch_id}")
         good = recs.join(valid.where(F.col("is_valid")).select("file_name"), "file_name", "left_semi")
 
         if good.head(1):
@@ -101,7 +120,7 @@ class ReportIngest:
                                  F.lit(None).cast("string").alias("location"), F.lit("failed").alias("status"),
                                  F.lit(0).cast("bigint").alias("record_count"),
                                  F.lit(None).cast("double").alias("total_sales"),
-                                 F.lit("Invalid filename format").alias("error_message"))
+                                 F.lit("the name is not that of a report").alias("error_message"))
                  .unionByName(skipped.select("file_name", "report_date", "location", F.lit("skipped").alias("status"),
                                              F.lit(0).cast("bigint").alias("record_count"),
                                              F.lit(None).cast("double").alias("total_sales"),
@@ -118,7 +137,7 @@ class ReportIngest:
              .partitionBy("batch_id").parquet(self.due_path))
 
     def refresh_aggregates(self, touched: DataFrame) -> None:
-        """S3: recompute D2 / D3 for the touched partitions only (dynamic overwrite by
+        """S3: recompute D2, D3 and D1 for the touched partitions only (dynamic overwrite by
         date, or by month at month grain: a touched month is recomputed whole)."""
         from tillcast.operators import summarize
         if not touched.head(1):
@@ -130,8 +149,10 @@ class ReportIngest:
             days = fact.join(months, F.trunc(fact["report_date"], "month") == months["m"], "left_semi")
         else:
             days = fact.join(touched.select("report_date").distinct(), "report_date", "left_semi")
-        for agg, path, name in ((summarize.daily_totals, self.totals_path, "totals"),
-                                (summarize.category_daily, self.category_path, "catdaily")):
+        aggregates = [(summarize.daily_totals, self.totals_path, "totals"), (summarize.category_daily, self.category_path, "catdaily")]
+        if self.daily_summary is not None:
+            aggregates.append((self.daily_summary, self.summary_path, "summary"))
+        for agg, path, name in aggregates:
             out = agg(days)
             if self.grain == "month":
                 out = out.withColumn("report_month", F.trunc("report_date", "month"))
@@ -141,7 +162,7 @@ class ReportIngest:
 
     def start(self, landing_path: str, checkpoint_path: str, max_files_per_trigger: int | None = None,
               available_now: bool = True):
-        reader = self.spark.readStream.schema(WORDS_SCHEMA)
+        reader = self.spark.readStream.schema(CONTENT_SCHEMA)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         writer = (reader.parquet(landing_path).writeStream
@@ -151,6 +172,7 @@ class ReportIngest:
         return writer.start()
 
 
-def land_words(words: DataFrame, landing_path: str, files: int) -> None:
-    """Land report words as ``files`` parquet files, every report whole in one file."""
-    words.repartition(files, "file_name").write.mode("append").parquet(landing_path)
+def land_words(words: DataFrame, landing_path: str, files: int, cells: DataFrame | None = None) -> None:
+    """Land report words (and table cells) as ``files`` parquet files, every report whole in one file."""
+    content = words if cells is None else words.unionByName(cells, allowMissingColumns=True)
+    content.repartition(files, "file_name").write.mode("append").parquet(landing_path)
