@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators import anomaly, forecast, series
+from tillcast.operators import anomaly, enrich, forecast, series
 from tillcast.plans.context import Tables
 from tillcast.sources import tables as T
 
@@ -30,9 +30,9 @@ def _stamp(df: DataFrame, refreshed_at: str) -> DataFrame:
 
 def refresh(t: Tables, root: str, refreshed_at: str) -> dict[str, bool]:
     out = {}
-    sales = t.item_sales
-    prim = series.primary_series_arrays(sales)
-    fine = series.category_series_arrays(sales)
+    points = t.category_points
+    prim = series.primary_series_arrays(points)
+    fine = series.category_series_arrays(points)
     ds = t.daily_summary
     coef, seas = forecast.tier1_fit(ds, ["location"], "total_net_sales")
     fitted = forecast.tier1_fitted(ds, ["location"], "total_net_sales", coef, seas)
@@ -61,9 +61,12 @@ def retrain(t: Tables, root: str, trained_at: str) -> dict[str, bool]:
     sales = t.item_sales
     years = sales.select(F.year("report_date").alias("year")).distinct()
     hol = us_holidays(years.union(years.select((F.col("year") + 1).alias("year"))).distinct())
-    prim = series.primary_category_dense(sales)
-    fine = series.category_dense(sales)
+    prim = series.primary_category_dense(t.category_points)
+    fine = series.category_dense(t.category_points)
+    total = enrich.total_sales_training(t.daily_summary)
     models = {
+        "total_sales_model": forecast.tier2_fit(total, ["location"], "total_net_sales", enrich.TOTAL_REGRESSORS, hol),
+        "total_sales_model_no_regressors": forecast.tier2_fit(total, ["location"], "total_net_sales", None, hol),
         "primary_category_sales_model": forecast.tier2_fit(prim, PRIMARY, "total_sales", None, hol),
         "primary_category_qty_model": forecast.tier2_fit(prim, PRIMARY, "total_quantity", None, hol),
         "category_sales_model": forecast.tier2_fit(fine, FINE, "total_sales", None, hol),

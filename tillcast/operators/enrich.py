@@ -14,6 +14,7 @@ DEFAULT_AVG_TEMP_F = 50.0
 DEFAULT_PRECIP_IN = 0.0
 DEFAULT_WIND_MPH = 5.0
 KNOTS_TO_MPH = 1.15078
+REGRESSOR_DEFAULTS = {"avg_temp_f": DEFAULT_AVG_TEMP_F, "precipitation_in": DEFAULT_PRECIP_IN, "wind_speed_mph": DEFAULT_WIND_MPH}
 
 
 def _weather_keys(weather: DataFrame) -> list[str]:
@@ -131,3 +132,17 @@ def category_sales_with_weather(view: DataFrame, weather: DataFrame) -> DataFram
         F.coalesce("had_rain", F.lit(False)).cast("int").alias("is_rainy"),
         F.coalesce("had_snow", F.lit(False)).cast("int").alias("is_snowy"),
         "is_weekend")
+
+
+TOTAL_REGRESSORS = ["avg_temp_f", "precipitation_in", "is_rainy", "is_snowy", "is_weekend"]
+
+
+def total_sales_training(daily_summary: DataFrame) -> DataFrame:
+    """The frame E1 and E2 are trained on: day totals per location with defaulted regressors."""
+    return daily_summary.select(
+        "report_date", "location", "total_net_sales",
+        F.coalesce("avg_temp_f", F.lit(DEFAULT_AVG_TEMP_F)).alias("avg_temp_f"),
+        F.coalesce("precipitation_in", F.lit(DEFAULT_PRECIP_IN)).alias("precipitation_in"),
+        F.coalesce("had_rain", F.lit(False)).cast("int").alias("is_rainy"),
+        F.coalesce("had_snow", F.lit(False)).cast("int").alias("is_snowy"),
+        F.col("is_weekend").cast("int").alias("is_weekend"))

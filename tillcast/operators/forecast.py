@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.operators.enrich import REGRESSOR_DEFAULTS
+
 # The per-series fit runs in Python workers. Serialise this module's functions by
 # value so executors need only numpy / pandas, not this package on their path.
 try:
@@ -200,7 +202,8 @@ def tier2_fit(history: DataFrame, keys: list[str], value_col: str, regressors: l
 
     ``history`` has keys, report_date, value_col and the regressor columns.
     ``holiday_dates`` (one column ``holiday_date``; ~11 rows per year, bounded by
-    the calendar) marks holidays; its join is left to AQE.
+    the calendar) marks holidays; its join is left to AQE. A missing regressor value
+    counts as its default (``enrich.REGRESSOR_DEFAULTS``, else 0), as in the forecast.
     """
     regressors = list(regressors or [])
     h = history.select(*keys, "report_date", F.col(value_col).cast("double").alias("y"),
@@ -213,11 +216,12 @@ def tier2_fit(history: DataFrame, keys: list[str], value_col: str, regressors: l
         h = h.withColumn("holiday", F.lit(0))
     h = h.withColumn("t", _t()).withColumn("dow", F.dayofweek("report_date"))
     key_fields = [f for f in history.schema.fields if f.name in keys]
+    defaults = dict(REGRESSOR_DEFAULTS)
     out_schema = T.StructType(key_fields + COEF_FIELDS)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("report_date")
-        regs = {r: pdf[r].fillna(0.0).to_numpy() for r in regressors}
+        regs = {r: pdf[r].fillna(defaults.get(r, 0.0)).to_numpy() for r in regressors}
         names, beta, phi, sd, last_e, model = _fit_one(
             pdf["t"].to_numpy(float), pdf["dow"].to_numpy(), pdf["holiday"].to_numpy(),
             pdf["y"].fillna(0.0).to_numpy(float), regs)
@@ -236,23 +240,25 @@ def tier2_fit(history: DataFrame, keys: list[str], value_col: str, regressors: l
 def tier2_forecast(coef: DataFrame, keys: list[str], future_regressors: DataFrame | None = None,
                    regressors: list[str] | None = None, holiday_dates: DataFrame | None = None,
                    horizon: int = DEFAULT_HORIZON, confidence: float = DEFAULT_CONFIDENCE,
-                   value_name: str = "predicted_value") -> DataFrame:
+                   value_name: str = "predicted_value", as_of: str | None = None) -> DataFrame:
     """E4/E5 (tier 2): coefficient table x future frame, in Spark expressions.
 
     ŷ = coefficients . x(date) + phi^h * last_residual;
     var_h = sigma^2 * sum_{j<h} phi^(2j).
-    ``future_regressors`` has one row per future report_date (at most ``horizon``
-    rows, a fixed bound) and is broadcast.
+    The horizon starts after ``as_of``, the same day for all series, else after each series'
+    last day; h counts from the last day. ``future_regressors`` has one row per future
+    report_date, and per any of ``keys`` that it has; a day without a row, or without a
+    value, takes the defaults (``enrich.REGRESSOR_DEFAULTS``, else 0; is_weekend by the date).
     """
     regressors = list(regressors or [])
     z = z_value(confidence)
-    fut = coef.select("*", F.posexplode(F.sequence(F.date_add("last_date", 1),
-                                                   F.date_add("last_date", horizon)))
-                      .alias("h0", "forecast_date"))
-    fut = fut.withColumn("h", F.col("h0") + 1).withColumn("dow", F.dayofweek("forecast_date"))
+    before = F.col("last_date") if as_of is None else F.lit(as_of).cast("date")
+    fut = coef.select("*", F.explode(F.sequence(F.date_add(before, 1), F.date_add(before, horizon))).alias("forecast_date"))
+    fut = fut.withColumn("h", F.datediff("forecast_date", "last_date")).withColumn("dow", F.dayofweek("forecast_date"))
     if regressors:
-        fr = F.broadcast(future_regressors.select(F.col("report_date").alias("forecast_date"), *regressors))
-        fut = fut.join(fr, "forecast_date", "left")
+        own = [k for k in keys if k in future_regressors.columns]
+        fr = future_regressors.select(F.col("report_date").alias("forecast_date"), *own, *regressors)
+        fut = fut.join(fr, ["forecast_date", *own], "left")
     if holiday_dates is not None:
         hd = F.broadcast(holiday_dates.select(F.col("holiday_date").alias("forecast_date")).distinct()
                          .withColumn("holiday", F.lit(1.0)))
@@ -260,10 +266,12 @@ def tier2_forecast(coef: DataFrame, keys: list[str], future_regressors: DataFram
     else:
         fut = fut.withColumn("holiday", F.lit(None).cast("double"))
     t = _t("forecast_date")
+    weekend = F.dayofweek("forecast_date").isin(1, 7).cast("double")
     x = F.array(F.lit(1.0), (t - F.col("t0")) / F.col("t_scale"),
                 *[(F.col("dow") == d).cast("double") for d in range(2, 8)],
                 F.coalesce("holiday", F.lit(0.0)),
-                *[F.coalesce(F.col(r).cast("double"), F.lit(0.0)) for r in regressors])
+                *[F.coalesce(F.col(r).cast("double"), weekend if r == "is_weekend" else F.lit(float(REGRESSOR_DEFAULTS.get(r, 0.0))))
+                  for r in regressors])
     dot = F.aggregate(F.zip_with("coefficients", x, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     phi_h = F.pow(F.col("phi"), F.col("h"))
     yhat = dot + phi_h * F.col("last_residual")

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcast.session import stage
+
 MIN_HISTORY_DAYS = 100           # fixed value: categories need >= 100 days
 HIGH_QUALITY_DAYS = 200          # fixed value: forecast quality tier 'high'
 
@@ -27,6 +29,14 @@ def spine_bounds(sales: DataFrame):
             sales.select(F.max("report_date")).scalar())
 
 
+def category_points(sales: DataFrame) -> DataFrame:
+    """The fact per (location, primary, category, date), staged: the one pass over the fact
+    from which every series operator here works (it has the fact's column names, and sums
+    of its sums are the same), with fewer rows by the items of a category and day."""
+    return stage(sales.groupBy("location", "primary_category", "category", "report_date").agg(
+        F.sum("net_sales").alias("net_sales"), F.sum("quantity_sold").alias("quantity_sold")), "points")
+
+
 def date_spine(sales: DataFrame) -> DataFrame:
     """Every date from the fact's first to last date (all locations)."""
     lo, hi = spine_bounds(sales)

@@ -1,6 +1,7 @@
 """Lazily built, shared DataFrames for one (session, data folder).
 
-Nothing here is cached in memory or collected: each property is a logical plan, and
+Nothing here is cached in memory or collected: each property is a logical plan (only
+``category_points`` is a staged table), and
 Catalyst prunes / pushes down per query. In production ``item_sales`` would be the
 stored, date-partitioned fact (``tillcast.sources.tables.write_fact``); with the test
 data it is derived from the raw tables.
@@ -12,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.operators import enrich, events, summarize
+from tillcast.operators import enrich, events, series, summarize
 from tillcast.sources import testdata
 
 
@@ -56,6 +57,11 @@ class Tables:
     def item_sales(self) -> DataFrame:
         return self._get("item_sales", testdata.item_sales)
 
+    @cached_property
+    def category_points(self) -> DataFrame:
+        """The fact per category and day, staged once for all series work."""
+        return series.category_points(self.item_sales)
+
     @cached_property
     def locations(self) -> DataFrame:
         return self._get("locations", testdata.locations)

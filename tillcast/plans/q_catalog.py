@@ -282,7 +282,7 @@ g AS (SELECT location, primary_category, count(*) AS holiday_days, avg(total_sal
       FROM h GROUP BY ALL)
 SELECT location, primary_category, holiday_days, round(ha, 4) AS holiday_avg, round(ba, 4) AS baseline_avg,
        round(100.0 * (ha / NULLIF(ba, 0) - 1), 4) AS lift_pct FROM g
-""", lambda t: C.holiday_effect(t, series.primary_category_dense(t.item_sales)))
+""", lambda t: C.holiday_effect(t, series.primary_category_dense(t.category_points)))
 q("Q77_day_category_matrix", "SELECT location, primary_category, " + ", ".join(
     f"CAST(sum(CASE WHEN day_name = '{d}' THEN net_sales END) AS DOUBLE) AS {d}" for d in C.DAY_NAMES)
   + " FROM restaurant_analytics GROUP BY location, primary_category", C.day_category_matrix)

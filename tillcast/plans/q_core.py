@@ -175,7 +175,7 @@ SELECT CAST(unnest(generate_series(min(report_date), max(report_date), INTERVAL
 FROM item_sales
 """)
 def d5_date_spine(spark, sf_dir):
-    return series.date_spine(tables(spark, sf_dir).item_sales)
+    return series.date_spine(tables(spark, sf_dir).category_points)
 
 
 @query("D6_all_categories", """
@@ -183,7 +183,7 @@ SELECT location, primary_category, category, min(report_date) AS first_sale_date
 FROM item_sales GROUP BY location, primary_category, category
 """)
 def d6_all_categories(spark, sf_dir):
-    return series.all_categories(tables(spark, sf_dir).item_sales)
+    return series.all_categories(tables(spark, sf_dir).category_points)
 
 
 _DENSE_PRIMARY_SQL = """
@@ -226,12 +226,12 @@ dense_fine AS (
 
 @query("D7_primary_category_dense", _DENSE_PRIMARY_SQL + "SELECT * FROM dense_primary")
 def d7_primary_category_dense(spark, sf_dir):
-    return series.primary_category_dense(tables(spark, sf_dir).item_sales)
+    return series.primary_category_dense(tables(spark, sf_dir).category_points)
 
 
 @query("D8_category_dense", _DENSE_FINE_SQL + "SELECT * FROM dense_fine")
 def d8_category_dense(spark, sf_dir):
-    return series.category_dense(tables(spark, sf_dir).item_sales)
+    return series.category_dense(tables(spark, sf_dir).category_points)
 
 
 @query("D9_forecastable_categories", f"""
@@ -241,7 +241,7 @@ FROM item_sales GROUP BY location, primary_category, category
 HAVING date_diff('day', min(report_date), DATE '{AS_OF}') >= 100
 """)
 def d9_forecastable_categories(spark, sf_dir):
-    return series.forecastable_categories(tables(spark, sf_dir).item_sales, AS_OF)
+    return series.forecastable_categories(tables(spark, sf_dir).category_points, AS_OF)
 
 
 @query("D10_forecast_quality", f"""
@@ -254,7 +254,7 @@ FROM item_sales GROUP BY location, primary_category, category
 HAVING date_diff('day', min(report_date), DATE '{AS_OF}') >= 100
 """)
 def d10_forecast_quality(spark, sf_dir):
-    fc = series.forecastable_categories(tables(spark, sf_dir).item_sales, AS_OF)
+    fc = series.forecastable_categories(tables(spark, sf_dir).category_points, AS_OF)
     return series.forecast_quality(fc)
 
 
@@ -296,12 +296,12 @@ def _round6(df):
 
 def primary_anomalies(spark, sf_dir):
     keys = ["location", "primary_category"]
-    return anomaly.zscore_from_arrays(series.primary_series_arrays(tables(spark, sf_dir).item_sales), keys)
+    return anomaly.zscore_from_arrays(series.primary_series_arrays(tables(spark, sf_dir).category_points), keys)
 
 
 def fine_anomalies(spark, sf_dir):
     keys = ["location", "primary_category", "category"]
-    return anomaly.zscore_from_arrays(series.category_series_arrays(tables(spark, sf_dir).item_sales), keys)
+    return anomaly.zscore_from_arrays(series.category_series_arrays(tables(spark, sf_dir).category_points), keys)
 
 
 @query("E7_primary_category_anomalies",

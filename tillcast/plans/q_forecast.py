@@ -67,11 +67,11 @@ def _total_history(spark, sf_dir):
 
 
 def _primary_dense(spark, sf_dir):
-    return series.primary_category_dense(tables(spark, sf_dir).item_sales)
+    return series.primary_category_dense(tables(spark, sf_dir).category_points)
 
 
 def _fine_dense(spark, sf_dir):
-    return series.category_dense(tables(spark, sf_dir).item_sales)
+    return series.category_dense(tables(spark, sf_dir).category_points)
 
 
 def tier1(history, keys, value, name):
@@ -81,7 +81,7 @@ def tier1(history, keys, value, name):
 
 def tier1_dense(spark, sf_dir, keys, value, name):
     """Tier 1 over the zero-filled primary / fine series (array form)."""
-    sales = tables(spark, sf_dir).item_sales
+    sales = tables(spark, sf_dir).category_points
     arr = series.primary_series_arrays(sales) if keys == PRIMARY_KEYS else series.category_series_arrays(sales)
     return forecast.tier1_from_arrays(arr, keys, value, value_name=name)
 
@@ -131,10 +131,11 @@ def e5_category_qty_tier1(spark, sf_dir):
 SELECT forecast_date, location, round(yhat, 2) AS predicted_sales,
        round(yhat - {Z90!r} * sigma, 2) AS lower_bound, round(yhat + {Z90!r} * sigma, 2) AS upper_bound,
        0.9 AS confidence_level, dayname(forecast_date) AS day_name,
-       dayofweek(forecast_date) IN (0, 6) AS is_weekend
+       dayofweek(forecast_date) IN (0, 6) AS is_weekend, TIMESTAMP '{REFRESHED_AT}' AS refreshed_at
 FROM tot_fc""")
 def e8_sales_forecast_view(spark, sf_dir):
-    return forecast.sales_forecast_view(e4_total_forecast_tier1(spark, sf_dir))
+    results = e4_total_forecast_tier1(spark, sf_dir).withColumn("refreshed_at", F.lit(REFRESHED_AT).cast("timestamp"))
+    return forecast.sales_forecast_view(results)
 
 
 def _combined_sql(dense_sql, src, keys, extra_join=""):
@@ -168,7 +169,7 @@ def e9_primary_category_forecast(spark, sf_dir):
 def e10_category_forecast(spark, sf_dir):
     s = tier1_dense(spark, sf_dir, FINE_KEYS, "total_sales", "predicted_sales")
     q = tier1_dense(spark, sf_dir, FINE_KEYS, "total_quantity", "predicted_quantity")
-    fc = series.forecastable_categories(tables(spark, sf_dir).item_sales, AS_OF)
+    fc = series.forecastable_categories(tables(spark, sf_dir).category_points, AS_OF)
     return forecast.category_forecast_view(s, q, fc, FINE_KEYS)
 
 
@@ -253,7 +254,7 @@ FROM allz)
 def e11_category_anomalies_view(spark, sf_dir):
     prim = q_core.primary_anomalies(spark, sf_dir)
     fine = q_core.fine_anomalies(spark, sf_dir)
-    fc = series.forecastable_categories(tables(spark, sf_dir).item_sales, AS_OF)
+    fc = series.forecastable_categories(tables(spark, sf_dir).category_points, AS_OF)
     out = anomaly.category_anomalies(prim, fine, fc)
     return out.withColumn("anomaly_probability", F.round("anomaly_probability", 6))
 
@@ -266,19 +267,11 @@ def _holidays(spark, sf_dir):
     return us_holidays(years.union(more).distinct())
 
 
-TOTAL_REGRESSORS = ["avg_temp_f", "precipitation_in", "is_rainy", "is_snowy", "is_weekend"]
+TOTAL_REGRESSORS = enrich.TOTAL_REGRESSORS
 
 
 def _total_training(spark, sf_dir):
-    """Per-location C8-style frame: day totals with defaulted weather regressors."""
-    ds = tables(spark, sf_dir).daily_summary
-    return ds.select(
-        "report_date", "location", "total_net_sales",
-        F.coalesce("avg_temp_f", F.lit(enrich.DEFAULT_AVG_TEMP_F)).alias("avg_temp_f"),
-        F.coalesce("precipitation_in", F.lit(enrich.DEFAULT_PRECIP_IN)).alias("precipitation_in"),
-        F.coalesce("had_rain", F.lit(False)).cast("int").alias("is_rainy"),
-        F.coalesce("had_snow", F.lit(False)).cast("int").alias("is_snowy"),
-        F.col("is_weekend").cast("int").alias("is_weekend"))
+    return enrich.total_sales_training(tables(spark, sf_dir).daily_summary)
 
 
 @query("E1_total_sales_model_tier2")
@@ -293,7 +286,7 @@ def e4_total_forecast_tier2(spark, sf_dir):
     coef = e1_total_sales_model(spark, sf_dir)
     fut = enrich.future_regressors(t.forecast_weather, AS_OF)
     return forecast.tier2_forecast(coef, TOTAL_KEYS, fut, TOTAL_REGRESSORS, _holidays(spark, sf_dir),
-                                   value_name="predicted_sales") \
+                                   value_name="predicted_sales", as_of=AS_OF) \
         .withColumn("refreshed_at", F.lit(REFRESHED_AT).cast("timestamp"))
 
 

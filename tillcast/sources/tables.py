@@ -155,8 +155,10 @@ def apply_replace_keys(spark: SparkSession, path: str, new_rows: DataFrame,
 
 
 def replace_if_not_empty(incoming: DataFrame, path: str) -> bool:
-    """Replace the whole table, unless the new content is empty."""
-    if not incoming.head(1):
+    """Replace the whole table, unless the new content is empty. The content is
+    computed once, into a staged table that is then checked and copied."""
+    incoming = stage(incoming, "replacement")
+    if incoming.isEmpty():
         return False
     incoming.write.mode("overwrite").parquet(path)
     return True
