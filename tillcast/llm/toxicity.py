@@ -38,7 +38,7 @@ from pyspark.sql.functions import arrow_udf
 from tillcast.llm.common import held_out, table
 from tillcast.session import stage
 
-FIT_POSITIVE, FIT_UNLABELLED, FIT_CHARS = 4_000, 8_000, 100_000
+FIT_POSITIVE, FIT_UNLABELLED, FIT_CHARS = 4_000, 12_000, 100_000
 HASH_BITS, PREFIXES = 20, (4, 5, 6, 7)
 LEAST_SHARE, LEAST_COUNT, LIFT, SURE = 0.02, 4, 3.0, 5.0
 STEPS, RATE, DECAY = 400, 0.1, 0.0
@@ -135,15 +135,16 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 
 def examples(docs: DataFrame) -> DataFrame:
-    """(toxic, features): the feature hashes of each text's distinct words."""
-    schema = pa.schema([("toxic", pa.int32()), ("features", pa.list_(pa.int32()))])
+    """(toxic, features): the feature hashes of each text's distinct words, as packed 32-bit
+    integers (the driver's fit holds the whole bounded sample)."""
+    schema = pa.schema([("toxic", pa.int32()), ("features", pa.binary())])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[f for w in sorted(distinct_words(t.as_py())) for f in word_features(w)] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, schema.field(1).type)], schema=schema)
+            rows = [np.array([f for w in sorted(distinct_words(t.as_py())) for f in word_features(w)], dtype=np.int32).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], schema=schema)
 
-    return docs.select("toxic", "text").mapInArrow(hashed, "toxic int, features array<int>")
+    return docs.select("toxic", "text").mapInArrow(hashed, "toxic int, features binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Linear:
@@ -159,8 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Linea
                 .orderBy(*order).limit(FIT_POSITIVE).withColumn("toxic", F.lit(1)))
     chosen = stage(unlabelled.unionAll(positive), "chosen")  # at most FIT_UNLABELLED + FIT_POSITIVE rows
     texts = docs.select("doc_id", "text").filter(F.char_length("text") <= FIT_CHARS).join(F.broadcast(chosen), "doc_id")
-    rows = sorted((toxic, np.array(x, dtype=np.int64).tobytes()) for toxic, x in examples(texts).collect())
-    side = [[np.frombuffer(x, dtype=np.int64) for toxic, x in rows if toxic == k] for k in (1, 0)]
+    rows = sorted((toxic, bytes(x)) for toxic, x in examples(texts).collect())
+    side = [[np.frombuffer(x, dtype=np.int32) for toxic, x in rows if toxic == k] for k in (1, 0)]
     return train(side[0], side[1], prior)
 
 
