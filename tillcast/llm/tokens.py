@@ -17,7 +17,7 @@ LETTERS, NUMBERS, SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85
 LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
 
 SEGMENT = 1 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 
 def byte_letters() -> dict[int, str]:
