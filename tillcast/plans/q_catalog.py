@@ -359,7 +359,7 @@ def _e9(t):
 _E8_SEL = f"""SELECT forecast_date, location, round(yhat, 2) AS predicted_sales,
        round(yhat - {_Z!r} * sigma, 2) AS lower_bound, round(yhat + {_Z!r} * sigma, 2) AS upper_bound,
        0.9 AS confidence_level, dayname(forecast_date) AS day_name,
-       dayofweek(forecast_date) IN (0, 6) AS is_weekend FROM tot_fc"""
+       dayofweek(forecast_date) IN (0, 6) AS is_weekend, TIMESTAMP '{q_forecast.REFRESHED_AT}' AS refreshed_at FROM tot_fc"""
 
 q("Q30_forecast_next_7_days", _TOT + f", e8 AS ({_E8_SEL}) SELECT * FROM e8 WHERE forecast_date > DATE '{AS_OF}' "
   f"AND forecast_date <= DATE '{AS_OF}' + 7", lambda t: C.forecast_window(_e8(t), AS_OF))
