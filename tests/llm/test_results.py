@@ -429,6 +429,36 @@ def test_winnowing(spark, documents):
     assert sum(r.near_edited > 0.15 for r in long) / len(long) > 0.95 and sum(r.near_next < 0.1 for r in long) / len(long) > 0.9
 
 
+def plain_char_fingerprint(text):
+    import xxhash
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    k, w = winnowing.CHARS, winnowing.CHAR_WINDOW
+    grams = [signed(xxhash.xxh64_intdigest(text[max(i - k + 1, 0):i + 1].encode("utf-32-be"), 42)) % winnowing.PRIME for i in range(len(text))]
+    if len(grams) <= 2 * w:
+        return list(zip(grams, range(len(grams))))
+    return list(dict.fromkeys((lambda i: (grams[i], i))(min(range(s, s + w), key=lambda i: (grams[i], -i))) for s in range(len(grams) - w + 1)))
+
+
+def test_winnowing_over_code_points(spark, documents):
+    """Short texts and texts without white space are like the copy that keeps half of them."""
+    draw = random.Random(12)
+    odd = ["", "x", "ab", "日本", "one two", "z" * 400, "".join(chr(draw.randrange(0x4E00, 0x9FFF)) for _ in range(3000)), "😀é" * 20,
+           "".join(draw.choice("0123456789abcdef") for _ in range(5000)), "".join(chr(draw.randrange(0xE01, 0xE2E)) for _ in range(63)), ""]
+    texts = [*odd, *(documents[d].text for d in sorted(documents)[:400]), *sorted((r.text for r in documents.values()), key=len)[:60]]
+    got = winnowing.edited_pairs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        text, following = texts[r.doc_id], texts[(r.doc_id + 1) % len(texts)]
+        half = len(text) // 2
+        own, changed, after = map(plain_char_fingerprint, (text, text[:len(text) - half] + following[:half], following))
+        assert r.char_fingerprint == " ".join(f"{h:x}:{at}" for h, at in own)
+        assert r.char_edited_fingerprint == " ".join(f"{h:x}:{at}" for h, at in changed)
+        for found, other in ((r.char_near_edited, changed), (r.char_near_next, after)):
+            a, b = {h for h, _ in own}, {h for h, _ in other}
+            assert abs(found - (len(a & b) / len(a | b) if a | b else 1)) < 1e-12
+        assert r.char_near_edited > 0
+
+
 # pipeline
 
 def test_pipeline_against_a_plain_version(spark, plain):

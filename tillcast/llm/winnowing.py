@@ -6,6 +6,12 @@ of ``WINDOW`` neighbouring grams the least hash is chosen, the rightmost of equa
 chosen gram is packed as hash * 2^32 + (2^32 - 1 - position), so one minimum settles both.
 The fingerprint keeps hash and position. Guarantee: two texts that share a run of
 ``GRAM + WINDOW - 1`` words share a chosen hash; no match is shorter than ``GRAM`` words.
+
+The ``char_`` columns are the same over code points (grams of ``CHARS``, windows of
+``CHAR_WINDOW``), for texts that are short or have no white space: a shared run of
+``CHARS + CHAR_WINDOW - 1`` code points anywhere, or a shared start of ``CHAR_WINDOW``, shares
+a chosen hash, and a text of at most 2 * ``CHAR_WINDOW`` keeps all its grams. So a copy that
+keeps the first half of any text that is not empty has ``char_near_edited`` above 0.
 All steps work on arrays within a row: no text is exploded into rows.
 
 The next document by doc_id comes from a window over ranges of ids (their bounds from
@@ -27,6 +33,7 @@ from pyspark.sql import Window as W
 from tillcast.llm.common import table
 
 GRAM, WINDOW = 4, 6
+CHARS, CHAR_WINDOW = 16, 16
 PRIME, BASE = (1 << 31) - 1, 1_000_003
 POSITIONS = (1 << 32) - 1
 RANGES = 4096
@@ -45,7 +52,7 @@ def joined(a: Column, width: int, by: int) -> Column:
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the packed chosen grams of column ``text`` as array ``out``. Each step is
     a column of its own, so that it is computed once."""
-    w, g, p = f"__{out}_words", f"__{out}_grams", f"__{out}_packed"
+    w, g = f"__{out}_words", f"__{out}_grams"
     words = F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), "")
     df = df.withColumn(w, F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))))
     n = F.size(w)
@@ -53,14 +60,39 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(g, joined(F.col(w), 1, 1))
     df = df.withColumn(g, F.when(n >= GRAM, F.slice(joined(F.col(g), 2, 2), 1, F.greatest(n - GRAM + 1, F.lit(0))))
                        .when(n > 0, F.array(F.pmod(F.xxhash64(F.col(w)), F.lit(PRIME)))).otherwise(F.array().cast("array<bigint>")))
-    df = df.withColumn(p, F.transform(g, lambda x, i: x * (POSITIONS + 1) + (F.lit(POSITIONS) - i)))
+    return with_chosen(df, g, out, (1, 2, 2)).drop(w, g)
+
+
+def with_char_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+    """The same over code points: each ends a gram of itself and the ``CHARS`` - 1 before it,
+    fewer at the start of the text. A text of at most 2 * ``CHAR_WINDOW`` keeps every gram."""
+    g = f"__{out}_grams"
+
+    def grams(points: Column) -> Column:
+        gram = lambda i: F.substring(points, F.greatest(4 * (i - CHARS + 1), F.lit(0)) + 1, F.least(4 * (i + 1), F.lit(4 * CHARS)))
+        n = (F.octet_length(points) / 4).cast("int")
+        found = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.pmod(F.xxhash64(gram(i)), F.lit(PRIME)))
+        return F.when(n > 0, found).otherwise(F.array().cast("array<bigint>"))
+
+    # Four bytes a code point, so a gram is cut out in one step. As a variable of a function
+    # the bytes are held once; a column's bytes would be copied whole for each gram.
+    df = df.withColumn(g, F.get(F.transform(F.array(F.encode(F.col(text), "UTF-32")), grams), F.lit(0)))
+    return with_chosen(df, g, out, (1, 2, 4, 8), whole=2 * CHAR_WINDOW).drop(g)
+
+
+def with_chosen(df: DataFrame, grams: str, out: str, steps: tuple[int, ...], whole: int = 0) -> DataFrame:
+    """The packed least gram of each window as array ``out``; ``steps`` widen a window from one
+    gram. Up to ``whole`` grams are all kept."""
+    p, width = f"__{out}_packed", 1 + sum(steps)
+    df = df.withColumn(p, F.transform(grams, lambda x, i: x * (POSITIONS + 1) + (F.lit(POSITIONS) - i)))
     least = F.col(p)
-    for step, by in enumerate((1, 2, 2)):  # windows of 2, 4 and 6; past the end the minimum skips nulls
+    for step, by in enumerate(steps):  # past the end the minimum skips nulls
         df = df.withColumn(f"{p}{step}", F.zip_with(least, ahead(least, by), lambda x, y: F.least(x, y)))
         least = F.col(f"{p}{step}")
-    windows = F.greatest(F.size(p) - WINDOW + 1, F.least(F.size(p), F.lit(1)))
-    df = df.withColumn(out, F.array_distinct(F.slice(least, 1, windows)))
-    return df.drop(w, g, p, *(f"{p}{i}" for i in range(3)))
+    windows = F.greatest(F.size(p) - width + 1, F.least(F.size(p), F.lit(1)))
+    chosen = F.array_distinct(F.slice(least, 1, windows))
+    df = df.withColumn(out, F.when(F.size(p) <= whole, F.col(p)).otherwise(chosen) if whole else chosen)
+    return df.drop(p, *(f"{p}{i}" for i in range(len(steps))))
 
 
 def hashes(packed: Column) -> Column:
@@ -119,16 +151,21 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("next_text", F.coalesce(F.lead("text").over(window), F.lit("")))
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.withColumn("edited", F.expr("concat(left(text, n_chars - n_chars div 2), left(next_text, n_chars div 2))"))
-    rows = with_fingerprint(rows.drop("next_text"), "text", "own")
-    rows = rows.withColumn("own_hashes", F.array_distinct(hashes(F.col("own"))))
-    rows = rows.withColumn("next_hashes", F.lead("own_hashes").over(window)).filter("not ghost")
-    rows = rows.select("doc_id", "n_chars", "edited", "own", "own_hashes", "next_hashes")
-    rows = with_fingerprint(rows, "edited", "changed")
+    rows = with_char_fingerprint(with_fingerprint(rows.drop("next_text"), "text", "own"), "text", "own_char")
+    for own in ("own", "own_char"):
+        rows = rows.withColumn(f"{own}_hashes", F.array_distinct(hashes(F.col(own))))
+    for own in ("own", "own_char"):
+        rows = rows.withColumn(f"{own}_next", F.lead(f"{own}_hashes").over(window))
+    rows = rows.filter("not ghost").drop("text", "ghost", "bucket", "id")
+    rows = with_char_fingerprint(with_fingerprint(rows, "edited", "changed"), "edited", "changed_char")
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         printed(F.col("own")).alias("fingerprint"), printed(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own_hashes"), F.array_distinct(hashes(F.col("changed")))).alias("near_edited"),
-        likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"))
+        likeness(F.col("own_hashes"), F.col("own_next")).alias("near_next"),
+        printed(F.col("own_char")).alias("char_fingerprint"), printed(F.col("changed_char")).alias("char_edited_fingerprint"),
+        likeness(F.col("own_char_hashes"), F.array_distinct(hashes(F.col("changed_char")))).alias("char_near_edited"),
+        likeness(F.col("own_char_hashes"), F.col("own_char_next")).alias("char_near_next"))
 
 
 def op10_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
