@@ -374,6 +374,18 @@ def test_large_groups_and_chains(spark):
     assert got == plain_groups(rows, 3, 85)
 
 
+def test_links_of_an_id_with_two_texts_beside_repeated_rows(spark):
+    """Both texts of id 1 keep their near copies, whether or not other rows are repeated."""
+    draw = random.Random(13)
+    texts = [[f"{c}{draw.randrange(9999)}" for _ in range(80)] for c in "abc"]
+    near = [" ".join([*t[:-1], "changed"]) for t in texts]
+    a, b, c = map(" ".join, texts)
+    rows = [(1, a), (1, b), (2, near[0]), (3, near[1]), (4, c), (5, near[2])]
+    for again in ([], [(4, c)], [(1, a)], [(1, b), (1, b)]):
+        docs = spark.createDataFrame(rows + again, "doc_id long, text string")
+        assert {(r.doc_id, r.component_id) for r in minhash.groups(docs, 3, 80).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)}
+
+
 def test_b_bit_estimate(spark):
     draw = random.Random(7)
     a = {f"x{i}" for i in range(900)}

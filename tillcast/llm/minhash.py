@@ -151,8 +151,9 @@ def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """The shingle sets of the classes (class_id, set_key), from the texts."""
-    schema = pa.schema([("class_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    """The shingle sets of the classes (class_id, set_key), from the texts; an id that names
+    several classes has a row for each."""
+    schema = pa.schema([("class_id", pa.int64()), ("set_key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,13 +163,15 @@ def full_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
                 # A doc_id can come with several texts: only the class's own counts.
                 own = [i for i, (s, k) in enumerate(zip(found, rows.column(1).to_pylist(), strict=True))
                        if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == k]
-                yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(own, pa.int64())),
-                                                  pa.array([found[i].view(np.int64) for i in own], schema.field(1).type)], schema=schema)
+                at = pa.array(own, pa.int64())
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at),
+                                                  pa.array([found[i].view(np.int64) for i in own], schema.field(2).type)], schema=schema)
 
     n = classes.count()
     wanted = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(bounded_broadcast(classes, n), "class_id")
-    out = stage(wanted.select("class_id", "set_key", "text").mapInArrow(sets, "class_id long, shingles array<long>"), "sets")
-    return out if out.count() == n else out.dropDuplicates(["class_id"])
+    out = stage(wanted.select("class_id", "set_key", "text").mapInArrow(sets, "class_id long, set_key binary, shingles array<long>"), "sets")
+    # Each class has a row at least, so only more rows than classes can hold repeated ones.
+    return (out if out.count() == n else out.dropDuplicates(["class_id", "set_key"])).drop("set_key")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
