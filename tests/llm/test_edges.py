@@ -12,6 +12,9 @@ COLUMNS = {
     "op7": ["doc_id", "held_out", "score", "predicted"], "op8": ["pair_id", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask"],
     "op9": ["doc_id", "n_shingles", "component_id", "kept"],
     "op10": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op13": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
 }
 ALL = list(QUERIES)
 
@@ -35,6 +38,10 @@ def test_odd_rows_have_results(spark, odd, name):
     found = df.collect()
     if name.startswith("op8"):
         assert len(found) == 6
+    elif name.startswith("op11"):
+        assert len(found) == 6
+    elif name.startswith("op12"):
+        assert len(found) == 3 * 600
     elif name.startswith("op5"):
         assert len([r for r in found if r.piece == 0]) == n
     else:

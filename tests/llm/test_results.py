@@ -32,7 +32,7 @@ def labels(spark):
 def test_oracle(spark, request, name, folder):
     path = request.getfixturevalue("odd") if folder == "odd" else f"/root/testdata/{folder}"
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet')")
     ok, diff = compare(canon(queries.QUERIES[name](spark, path).toPandas()), canon(con.execute(queries.ORACLE[name]).df()))
     assert ok, diff
