@@ -402,73 +402,67 @@ def test_b_bit_estimate(spark):
 # 10 winnowing
 
 def plain_fingerprint(text):
-    import xxhash
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    h = [signed(xxhash.xxh64_intdigest(w, 42)) % winnowing.PRIME for w in text.encode().split()]
-    if len(h) < winnowing.GRAM:
-        return None
+    """Grams by last code point, least of each window (rightmost of equal ones), all of a short text."""
+    k, w = winnowing.GRAM, winnowing.WINDOW
+    h = [zlib.crc32(c.encode()) for c in text]
     grams = []
-    for i in range(len(h) - winnowing.GRAM + 1):
+    for i in range(len(h)):
         x = 0
-        for j in range(winnowing.GRAM):
-            x = (x * winnowing.BASE + h[i + j]) % winnowing.PRIME
-        grams.append(x)
-    chosen = []
-    for s in range(max(len(grams) - winnowing.WINDOW + 1, 1)):
-        best = min(range(s, min(s + winnowing.WINDOW, len(grams))), key=lambda i: (grams[i], -i))
-        if (grams[best], best) not in chosen[-8:]:
-            chosen.append((grams[best], best))
-    return chosen
+        for y in h[max(i - k + 1, 0):i + 1]:
+            x = (2 * x + y) % winnowing.PRIME
+        grams.append(winnowing.PRIME - x)
+    if len(grams) <= 2 * w:
+        return list(zip(grams, range(len(grams))))
+    return list(dict.fromkeys((lambda i: (grams[i], i))(min(range(s, s + w), key=lambda i: (grams[i], -i))) for s in range(len(grams) - w + 1)))
+
+
+def check_fingerprints(rows, texts, most=None):
+    """``rows`` by place in ``texts``, which are in the documents' order; the first ``most`` of them."""
+    prints = [plain_fingerprint(t) for t in texts[:most and most + 1]]
+    for i, (text, own) in list(enumerate(zip(texts, prints)))[:most]:
+        r, after, half = rows[i], (i + 1) % len(texts), len(text) // 2
+        edited = text[:len(text) - half] + texts[after][:half]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        changed = plain_fingerprint(edited)
+        said = lambda p: " ".join(f"{(winnowing.PRIME - h << 32) + at:X}" for h, at in p)
+        assert (r.fingerprint, r.edited_fingerprint) == (said(own), said(changed))
+        for found, other in ((r.near_edited, changed), (r.near_next, prints[after])):
+            a, b = {h for h, _ in own}, {h for h, _ in other}
+            assert abs(found - (len(a & b) / len(a | b) if a | b else 1)) < 1e-12
+        assert r.near_edited > 0
 
 
 def test_winnowing(spark, documents):
-    rows = {r.doc_id: r for r in winnowing.op10_winnowing_fingerprints(spark, SF).collect()}
     order = sorted(documents)
+    rows = {r.doc_id: r for r in winnowing.op10_winnowing_fingerprints(spark, SF).collect()}
     assert set(rows) == set(order)
-    prints = {}
-    for i, d in enumerate(order):
-        text, following, r = documents[d].text, documents[order[(i + 1) % len(order)]].text, rows[d]
-        half = len(text) // 2
-        edited = text[:len(text) - half] + following[:half]
-        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert prints.setdefault(text, r.fingerprint) == r.fingerprint
-        own, changed = plain_fingerprint(text), plain_fingerprint(edited)
-        if own and changed:
-            assert r.fingerprint == " ".join(f"{h:x}:{at}" for h, at in own)
-            a, b = {h for h, _ in own}, {h for h, _ in changed}
-            assert abs(r.near_edited - len(a & b) / len(a | b)) < 1e-12
+    check_fingerprints([rows[d] for d in order], [documents[d].text for d in order], 250)
+    assert all(r.near_edited > 0 for r in rows.values())
     long = [rows[d] for d in order if len(documents[d].text) > 500]
     assert sum(r.near_edited > 0.15 for r in long) / len(long) > 0.95 and sum(r.near_next < 0.1 for r in long) / len(long) > 0.9
 
 
-def plain_char_fingerprint(text):
-    import xxhash
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    k, w = winnowing.CHARS, winnowing.CHAR_WINDOW
-    grams = [signed(xxhash.xxh64_intdigest(text[max(i - k + 1, 0):i + 1].encode("utf-32-be"), 42)) % winnowing.PRIME for i in range(len(text))]
-    if len(grams) <= 2 * w:
-        return list(zip(grams, range(len(grams))))
-    return list(dict.fromkeys((lambda i: (grams[i], i))(min(range(s, s + w), key=lambda i: (grams[i], -i))) for s in range(len(grams) - w + 1)))
-
-
-def test_winnowing_over_code_points(spark, documents):
-    """Short texts and texts without white space are like the copy that keeps half of them."""
+def test_winnowing_of_odd_texts(spark):
+    """Short texts, texts without white space, every length around the seams' sizes."""
     draw = random.Random(12)
+    pick = lambda alphabet, n: "".join(draw.choice(alphabet) for _ in range(n))
     odd = ["", "x", "ab", "日本", "one two", "z" * 400, "".join(chr(draw.randrange(0x4E00, 0x9FFF)) for _ in range(3000)), "😀é" * 20,
-           "".join(draw.choice("0123456789abcdef") for _ in range(5000)), "".join(chr(draw.randrange(0xE01, 0xE2E)) for _ in range(63)), ""]
-    texts = [*odd, *(documents[d].text for d in sorted(documents)[:400]), *sorted((r.text for r in documents.values()), key=len)[:60]]
-    got = winnowing.edited_pairs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-    assert len(got) == len(texts)
-    for r in got:
-        text, following = texts[r.doc_id], texts[(r.doc_id + 1) % len(texts)]
-        half = len(text) // 2
-        own, changed, after = map(plain_char_fingerprint, (text, text[:len(text) - half] + following[:half], following))
-        assert r.char_fingerprint == " ".join(f"{h:x}:{at}" for h, at in own)
-        assert r.char_edited_fingerprint == " ".join(f"{h:x}:{at}" for h, at in changed)
-        for found, other in ((r.char_near_edited, changed), (r.char_near_next, after)):
-            a, b = {h for h, _ in own}, {h for h, _ in other}
-            assert abs(found - (len(a & b) / len(a | b) if a | b else 1)) < 1e-12
-        assert r.char_near_edited > 0
+           pick("0123456789abcdef", 5000), "".join(chr(draw.randrange(0xE01, 0xE2E)) for _ in range(63)), ""]
+    texts = odd + [pick(draw.choice(["ab", "abcdefghij \n", "日本é😀"]), n) for n in list(range(240)) + [draw.randint(0, 420) for _ in range(300)]]
+    draw.shuffle(texts)
+    rows = {r.doc_id: r for r in winnowing.edited_pairs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    check_fingerprints([rows[i] for i in range(len(texts))], texts)
+
+
+def test_winnowing_of_repeated_and_null_ids(spark, monkeypatch):
+    """Equal ids spread over ranges: each row's next is some row that follows it, all but one once."""
+    monkeypatch.setattr(winnowing, "RANGE_BYTES", 400)
+    rows = [(None if i % 3 else 5, f"text number {i} " * 3) for i in range(200)] + [(5, "same")] * 9 + [(7, None)]
+    got = winnowing.edited_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_chars) for r in got) == Counter((d, len(t or "")) for d, t in rows)
+    edited = {hashlib.sha256((a[:len(a) - len(a) // 2] + b[:len(a) // 2]).encode()).hexdigest()
+              for _, a in ((d, t or "") for d, t in rows) for _, b in ((d, t or "") for d, t in rows)}
+    assert {r.edited_sha256 for r in got} <= edited and len({r.edited_sha256 for r in got}) >= 200
 
 
 # pipeline

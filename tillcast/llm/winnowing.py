@@ -1,27 +1,27 @@
 """Operator 10 [native]: document fingerprints by winnowing, in DataFrame functions only.
 
-A text's words are hashed; every run of ``GRAM`` words gets a polynomial (Karp-Rabin) hash
-modulo a prime, rolled up by doubling: a hash of two runs comes from theirs. In each window
-of ``WINDOW`` neighbouring grams the least hash is chosen, the rightmost of equal ones. A
-chosen gram is packed as hash * 2^32 + (2^32 - 1 - position), so one minimum settles both.
-The fingerprint keeps hash and position. Guarantee: two texts that share a run of
-``GRAM + WINDOW - 1`` words share a chosen hash; no match is shorter than ``GRAM`` words.
-
-The ``char_`` columns are the same over code points (grams of ``CHARS``, windows of
-``CHAR_WINDOW``), for texts that are short or have no white space: a shared run of
-``CHARS + CHAR_WINDOW - 1`` code points anywhere, or a shared start of ``CHAR_WINDOW``, shares
-a chosen hash, and a text of at most 2 * ``CHAR_WINDOW`` keeps all its grams. So a copy that
-keeps the first half of any text that is not empty has ``char_near_edited`` above 0.
-All steps work on arrays within a row: no text is exploded into rows.
-
-The next document by doc_id comes from a window over ranges of ids (their bounds from
-approximate quantiles), each range with the first document of the next one added, so no
-task sorts the whole table.
-
-Defined results: a null text is empty; an empty text, or one without words, has the empty
-fingerprint, and two of those have likeness 1; a text of fewer words than a gram has one
-gram, the whole text; documents are ordered by doc_id, null first, then text; a sole document
-is its own next; repeated rows stay; an empty table gives no rows. Extra columns are ignored.
+Each code point is hashed; the polynomial (Karp-Rabin) hash of every run of ``GRAM`` code points, base 2
+and modulo a prime, is rolled up by doubling: a hash of two runs comes from theirs. A gram belongs to
+its last code point; the first ones of a text have fewer code points. Its hash is the polynomial's
+complement to the prime. In each window of ``WINDOW`` neighbouring grams the least hash is chosen, the
+rightmost of equal ones. A gram is packed as complement * 2^32 + position, so one maximum settles both. A
+text of at most 2 * ``WINDOW`` code points keeps all its grams. Guarantee: two texts that share a run of ``GRAM + WINDOW - 1`` code points
+share a chosen hash, and so do two that share their first ``WINDOW``: a copy that keeps the
+first half of a text that is not empty is always found.
+
+A text is fingerprinted once, where it is read. Choices are local, so the edited text (a document's
+first half and the start of the next one's) takes the choices of both documents and only the two
+seams - around the join and at the cut end - are hashed again. Only a document's text and choices
+travel to the one before it.
+
+The next document by doc_id comes from a window over ranges of (doc_id, hash of the text), each
+range with the first document of the next one added, so no task sorts the whole table and equal ids
+spread. Ranges are cut so that one holds about ``RANGE_BYTES`` of text.
+
+Defined results: a null text is empty; an empty text has the empty fingerprint, and two of those have
+likeness 1; documents are ordered by doc_id, null first, then the text's hash; a sole document is its
+own next; repeated rows stay; very long texts are fingerprinted whole; an empty table gives no rows.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,140 +32,146 @@ from pyspark.sql import Window as W
 
 from tillcast.llm.common import table
 
-GRAM, WINDOW = 4, 6
-CHARS, CHAR_WINDOW = 16, 16
-PRIME, BASE = (1 << 31) - 1, 1_000_003
+GRAM, WINDOW = 16, 32  # powers of two
+PRIME = (1 << 31) - 1
 POSITIONS = (1 << 32) - 1
-RANGES = 4096
+RANGE_BYTES = 64 << 20
 
 
 def ahead(a: Column, by: int) -> Column:
     return F.slice(a, by + 1, F.greatest(F.size(a) - by, F.lit(0)))
 
 
-def joined(a: Column, width: int, by: int) -> Column:
-    """Hashes of runs of ``width`` + ``by`` words, from those of ``width`` words (shifted by
-    ``by``); the last ``by`` entries are null."""
-    return F.zip_with(a, ahead(a, by), lambda x, y: (x * pow(BASE, width, PRIME) + y) % PRIME)
-
-
-def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the packed chosen grams of column ``text`` as array ``out``. Each step is
-    a column of its own, so that it is computed once."""
-    w, g = f"__{out}_words", f"__{out}_grams"
-    words = F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), "")
-    df = df.withColumn(w, F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))))
-    n = F.size(w)
-    # Widths 1, 2, 4 for GRAM = 4; a short text is one gram.
-    df = df.withColumn(g, joined(F.col(w), 1, 1))
-    df = df.withColumn(g, F.when(n >= GRAM, F.slice(joined(F.col(g), 2, 2), 1, F.greatest(n - GRAM + 1, F.lit(0))))
-                       .when(n > 0, F.array(F.pmod(F.xxhash64(F.col(w)), F.lit(PRIME)))).otherwise(F.array().cast("array<bigint>")))
-    return with_chosen(df, g, out, (1, 2, 2)).drop(w, g)
-
-
-def with_char_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """The same over code points: each ends a gram of itself and the ``CHARS`` - 1 before it,
-    fewer at the start of the text. A text of at most 2 * ``CHAR_WINDOW`` keeps every gram."""
-    g = f"__{out}_grams"
-
-    def grams(points: Column) -> Column:
-        gram = lambda i: F.substring(points, F.greatest(4 * (i - CHARS + 1), F.lit(0)) + 1, F.least(4 * (i + 1), F.lit(4 * CHARS)))
-        n = (F.octet_length(points) / 4).cast("int")
-        found = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.pmod(F.xxhash64(gram(i)), F.lit(PRIME)))
-        return F.when(n > 0, found).otherwise(F.array().cast("array<bigint>"))
-
-    # Four bytes a code point, so a gram is cut out in one step. As a variable of a function
-    # the bytes are held once; a column's bytes would be copied whole for each gram.
-    df = df.withColumn(g, F.get(F.transform(F.array(F.encode(F.col(text), "UTF-32")), grams), F.lit(0)))
-    return with_chosen(df, g, out, (1, 2, 4, 8), whole=2 * CHAR_WINDOW).drop(g)
-
-
-def with_chosen(df: DataFrame, grams: str, out: str, steps: tuple[int, ...], whole: int = 0) -> DataFrame:
-    """The packed least gram of each window as array ``out``; ``steps`` widen a window from one
-    gram. Up to ``whole`` grams are all kept."""
-    p, width = f"__{out}_packed", 1 + sum(steps)
-    df = df.withColumn(p, F.transform(grams, lambda x, i: x * (POSITIONS + 1) + (F.lit(POSITIONS) - i)))
-    least = F.col(p)
-    for step, by in enumerate(steps):  # past the end the minimum skips nulls
-        df = df.withColumn(f"{p}{step}", F.zip_with(least, ahead(least, by), lambda x, y: F.least(x, y)))
-        least = F.col(f"{p}{step}")
-    windows = F.greatest(F.size(p) - width + 1, F.least(F.size(p), F.lit(1)))
-    chosen = F.array_distinct(F.slice(least, 1, windows))
-    df = df.withColumn(out, F.when(F.size(p) <= whole, F.col(p)).otherwise(chosen) if whole else chosen)
-    return df.drop(p, *(f"{p}{i}" for i in range(len(steps))))
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def grown(a: Column, width: int, join) -> Column:
+    """For each place of ``a`` all of the ``width`` entries from it on in one, by doubling: ``join``
+    takes those of a run, of the run behind it, and the run's length. The last ones are null."""
+    def step(runs: Column, by: int) -> Column:
+        return runs if by == width else let(F.zip_with(runs, ahead(runs, by), lambda x, y: join(x, y, by)), lambda r: step(r, 2 * by))
+
+    return step(a, 1)
+
+
+def choices(text: Column, skip: Column | None = None, at: Column | None = None, whole: Column | None = None) -> Column:
+    """The packed chosen grams of a text. The first ``skip`` grams are context only, the first one
+    after them has position ``at``; if ``whole``, all are kept."""
+    skip, n = F.lit(0) if skip is None else skip, F.char_length(text)
+    zeros = F.array_repeat(F.lit(0).cast("bigint"), GRAM - 1)  # before the first code point
+    points = F.transform(F.split(text, ""), lambda p: F.crc32(p.cast("binary")))
+    place = lambda i: i.cast("bigint") if at is None else i + at.cast("bigint")
+
+    def chosen(packed: Column) -> Column:
+        keep_all = F.size(packed) <= 2 * WINDOW if whole is None else whole
+        windows = F.greatest(F.size(packed) - WINDOW + 1, F.least(F.size(packed), F.lit(1)))
+        # Past the end the maximum skips nulls.
+        highest = grown(packed, WINDOW, lambda x, y, by: F.greatest(x, y))
+        return F.when(keep_all, packed).otherwise(F.array_distinct(F.slice(highest, 1, windows)))
+
+    polynomials = grown(F.concat(zeros, points), GRAM, lambda x, y, by: F.shiftleft(x, by) + y)
+    packed = lambda g: F.transform(F.slice(g, skip + 1, n - skip), lambda x, i: F.shiftleft(x % PRIME, 32).bitwiseOR(place(i)))
+    return let(let(polynomials, packed), chosen)
+
+
+def between(packed: Column, low: Column, high: Column) -> Column:
+    """The choices at positions from ``low`` to ``high``."""
+    return F.filter(packed, lambda x: x.bitwiseAND(F.lit(POSITIONS)).between(low, high))
 
 
 def hashes(packed: Column) -> Column:
-    return F.transform(packed, lambda x: F.shiftright(x, 32))
+    return F.array_distinct(F.transform(packed, lambda x: F.shiftright(x, 32)))
 
 
 def printed(packed: Column) -> Column:
-    """``hash:position`` in hexadecimal and decimal, by position."""
-    one = lambda x: F.concat(F.lower(F.hex(F.shiftright(x, 32))), F.lit(":"), (F.lit(POSITIONS) - x.bitwiseAND(F.lit(POSITIONS))).cast("string"))
-    return F.array_join(F.transform(packed, one), " ")
+    """By position, each choice in hexadecimal digits: the last eight are the position, those before
+    them the hash's complement."""
+    return F.array_join(F.transform(packed, F.hex), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two arrays of chosen hashes."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
+    """Jaccard similarity of two arrays of distinct hashes."""
+    both = F.size(F.array_intersect(a, b))
+    union = F.size(a) + F.size(b) - both
+    return F.when(union == 0, 1.0).otherwise(both / union)
 
 
-def bucket_of(id_: Column, bounds: list[int]) -> Column:
-    """How many bounds are at or below ``id_``: a binary search over a literal array."""
-    if not bounds:
-        return F.lit(0)
-    array, steps = F.lit(bounds).cast("array<bigint>"), [1 << i for i in range(len(bounds).bit_length() - 1, -1, -1)]
+def range_of(id_: Column, mark: Column, ids: Column, marks: Column, n: int) -> Column:
+    """The last of ``n`` sorted bounds (``ids``, ``marks``) that is not above (id, mark): a binary
+    search. The first bound is the least of all keys."""
+    widths = [1 << i for i in range(n.bit_length() - 1, -1, -1)]
 
-    def step(at, width):
+    def step(at: Column, width: Column) -> Column:
         to = at + width
-        fits = (to <= len(bounds)) & (F.get(array, F.least(to, F.lit(len(bounds))) - 1) <= id_)
-        return F.when(fits, to).otherwise(at)
-
-    return F.aggregate(F.lit(steps), F.lit(0), step)
-
-
-def with_next(docs: DataFrame) -> tuple[DataFrame, W]:
-    """doc_id, text, ghost, bucket and the window whose next row is the next document; rows
-    with ``ghost`` only serve as the next of their bucket's last document."""
-    lowest = F.lit(-(1 << 63))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), lowest).alias("id"))
-    n = min(RANGES, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 100 * n)).first()[0] or []
-    rows = rows.withColumn("bucket", bucket_of(F.col("id"), sorted(set(cuts))))
-    first = dict(rows.groupBy("bucket").agg(F.min("id")).collect())  # at most n rows
-    order = sorted(first)
-    before = {b: order[i - 1] for i, b in enumerate(order)}  # the first one's is the last
-    size = max(order, default=0) + 1
-    at_first = F.lit([first.get(b, 0) for b in range(size)]).cast("array<bigint>")
-    target = F.lit([before.get(b, 0) for b in range(size)]).cast("array<int>")
-    ghosts = (rows.filter(F.get(at_first, F.col("bucket")) == F.col("id")).groupBy("bucket", "id").agg(F.min("text").alias("text"))
-              .select(F.lit(None).cast("long").alias("doc_id"), "text", "id", F.get(target, F.col("bucket")).alias("bucket"), F.lit(True).alias("ghost")))
-    both = rows.withColumn("ghost", F.lit(False)).unionByName(ghosts)
-    return both, W.partitionBy("bucket").orderBy("ghost", "id", "text")
+        i = F.least(to, F.lit(n - 1))
+        below = (F.get(ids, i) < id_) | ((F.get(ids, i) == id_) & (F.get(marks, i) <= mark))
+        return F.when((to < n) & below, to).otherwise(at)
+
+    return F.aggregate(F.lit(widths), F.lit(0), step)
+
+
+def with_next(rows: DataFrame, bounds: list[tuple[int, int]]) -> tuple[DataFrame, W]:
+    """``rows`` dealt into the ranges of ``bounds``, and the window whose next row is the next
+    document; rows with ``ghost`` only serve as the next of their range's last document."""
+    n = len(bounds)
+    ids, marks = (F.lit([b[i] for b in bounds]).cast("array<bigint>") for i in (0, 1))
+    rows = rows.withColumn("range", range_of(F.col("id"), F.col("mark"), ids, marks, n))
+    first = (F.get(ids, F.col("range")) == F.col("id")) & (F.get(marks, F.col("range")) == F.col("mark"))
+    place = lambda r, ghost: F.struct(r.alias("range"), F.lit(ghost).alias("ghost"))
+    own, before = place(F.col("range"), False), place((F.col("range") + n - 1) % n, True)
+    rows = rows.withColumn("place", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own)))).drop("range")
+    return rows.select("*", "place.*").drop("place"), W.partitionBy("range").orderBy("ghost", "id", "mark")
+
+
+def range_bounds(keys: DataFrame) -> list[tuple[int, int]]:
+    """The least (id, mark) of each range of ``keys`` (id, mark, size), ranges of about
+    ``RANGE_BYTES``: as many rows reach the driver as there are ranges."""
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(parts, -(-(keys.agg(F.sum("size")).first()[0] or 0) // RANGE_BYTES))
+    dealt = keys.select("id", "mark").repartitionByRange(n, "id", "mark").withColumn("part", F.spark_partition_id())
+    return sorted(tuple(r.low) for r in dealt.groupBy("part").agg(F.min(F.struct("id", "mark")).alias("low")).collect())
+
+
+def with_edited(rows: DataFrame) -> DataFrame:
+    """``rows`` (text, own, next_text, next_own) with ``edited`` and its choices ``changed``."""
+    a, b, m = F.col("a"), F.col("b"), F.col("m")
+    rows = rows.withColumn("n_chars", F.char_length("text")).withColumn("b", F.floor(F.col("n_chars") / 2).cast("int"))
+    rows = rows.withColumn("a", F.col("n_chars") - F.col("b"))
+    rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), a), F.substring(F.col("next_text"), F.lit(1), b)))
+    rows = rows.withColumn("m", F.char_length("edited")).withColumn("b", m - a)
+    short = m <= 2 * WINDOW  # keeps all grams: the first seam is all of it
+    # Windows that lie in the kept part, or in the borrowed part after its first grams, choose as in
+    # their documents. All others lie in one of two stretches of grams.
+    stretches = ((F.when(short, 0).otherwise(F.greatest(F.lit(0), a - 2 * WINDOW + 2)), F.least(m, a + GRAM + 2 * WINDOW - 3)),
+                 (F.greatest(F.lit(0), m - 2 * WINDOW + 2), m))
+    for name, (low, end) in zip(("join", "tail"), stretches, strict=True):
+        rows = rows.withColumn("low", low).withColumn("skip", F.least(F.col("low"), F.lit(GRAM - 1)))
+        start = F.col("low") - F.col("skip")
+        rows = rows.withColumn("seam", F.substring(F.col("edited"), start + 1, end - start))
+        rows = rows.withColumn(name, choices(F.col("seam"), F.col("skip"), F.col("low"), short))
+    inner = F.lit(GRAM + WINDOW - 2)  # where the borrowed part's own choices begin, from the join
+    parts = F.concat(between(F.col("own"), F.lit(0), a - WINDOW), between(F.col("join"), a - WINDOW + 1, a + inner - 1),
+                     F.transform(between(F.col("next_own"), inner, b - WINDOW), lambda x: x + a),
+                     between(F.col("tail"), a + F.greatest(inner, b - WINDOW + 1), m))
+    return rows.withColumn("changed", F.when(short, F.col("join")).otherwise(parts)).drop("low", "skip", "seam", "join", "tail")
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document, of its edited text, and their likeness to it."""
-    rows, window = with_next(docs)
-    rows = rows.withColumn("next_text", F.coalesce(F.lead("text").over(window), F.lit("")))
-    rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
-    rows = rows.withColumn("edited", F.expr("concat(left(text, n_chars - n_chars div 2), left(next_text, n_chars div 2))"))
-    rows = with_char_fingerprint(with_fingerprint(rows.drop("next_text"), "text", "own"), "text", "own_char")
-    for own in ("own", "own_char"):
-        rows = rows.withColumn(f"{own}_hashes", F.array_distinct(hashes(F.col(own))))
-    for own in ("own", "own_char"):
-        rows = rows.withColumn(f"{own}_next", F.lead(f"{own}_hashes").over(window))
-    rows = rows.filter("not ghost").drop("text", "ghost", "bucket", "id")
-    rows = with_char_fingerprint(with_fingerprint(rows, "edited", "changed"), "edited", "changed_char")
-    return rows.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        printed(F.col("own")).alias("fingerprint"), printed(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own_hashes"), F.array_distinct(hashes(F.col("changed")))).alias("near_edited"),
-        likeness(F.col("own_hashes"), F.col("own_next")).alias("near_next"),
-        printed(F.col("own_char")).alias("char_fingerprint"), printed(F.col("changed_char")).alias("char_edited_fingerprint"),
-        likeness(F.col("own_char_hashes"), F.array_distinct(hashes(F.col("changed_char")))).alias("char_near_edited"),
-        likeness(F.col("own_char_hashes"), F.col("own_char_next")).alias("char_near_next"))
+    text = F.coalesce("text", F.lit(""))
+    keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("mark")]
+    bounds = range_bounds(docs.select(*keys, F.octet_length(text).alias("size"))) or [(0, 0)]
+    rows, window = with_next(docs.select("doc_id", text.alias("text"), *keys, choices(text).alias("own")), bounds)
+    rows = rows.withColumn("next_text", F.lead("text").over(window)).withColumn("next_own", F.lead("own").over(window))
+    rows = with_edited(rows.filter("not ghost").drop("ghost", "range", "id", "mark"))
+    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("text", "next_text", "edited")
+    for c in ("own", "changed", "next_own"):
+        rows = rows.withColumn(f"{c}_hashes", hashes(F.col(c)))
+    return rows.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", printed(F.col("own")).alias("fingerprint"),
+                       printed(F.col("changed")).alias("edited_fingerprint"), likeness(F.col("own_hashes"), F.col("changed_hashes")).alias("near_edited"),
+                       likeness(F.col("own_hashes"), F.col("next_own_hashes")).alias("near_next"))
 
 
 def op10_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
