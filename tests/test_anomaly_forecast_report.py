@@ -84,7 +84,7 @@ def test_tier2_fit_and_forecast(spark):
     h = _line(spark)
     coef = forecast.tier2_fit(h, ["k"], "y")
     c = coef.collect()[0]
-    assert c.model == "ridge_ar1" and c.n_points == 200
+    assert c.model == f"ridge_arma({c.p},{c.d},{c.q})" and c.n_points == 200
     fc = forecast.tier2_forecast(coef, ["k"]).orderBy("forecast_date").collect()
     assert len(fc) == 14
     # the next day's truth (without noise) lies inside the interval
@@ -150,3 +150,88 @@ def test_dense_rows_equal_array_fill(spark):
     rows = sorted(tuple(r) for r in series.dense_rows(sales, keys, lo, hi).collect())
     arr = sorted(tuple(r) for r in series.explode_series(series.series_arrays(sales, keys, lo, hi), keys).collect())
     assert rows == arr and len(rows) == 51
+
+
+def _arma(n, ar, ma, seed, d=0):
+    import numpy as np
+    draw = np.random.default_rng(seed)
+    a = draw.normal(size=n + 200)
+    w = np.zeros(n + 200)
+    for t in range(2, n + 200):
+        w[t] = ar[0] * w[t - 1] + ar[1] * w[t - 2] + a[t] + ma[0] * a[t - 1] + ma[1] * a[t - 2]
+    w = w[200:]
+    return np.cumsum(w) if d else w
+
+
+def test_order_selection_recovers_simulated_errors():
+    for ar, ma, want in [((0.7, 0.0), (0.0, 0.0), (1, 0)), ((0.0, 0.0), (0.6, 0.0), (0, 1)), ((0.5, 0.3), (0.0, 0.0), (2, 0))]:
+        d, a, m, p, q, aicc, candidates, sigma, changes, shocks = forecast._fit_errors(_arma(4000, ar, ma, 1))
+        # The true order's likelihood, or one that approximates it, wins; parameters imply the same one-step spread.
+        assert d == 0 and p + q >= sum(want) and aicc == min(candidates) and abs(sigma - 1) < 0.05
+        if (p, q) == want:
+            assert max(abs(a[0] - ar[0]), abs(a[1] - ar[1]), abs(m[0] - ma[0])) < 0.08
+    assert forecast._fit_errors(_arma(800, (0.2, 0.0), (0.0, 0.0), 2, d=1))[0] == 1
+    assert forecast._fit_errors(_arma(800, (0.2, 0.0), (0.0, 0.0), 2))[0] == 0
+
+
+def _plain_path(c, days):
+    """Forecast and psi-weight variance of the errors by the textbook recursions."""
+    w, a, e, out = list(reversed(c.last_changes)), list(reversed(c.last_shocks)), c.last_residual, []
+    psi = [1.0]
+    for h in range(1, days):
+        psi.append(sum(c.ar[j] * psi[h - 1 - j] for j in range(2) if h - 1 - j >= 0) + (c.ma[h - 1] if h <= 2 else 0.0))
+    for h in range(days):
+        w.append(c.ar[0] * w[-1] + c.ar[1] * w[-2] + c.ma[0] * a[-1] + c.ma[1] * a[-2])
+        a.append(0.0)
+        e = e + w[-1] if c.d else w[-1]
+        weights = [sum(psi[:j + 1]) for j in range(h + 1)] if c.d else psi[:h + 1]
+        out.append((e, sum(x * x for x in weights)))
+    return out
+
+
+def test_forecast_follows_the_recursions(spark):
+    base, rows = D(2023, 1, 1), []
+    for k, (ar, ma, d) in enumerate([((0.6, 0.2), (0.0, 0.0), 0), ((0.4, 0.0), (0.5, 0.0), 0), ((0.3, 0.0), (0.0, 0.0), 1)]):
+        e = _arma(500, ar, ma, k, d)
+        rows += [(f"s{k}", base + dt.timedelta(days=i), 100.0 + float(e[i])) for i in range(500) if i % 50 != 7]   # days are missing
+    coef = forecast.tier2_fit(spark.createDataFrame(rows, "k string, report_date date, y double"), ["k"], "y")
+    kept = {c.k: c for c in coef.collect()}
+    assert {c.d for c in kept.values()} == {0, 1}
+    fc = forecast.tier2_forecast(spark.createDataFrame(list(kept.values()), coef.schema), ["k"], as_of=str(base + dt.timedelta(days=502))).collect()
+    assert len(fc) == 3 * 14 and {r.model for r in fc} == {c.model for c in kept.values()}
+    for r in fc:
+        c = kept[r.k]
+        h = (r.forecast_date - c.last_date).days
+        error, spread = _plain_path(c, h)[-1]
+        day = (r.forecast_date - dt.date(1970, 1, 1)).days
+        x = [1.0, (day - c.t0) / c.t_scale] + [float(r.forecast_date.isoweekday() % 7 + 1 == w) for w in range(2, 8)] + [0.0]
+        assert abs(r.predicted_value - error - sum(a * b for a, b in zip(c.coefficients, x, strict=True))) < 1e-6
+        assert abs((r.upper_bound - r.lower_bound) / 2 - forecast.z_value(0.9) * c.sigma * math.sqrt(spread)) < 1e-6
+
+
+def test_equations_and_scores(spark):
+    """The checks see a wrong coefficient; about a tenth of the days lie outside a 90 % interval; a
+    stored model scores days that it was not fitted on."""
+    h = _line(spark, n=300)
+    coef = forecast.tier2_fit(h, ["k"], "y")
+    good = forecast.tier2_equations(coef, h, ["k"], "y").collect()
+    assert [(r.n_points, r.normal_equations_hold, r.order_is_least, r.errors_are_stable) for r in good] == [(300, True, True, True)]
+    wrong = coef.withColumn("coefficients", F.transform("coefficients", lambda c, i: c + F.when(i == 1, 0.5).otherwise(0.0)))
+    assert not forecast.tier2_equations(wrong, h, ["k"], "y").first().normal_equations_hold
+    later = _line(spark, n=320).filter("report_date >= '2024-06-01'")
+    scored = anomaly.interval_anomalies(forecast.tier2_scored(coef, later, ["k"], "y"), actual_col="actual").collect()
+    assert len(scored) == later.count() and all(abs(r.predicted_sales - r.fitted) < 1e-9 for r in scored)
+    assert sum(r.is_anomaly for r in scored) / len(scored) < 0.35
+    noise = spark.createDataFrame([("s", D(2024, 1, 1) + dt.timedelta(days=i), float(v)) for i, v in enumerate(_arma(600, (0.5, 0.0), (0.0, 0.0), 5))],
+                                  "k string, report_date date, y double")
+    found = anomaly.interval_anomalies(forecast.tier2_scored(forecast.tier2_fit(noise, ["k"], "y"), noise, ["k"], "y"), actual_col="actual").collect()
+    assert 0.05 < sum(r.is_anomaly for r in found) / len(found) < 0.15
+
+
+def test_future_regressors_keep_regions_and_days(spark):
+    from tillcast.operators import enrich
+    rows = [(D(2025, 1, 1) + dt.timedelta(days=i), r, 40.0 + i, 0.0, 5.0, False, False) for i in range(20) for r in ("A", "B", "C", "D", "E")]
+    wf = spark.createDataFrame(rows, "forecast_date date, region string, avg_temp_f double, precipitation_in double, wind_speed_mph double, "
+                                     "rain_likely boolean, snow_likely boolean")
+    out = enrich.future_regressors(wf, "2025-01-01").collect()
+    assert len(out) == 14 * 5 and {r.region for r in out} == set("ABCDE") and max(r.report_date for r in out) == D(2025, 1, 15)

@@ -99,18 +99,19 @@ def weather_for_forecast(weather: DataFrame, forecast: DataFrame, as_of: str) ->
 
 
 def future_regressors(forecast: DataFrame, as_of: str, horizon: int = 14) -> DataFrame:
-    """The next ``horizon`` forecast days strictly after ``as_of``, defaulted.
-    (If the first forecast day is ``as_of`` itself, fewer than ``horizon`` remain.)"""
-    return (forecast.where(F.col("forecast_date") > F.lit(as_of).cast("date"))
+    """The forecast days strictly after ``as_of`` up to ``horizon`` days later, defaulted; per
+    region too where the forecast is. (Days count, not rows: one row a day and region.)"""
+    day, last = F.lit(as_of).cast("date"), F.date_add(F.lit(as_of).cast("date"), horizon)
+    return (forecast.where((F.col("forecast_date") > day) & (F.col("forecast_date") <= last))
             .select(
-                F.col("forecast_date").alias("report_date"),
+                F.col("forecast_date").alias("report_date"), *_weather_keys(forecast),
                 F.coalesce("avg_temp_f", F.lit(DEFAULT_AVG_TEMP_F)).alias("avg_temp_f"),
                 F.coalesce("precipitation_in", F.lit(DEFAULT_PRECIP_IN)).alias("precipitation_in"),
                 F.coalesce("wind_speed_mph", F.lit(DEFAULT_WIND_MPH)).alias("wind_speed_mph"),
                 F.when(F.col("rain_likely"), 1).otherwise(0).alias("is_rainy"),
                 F.when(F.col("snow_likely"), 1).otherwise(0).alias("is_snowy"),
                 F.when(is_weekend("forecast_date"), 1).otherwise(0).alias("is_weekend"))
-            .orderBy("report_date").limit(horizon))
+            .orderBy("report_date"))
 
 
 def category_sales_with_weather(view: DataFrame, weather: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ serving views (E8-E11)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.timeintel import us_holidays
@@ -10,6 +11,7 @@ from tillcast.operators import anomaly, enrich, forecast, series
 from tillcast.plans import q_core
 from tillcast.plans.context import tables
 from tillcast.plans.registry import query
+from tillcast.session import stage
 from tillcast.sources import testdata
 
 AS_OF = testdata.AS_OF
@@ -259,7 +261,14 @@ def e11_category_anomalies_view(spark, sf_dir):
     return out.withColumn("anomaly_probability", F.round("anomaly_probability", 6))
 
 
-# --- tier 2 (rows-only: a per-series numerical fit, no SQL equivalent) ---------
+# --- tier 2: per-series numerical fits ------------------------------------------
+# A fit has no SQL form, so the model and forecast queries have no oracle; each has a twin that checks
+# it by other means (normal equations by aggregates, order by AICc, intervals and identities by
+# expressions) and whose every row SQL can foretell.
+
+TOTAL_REGRESSORS = enrich.TOTAL_REGRESSORS
+_DENSE = {"primary": (PRIMARY_KEYS, q_core._DENSE_PRIMARY_SQL, "dense_primary"), "category": (FINE_KEYS, q_core._DENSE_FINE_SQL, "dense_fine")}
+
 
 def _holidays(spark, sf_dir):
     years = tables(spark, sf_dir).item_sales.select(F.year("report_date").alias("year")).distinct()
@@ -267,17 +276,45 @@ def _holidays(spark, sf_dir):
     return us_holidays(years.union(more).distinct())
 
 
-TOTAL_REGRESSORS = enrich.TOTAL_REGRESSORS
-
-
 def _total_training(spark, sf_dir):
     return enrich.total_sales_training(tables(spark, sf_dir).daily_summary)
 
 
+def _total_model(spark, sf_dir, regressors):
+    return forecast.tier2_fit(_total_training(spark, sf_dir), TOTAL_KEYS, "total_net_sales", regressors, _holidays(spark, sf_dir))
+
+
+def _series_model(spark, sf_dir, grain, value):
+    dense = _primary_dense(spark, sf_dir) if grain == "primary" else _fine_dense(spark, sf_dir)
+    return forecast.tier2_fit(dense, _DENSE[grain][0], value, None, _holidays(spark, sf_dir)), dense
+
+
+def _equations_sql(src: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return (f"SELECT {k}, count(*) AS n_points, max(report_date) AS last_date, TRUE AS normal_equations_hold, TRUE AS order_is_least, "
+            f"TRUE AS errors_are_stable FROM {src} GROUP BY {k}")
+
+
 @query("E1_total_sales_model_tier2")
 def e1_total_sales_model(spark, sf_dir):
-    return forecast.tier2_fit(_total_training(spark, sf_dir), TOTAL_KEYS, "total_net_sales",
-                              TOTAL_REGRESSORS, _holidays(spark, sf_dir))
+    return _total_model(spark, sf_dir, TOTAL_REGRESSORS)
+
+
+@query("E1_total_sales_model_equations", _equations_sql("daily_summary", TOTAL_KEYS))
+def e1_total_sales_model_equations(spark, sf_dir):
+    coef = stage(_total_model(spark, sf_dir, TOTAL_REGRESSORS), "model")
+    return forecast.tier2_equations(coef, _total_training(spark, sf_dir), TOTAL_KEYS, "total_net_sales", TOTAL_REGRESSORS, _holidays(spark, sf_dir))
+
+
+@query("E2_total_sales_model_no_regressors_tier2")
+def e2_total_sales_model(spark, sf_dir):
+    return _total_model(spark, sf_dir, None)
+
+
+@query("E2_total_sales_model_equations", _equations_sql("daily_summary", TOTAL_KEYS))
+def e2_total_sales_model_equations(spark, sf_dir):
+    coef = stage(_total_model(spark, sf_dir, None), "model")
+    return forecast.tier2_equations(coef, _total_training(spark, sf_dir), TOTAL_KEYS, "total_net_sales", None, _holidays(spark, sf_dir))
 
 
 @query("E4_total_sales_forecast_tier2")
@@ -290,21 +327,72 @@ def e4_total_forecast_tier2(spark, sf_dir):
         .withColumn("refreshed_at", F.lit(REFRESHED_AT).cast("timestamp"))
 
 
-@query("E2_total_sales_model_no_regressors_tier2")
-def e2_total_sales_model(spark, sf_dir):
-    return forecast.tier2_fit(_total_training(spark, sf_dir), TOTAL_KEYS, "total_net_sales",
-                              None, _holidays(spark, sf_dir))
+def forecast_checks(out, keys, value):
+    """Per forecast row: whether the value is the interval's middle, and whether the interval is no
+    narrower than the day before's."""
+    before = F.lag("w").over(Window.partitionBy(*keys).orderBy("forecast_date"))
+    near = 1e-9 * (F.abs("lower_bound") + F.abs("upper_bound") + 1)
+    out = out.withColumn("w", F.col("upper_bound") - F.col("lower_bound"))
+    return out.select("forecast_date", *keys, (F.abs((F.col("lower_bound") + F.col("upper_bound")) / 2 - F.col(value)) <= near).alias("centred"),
+                      F.coalesce(F.col("w") + near >= before, F.col("w") >= 0).alias("widening"))
+
+
+_DAYS_AHEAD = "CAST(unnest(generate_series({last} + 1, {last} + 14, INTERVAL 1 DAY)) AS DATE) AS forecast_date"
+
+
+# Total history ends before AS_OF, so all 14 days after it are ahead of every location.
+@query("E4_total_sales_forecast_checks",
+       f"SELECT {_DAYS_AHEAD.format(last=f'DATE {AS_OF!r}')}, location, TRUE AS centred, TRUE AS widening "
+       "FROM (SELECT DISTINCT location FROM daily_summary)")
+def e4_total_forecast_checks(spark, sf_dir):
+    return forecast_checks(e4_total_forecast_tier2(spark, sf_dir), TOTAL_KEYS, "predicted_sales")
+
+
+@query("E6_sales_anomalies_tier2")
+def e6_sales_anomalies_tier2(spark, sf_dir):
+    """E6 on the regressor model: each day against its one-step forecast from a stored coefficient table."""
+    coef = stage(_total_model(spark, sf_dir, TOTAL_REGRESSORS), "model")
+    scored = forecast.tier2_scored(coef, _total_training(spark, sf_dir), TOTAL_KEYS, "total_net_sales", TOTAL_REGRESSORS, _holidays(spark, sf_dir))
+    return anomaly.interval_anomalies(scored, actual_col="actual").withColumnRenamed("actual", "actual_sales")
+
+
+@query("E6_sales_anomalies_tier2_checks",
+       """SELECT report_date, location, CAST(total_net_sales AS DOUBLE) AS actual_sales, TRUE AS predicted_is_middle,
+       TRUE AS anomaly_is_outside, TRUE AS type_follows FROM daily_summary""")
+def e6_sales_anomalies_tier2_checks(spark, sf_dir):
+    """Each day's row is there with its actual sales; the prediction is the interval's middle, exactly the
+    days outside the interval are anomalies, and the type says on which side."""
+    a, lo, hi = F.col("actual_sales"), F.col("lower_bound"), F.col("upper_bound")
+    outside = (a > hi) | (a < lo)
+    kind = F.when(a > hi, "spike").when(a < lo, "drop").otherwise("normal")
+    # The probability comes from a polynomial, exact to 2e-7: days on the bound itself may fall either way.
+    on_it = F.abs(F.col("anomaly_probability") - 0.9) < 1e-6
+    return e6_sales_anomalies_tier2(spark, sf_dir).select(
+        "report_date", "location", "actual_sales",
+        (F.abs(F.col("predicted_sales") - F.col("fitted")) <= 1e-9 * (F.abs("fitted") + 1)).alias("predicted_is_middle"),
+        ((F.col("is_anomaly") == outside) | on_it).alias("anomaly_is_outside"), ((F.col("anomaly_type") == kind) | on_it).alias("type_follows"))
+
+
+def _register_series_models():
+    names = {"total_sales": ("sales", "predicted_sales"), "total_quantity": ("qty", "predicted_quantity")}
+    for grain, (keys, dense_sql, src) in _DENSE.items():
+        for value, (short, name) in names.items():
+            def forecasts(spark, sf_dir, grain=grain, keys=keys, value=value, name=name):
+                coef, _ = _series_model(spark, sf_dir, grain, value)
+                return forecast.tier2_forecast(coef, keys, holiday_dates=_holidays(spark, sf_dir), value_name=name)
+
+            def equations(spark, sf_dir, grain=grain, keys=keys, value=value):
+                coef, dense = _series_model(spark, sf_dir, grain, value)
+                return forecast.tier2_equations(stage(coef, "model"), dense, keys, value, None, _holidays(spark, sf_dir))
 
+            def checks(spark, sf_dir, forecasts=forecasts, keys=keys, name=name):
+                return forecast_checks(forecasts(spark, sf_dir), keys, name)
 
-@query("E3_category_sales_forecast_tier2")
-def e3_category_sales_forecast(spark, sf_dir):
-    hol = _holidays(spark, sf_dir)
-    coef = forecast.tier2_fit(_fine_dense(spark, sf_dir), FINE_KEYS, "total_sales", None, hol)
-    return forecast.tier2_forecast(coef, FINE_KEYS, holiday_dates=hol, value_name="predicted_sales")
+            k = ", ".join(keys)
+            query(f"E3_{grain}_{short}_forecast_tier2")(forecasts)
+            query(f"E3_{grain}_{short}_model_equations", dense_sql + _equations_sql(src, keys))(equations)
+            query(f"E5_{grain}_{short}_forecast_tier2_checks", dense_sql + f"""SELECT {k}, {_DAYS_AHEAD.format(last="last_date")}, TRUE AS centred,
+       TRUE AS widening FROM (SELECT {k}, max(report_date) AS last_date FROM {src} GROUP BY {k})""")(checks)
 
 
-@query("E3_primary_qty_forecast_tier2")
-def e3_primary_qty_forecast(spark, sf_dir):
-    hol = _holidays(spark, sf_dir)
-    coef = forecast.tier2_fit(_primary_dense(spark, sf_dir), PRIMARY_KEYS, "total_quantity", None, hol)
-    return forecast.tier2_forecast(coef, PRIMARY_KEYS, holiday_dates=hol, value_name="predicted_quantity")
+_register_series_models()
