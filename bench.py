@@ -47,20 +47,22 @@ def main() -> None:
     t = Tables(spark, sf_dir, fact=T.read_fact(spark, fact_path))
     fine_keys = ["location", "primary_category", "category"]
 
-    def points():           # the one pass over the fact is part of each job
-        return series.category_points(t.item_sales)
+    _, last = series.spine_bounds(t.item_sales)
+
+    def fine_points():      # the pass over the fact is part of each job
+        return series.qualifying_daily(t.item_sales, last)
 
     def fine_dense():
-        return series.category_dense(points())
+        return series.category_dense(t.item_sales)
 
     jobs = {
         "D1_daily_summary": lambda: t.daily_summary,
         "D8_category_dense": fine_dense,
-        "E7_category_anomalies": lambda: anomaly.zscore_from_arrays(
-            series.category_series_arrays(points()), fine_keys),
+        "E7_category_anomalies": lambda: anomaly.zscore_from_spans(
+            series.series_spans(fine_points(), fine_keys, None, last), fine_keys),
         "F3_period_comparisons": lambda: report.period_comparisons(t.daily_summary),
-        "E5_category_forecast_tier1": lambda: forecast.tier1_from_arrays(
-            series.category_series_arrays(points()), fine_keys, "total_sales", value_name="predicted_sales"),
+        "E5_category_forecast_tier1": lambda: forecast.tier1_from_sums(
+            series.qualifying_sums(t.item_sales, last), fine_keys, "total_sales", value_name="predicted_sales"),
         "E3_category_forecast_tier2": lambda: forecast.tier2_forecast(
             forecast.tier2_fit(fine_dense(), fine_keys, "total_sales"), fine_keys,
             value_name="predicted_sales"),

@@ -93,6 +93,69 @@ def test_refresh_job_writes_result_tables(spark):
     root = f"{checkpoint_dir(spark)}/test-jobs-{uuid.uuid4().hex}"
     written = jobs.refresh(t, root, "2001-08-02 06:00:00")
     assert all(written.values()), written
-    fc = spark.read.parquet(f"{root}/results/sales_forecast_results")
+    fc = jobs.read(spark, f"{root}/results", "sales_forecast_results")
     assert fc.count() == 14 * t.daily_summary.select("location").distinct().count()   # known locations only
     assert fc.select(F.countDistinct("refreshed_at")).first()[0] == 1
+
+
+def test_a_refresh_that_dies_leaves_the_old_set(spark, tmp_path):
+    """Tables of a run are served together or not at all; an empty result keeps the earlier table."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tillcast import jobs
+    folder = str(tmp_path / "results")
+    one = lambda v: spark.range(3).withColumn("v", F.lit(v))
+    assert jobs.current(spark, folder) == {}
+    with pytest.raises(ValueError):
+        jobs.read(spark, folder, "a")
+    assert jobs.publish(spark, folder, {"a": one(1), "b": one(1)}, "2025-01-01 06:00:00") == {"a": True, "b": True}
+    dies = spark.range(3).withColumn("v", F.raise_error(F.lit("half way")).cast("int"))
+    with pytest.raises(Exception, match="half way"):
+        jobs.publish(spark, folder, {"a": one(2), "b": dies}, "2025-01-02 06:00:00")
+    served = {n: {(r.v, str(r.refreshed_at)) for r in jobs.read(spark, folder, n).collect()} for n in "ab"}
+    assert served == {n: {(1, "2025-01-01 06:00:00")} for n in "ab"}
+    held = jobs.read(spark, folder, "a")        # a reader's set stays while a newer one is published
+    assert jobs.publish(spark, folder, {"a": one(3), "b": one(3).filter("id > 9")}, "2025-01-03 06:00:00") == {"a": True, "b": False}
+    assert {r.v for r in held.collect()} == {1} and {r.v for r in jobs.read(spark, folder, "a").collect()} == {3}
+    assert {r.v for r in jobs.read(spark, folder, "b").collect()} == {1}
+
+
+def test_sparse_sums_equal_the_dense_days(spark):
+    """Tier 1 and z-scores from sums equal those from zero-filled rows, also for one-day, constant and NULL-key series."""
+    import datetime as dt
+    import random
+
+    from tillcast.operators import anomaly, forecast, series
+    draw, base = random.Random(2), dt.date(2024, 1, 3)
+    rows = []
+    for k, days in (("a", range(0, 300, 3)), ("b", range(7, 300)), ("c", [299]), (None, range(0, 300, 5)), ("d", sorted(draw.sample(range(300), 40)))):
+        rows += [(base + dt.timedelta(days=i), "L", k, 5.0 if k == "b" else round(draw.uniform(-3, 40), 2), 1 if k == "b" else draw.randint(0, 9)) for i in days]
+    sales = spark.createDataFrame(rows, "report_date date, location string, primary_category string, net_sales double, quantity_sold long")
+    keys = ["location", "primary_category"]
+    lo, hi = series.spine_bounds(sales)
+    dense = series.primary_category_dense(sales)
+    points = series.primary_daily(sales)
+
+    def close(a, b):
+        assert set(a) == set(b)
+        for k in a:
+            for x, y in zip(a[k], b[k], strict=True):
+                assert x == y if not isinstance(x, float) or y is None else abs(x - y) < 1e-6 * (1 + abs(y)), (k, a[k], b[k])
+
+    want = anomaly.zscore_anomalies(series.unpivot_metrics(dense, keys), [*keys, "metric_type"]).collect()
+    got = anomaly.zscore_from_spans(series.series_spans(points, keys, lo, hi), keys).collect()
+    unkeyed = [r for r in got if r.primary_category is None]
+    assert len(unkeyed) == 600 and all(r.actual_value == 0 and r.is_anomaly is None for r in unkeyed)
+    got = [r for r in got if r.primary_category is not None]      # the plain form's join drops them
+    cols = ["actual_value", "predicted_value", "lower_bound", "upper_bound", "anomaly_probability", "is_anomaly", "anomaly_type"]
+    table = lambda rs: {(r.report_date, r.primary_category, r.metric_type): [r[c] for c in cols] for r in rs}
+    close(table(got), table(want))
+    spikes = anomaly.zscore_from_spans(series.series_spans(points, keys, lo, hi), keys, spikes_only=True).collect()
+    close(table(spikes), table([r for r in want if r.anomaly_type == "spike"]))
+    for metric in ("total_sales", "total_quantity"):
+        coef, season = forecast.tier1_fit(dense.filter("primary_category is not null"), keys, metric)
+        want = forecast.tier1_forecast(coef, season, keys).collect()
+        got = forecast.tier1_from_sums(series.series_sums(points.filter("primary_category is not null"), keys, lo, hi), keys, metric).collect()
+        table = lambda rs: {(r.forecast_date, r.primary_category): [r.predicted_value, r.lower_bound, r.upper_bound] for r in rs}
+        close(table(got), table(want))

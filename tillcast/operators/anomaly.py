@@ -68,6 +68,32 @@ def zscore_from_arrays(arr: DataFrame, keys: list[str]) -> DataFrame:
         .alias("anomaly_type"))
 
 
+def zscore_from_spans(spans: DataFrame, keys: list[str], spikes_only: bool = False) -> DataFrame:
+    """E7 on ``series.series_spans``: the same rows as ``zscore_anomalies`` over the zero-filled days.
+    With ``spikes_only`` a zero day is made only in a series where zero itself is a spike."""
+    def z(m, x):
+        return (x - F.col(f"{m}_mean")) / F.nullif(F.col(f"{m}_sd"), F.lit(0.0))
+
+    names = (("sales", "total_sales"), ("quantity", "total_quantity"))
+    if spikes_only:
+        zero = F.coalesce(z("total_sales", F.lit(0.0)) > Z_THRESHOLD, F.lit(False)) | F.coalesce(z("total_quantity", F.lit(0.0)) > Z_THRESHOLD, F.lit(False))
+        spans = spans.withColumn("from_d", F.when(zero, F.col("from_d")).otherwise(F.col("report_date"))) \
+            .withColumn("to_d", F.when(zero, F.col("to_d")).otherwise(F.col("report_date")))
+    rows = spans.select("*", F.explode(F.sequence("from_d", "to_d")).alias("day"))
+    own = F.col("day") == F.col("report_date")
+    one = lambda name, m: F.struct(F.lit(name).alias("metric_type"), F.when(own, F.col(m).cast("double")).otherwise(0.0).alias("actual_value"),
+                                   F.col(f"{m}_mean").alias("mean_val"), F.col(f"{m}_sd").alias("stddev_val"))
+    rows = rows.select(F.col("day").alias("report_date"), *keys, F.explode(F.array(*[one(*x) for x in names])).alias("v")).select("report_date", *keys, "v.*")
+    score = (F.col("actual_value") - F.col("mean_val")) / F.nullif(F.col("stddev_val"), F.lit(0.0))
+    out = rows.select(
+        "report_date", *keys, "metric_type", "actual_value", F.col("mean_val").alias("predicted_value"),
+        (F.col("mean_val") - Z_THRESHOLD * F.col("stddev_val")).alias("lower_bound"),
+        (F.col("mean_val") + Z_THRESHOLD * F.col("stddev_val")).alias("upper_bound"),
+        (F.abs(score) / Z_PROBABILITY_SCALE).alias("anomaly_probability"), (F.abs(score) > Z_THRESHOLD).alias("is_anomaly"),
+        F.when(score > Z_THRESHOLD, "spike").when(score < -Z_THRESHOLD, "drop").otherwise("normal").alias("anomaly_type"))
+    return out.where(F.col("anomaly_type") == "spike") if spikes_only else out
+
+
 def normal_cdf(x) -> F.Column:
     """Standard normal CDF as a Column expression (no UDF).
 

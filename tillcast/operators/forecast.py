@@ -145,6 +145,39 @@ def tier1_from_arrays(arr: DataFrame, keys: list[str], metric: str, horizon: int
                     F.lit(confidence).alias("confidence_level"))
 
 
+def tier1_from_sums(sums: DataFrame, keys: list[str], metric: str, horizon: int = DEFAULT_HORIZON,
+                    confidence: float = DEFAULT_CONFIDENCE, value_name: str = "predicted_value") -> DataFrame:
+    """Tier 1 from ``series.series_sums``: the same model as ``tier1_fit`` + ``tier1_forecast`` on the
+    zero-filled days, by closed forms. With i the day index, the weekday that comes first at i0 has
+    the days i0, i0 + 7, ..., so its number of days and the sum of their indexes need no rows; the
+    residuals' squares are Syy - b Sxy less those of the weekday offsets."""
+    z = z_value(confidence)
+    n, m = F.col("n").cast("double"), F.col(metric)
+    half = (n - 1) / 2
+    a = sums.select(*keys, "start", "n", m.alias("m"))
+    m = F.col("m")
+    a = a.withColumn("sxy", m["iy"] - half * m["y"]).withColumn("slope", F.when(n > 1, F.col("sxy") / (n * (n * n - 1) / 12)))
+    a = a.withColumn("icpt", m["y"] / n - F.col("slope") * half)
+
+    def offset(d: int):
+        i0 = F.pmod(F.lit(d) - F.dayofweek("start"), F.lit(7)).cast("double")
+        days = F.greatest(F.floor((n - 1 - i0) / 7) + 1, F.lit(0)).cast("double")
+        season = (m["by_dow"][d - 1] - F.col("icpt") * days - F.col("slope") * (days * i0 + 7 * days * (days - 1) / 2)) / F.nullif(days, F.lit(0.0))
+        return F.struct(season.alias("season"), days.alias("days"))
+
+    a = a.withColumn("week", F.array(*map(offset, range(1, 8))))
+    fitted = F.aggregate("week", F.lit(0.0), lambda acc, x: acc + F.coalesce(x["days"] * x["season"] * x["season"], F.lit(0.0)))
+    squares = m["yy"] - m["y"] * m["y"] / n - F.col("slope") * F.col("sxy") - fitted
+    squares = F.when(squares <= 1e-12 * m["yy"], F.lit(0.0)).otherwise(squares)
+    a = a.withColumn("sigma", F.when(n > 1, F.sqrt(squares / (n - 1))))
+    f = a.select(*keys, "start", "icpt", "slope", "week", "sigma", F.explode(F.sequence(F.col("n"), F.col("n") + horizon - 1)).alias("i"))
+    dow = (F.dayofweek("start") - 1 + F.col("i")) % 7 + 1
+    yhat = F.col("icpt") + F.col("slope") * F.col("i") + F.coalesce(F.element_at("week", dow)["season"], F.lit(0.0))
+    return f.select(F.date_add("start", F.col("i")).alias("forecast_date"), *keys, yhat.alias(value_name),
+                    (yhat - z * F.col("sigma")).alias("lower_bound"), (yhat + z * F.col("sigma")).alias("upper_bound"),
+                    F.lit(confidence).alias("confidence_level"))
+
+
 # ---------------------------------------------------------------------------
 # Tier 2
 # ---------------------------------------------------------------------------

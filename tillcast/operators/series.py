@@ -6,10 +6,14 @@ a spine to every category. The fact is aggregated per (series, date) (map-side
 combined) and shuffled once by series; then either
 * ``dense_rows`` (D7, D8): each point emits its own day and the zero days before
   the next point (lag / lead + a code-generated explode), or
-* ``series_arrays`` (E7, tier-1 forecasts): the points of a series form one
-  zero-filled array (at most one entry per calendar day, so bounded by the
-  calendar, not by the fact table) from which statistics are read without a join.
-Either way zeros are generated after the last shuffle and are never shuffled.
+* ``daily`` + ``series_sums`` (E5): a day without sales adds nothing to a sum, so all that a
+  tier-1 model needs - slope, weekday offsets, mean, deviation - comes from sums of the sparse
+  points and the number of days. No zero row and no array is made.
+* ``series_spans`` (E7, Q50): each point with its series' statistics and the days up to the next
+  point, by windows over one distribution; zero days are made only where the result has them.
+* ``series_arrays``: the points of a series as one zero-filled array (at most one entry per
+  calendar day).
+In every form zeros are generated after the last shuffle and are never shuffled.
 """
 
 from __future__ import annotations
@@ -79,25 +83,109 @@ def series_arrays(facts: DataFrame, keys: list[str], start, hi) -> DataFrame:
             .select(*keys, "start", vals.alias("vals")))
 
 
+METRICS = ("total_sales", "total_quantity")
+
+
+def daily(sales: DataFrame, keys: list[str]) -> DataFrame:
+    """The sparse points of every series: keys, report_date, total_sales and total_quantity, one row
+    a day with sales, combined before the shuffle. A series with a NULL key never matches an equality
+    join in the reference: its days are there, its values are 0."""
+    known = F.lit(True)
+    for k in keys[1:]:
+        known = known & F.col(k).isNotNull()
+    out = sales.groupBy(*keys, "report_date").agg(F.sum("net_sales").cast("double").alias("s"), F.sum("quantity_sold").cast("bigint").alias("q"))
+    return out.select(*keys, "report_date", F.when(known, F.coalesce("s", F.lit(0.0))).otherwise(0.0).alias("total_sales"),
+                      F.when(known, F.coalesce("q", F.lit(0))).otherwise(0).cast("bigint").alias("total_quantity"))
+
+
+def series_sums(points: DataFrame, keys: list[str], start, hi) -> DataFrame:
+    """One row per series of ``daily`` points: ``start`` (None: its own first day), the number ``n`` of
+    days up to ``hi``, and per metric a struct of sums over its days: y, iy (i counts days from the
+    start), yy, and by_dow (y per weekday, Sunday first). A partial sum per task is all that is shuffled."""
+    t = F.datediff("report_date", F.lit("1970-01-01").cast("date"))
+
+    def sums(c):
+        y = F.col(c).cast("double")
+        return F.struct(F.sum(y).alias("y"), F.sum(t * y).alias("ty"), F.sum(y * y).alias("yy"),
+                        F.array(*[F.sum(F.when(F.dayofweek("report_date") == d, y).otherwise(0.0)) for d in range(1, 8)]).alias("by_dow")).alias(c)
+
+    out = points.groupBy(*keys).agg(F.min("report_date").alias("first_day"), *map(sums, METRICS))
+    out = out.withColumn("start", F.col("first_day") if start is None else start).withColumn("n", F.datediff(hi, "start") + 1)
+    zero = F.datediff("start", F.lit("1970-01-01").cast("date"))
+    return out.select(*keys, "start", "n", *[F.struct(F.col(m)["y"].alias("y"), (F.col(m)["ty"] - zero * F.col(m)["y"]).alias("iy"),
+                                                      F.col(m)["yy"].alias("yy"), F.col(m)["by_dow"].alias("by_dow")).alias(m) for m in METRICS])
+
+
+def deviation(n, y, yy):
+    """Mean and sample deviation of ``n`` values from their sum and sum of squares. A spread that is
+    nothing but rounding (1e-12 of the squares) is 0."""
+    n = n.cast("double")
+    spread = n * yy - y * y
+    spread = F.when(spread <= 1e-12 * n * yy, F.lit(0.0)).otherwise(spread)
+    return y / n, F.when(n > 1, F.sqrt(spread / (n * (n - 1))))
+
+
+def series_spans(points: DataFrame, keys: list[str], start, hi) -> DataFrame:
+    """``daily`` points with ``from_d`` and ``to_d`` (the days until the next point; the first point also
+    has those from the ``start``), and per metric the mean and sample deviation over all days,
+    zeros included. One distribution by series, at most a row a day in each."""
+    w = Window.partitionBy(*keys)
+    by_day = w.orderBy("report_date")
+    first = F.min("report_date").over(w) if start is None else start
+    out = points.withColumn("start", first).withColumn("prev", F.lag("report_date").over(by_day)).withColumn("next", F.lead("report_date").over(by_day))
+    for m in METRICS:
+        y = F.col(m).cast("double")
+        out = out.withColumn(f"{m}_y", F.sum(y).over(w)).withColumn(f"{m}_yy", F.sum(y * y).over(w))
+    n = F.datediff(hi, "start") + 1
+    stats = []
+    for m in METRICS:
+        mean, sd = deviation(n, F.col(f"{m}_y"), F.col(f"{m}_yy"))
+        stats += [mean.alias(f"{m}_mean"), sd.alias(f"{m}_sd")]
+    return out.select(*keys, "report_date", *METRICS, *stats, F.when(F.col("prev").isNull(), F.col("start")).otherwise(F.col("report_date")).alias("from_d"),
+                      F.when(F.col("next").isNull(), hi).otherwise(F.date_sub("next", 1)).alias("to_d"))
+
+
+def primary_daily(sales: DataFrame) -> DataFrame:
+    return daily(sales, ["location", "primary_category"])
+
+
+def qualifying_daily(sales: DataFrame, hi, min_days: int = MIN_HISTORY_DAYS) -> DataFrame:
+    """Fine-category points of the categories that (by name, across primaries) have existed for
+    ``min_days``. Dealt by (location, category): the windows and sums by series that follow
+    need no other distribution."""
+    points = daily(sales, ["location", "primary_category", "category"]).where(F.col("category").isNotNull())
+    w = Window.partitionBy("location", "category")
+    return (points.withColumn("__first", F.min("report_date").over(w)).where(F.datediff(hi, "__first") + 1 >= min_days).drop("__first"))
+
+
+def qualifying_sums(sales: DataFrame, hi, min_days: int = MIN_HISTORY_DAYS) -> DataFrame:
+    """``series_sums`` of the same categories: the points are not dealt out again, a row a series is."""
+    keys = ["location", "primary_category", "category"]
+    sums = series_sums(daily(sales, keys), keys, None, hi).where(F.col("category").isNotNull())
+    w = Window.partitionBy("location", "category")
+    return sums.withColumn("__first", F.min("start").over(w)).where(F.datediff(hi, "__first") + 1 >= min_days).drop("__first")
+
+
 def dense_rows(facts: DataFrame, keys: list[str], start, hi) -> DataFrame:
     """Zero-filled rows straight from the sparse daily points: each point emits its
     own day and the zero days before the next point (or through ``hi``); the first
     point also emits the days from ``start`` (None = from itself). lag / lead over the series'
     points (one shuffle by series, bounded by its days) and a code-generated explode;
     no arrays are built, no zeros are shuffled."""
-    daily = facts.groupBy(*keys, "report_date").agg(
-        F.sum("net_sales").cast("double").alias("s"), F.sum("quantity_sold").cast("bigint").alias("q"))
+    return spread(daily(facts, keys), keys, start, hi)
+
+
+def spread(points: DataFrame, keys: list[str], start, hi) -> DataFrame:
+    """``daily`` points as dense rows (report_date, keys, total_sales, total_quantity)."""
     w = Window.partitionBy(*keys).orderBy("report_date")
     prev, nxt = F.lag("report_date").over(w), F.lead("report_date").over(w)
     first = F.col("report_date") if start is None else start
-    d = daily.select(*keys, "report_date", "s", "q",
-                     F.when(prev.isNull(), first).otherwise(F.col("report_date")).alias("from_d"),
-                     F.when(nxt.isNull(), hi).otherwise(F.date_sub(nxt, 1)).alias("to_d"))
-    e = d.select(*keys, "report_date", "s", "q", F.explode(F.sequence("from_d", "to_d")).alias("day"))
+    d = points.select(*keys, "report_date", *METRICS, F.when(prev.isNull(), first).otherwise(F.col("report_date")).alias("from_d"),
+                      F.when(nxt.isNull(), hi).otherwise(F.date_sub(nxt, 1)).alias("to_d"))
+    e = d.select(*keys, "report_date", *METRICS, F.explode(F.sequence("from_d", "to_d")).alias("day"))
     own = F.col("day") == F.col("report_date")
-    return e.select(F.col("day").alias("report_date"), *keys,
-                    F.when(own, F.col("s")).otherwise(F.lit(0.0)).alias("total_sales"),
-                    F.when(own, F.col("q")).otherwise(F.lit(0).cast("bigint")).alias("total_quantity"))
+    return e.select(F.col("day").alias("report_date"), *keys, F.when(own, F.col("total_sales")).otherwise(F.lit(0.0)).alias("total_sales"),
+                    F.when(own, F.col("total_quantity")).otherwise(F.lit(0).cast("bigint")).alias("total_quantity"))
 
 
 def _zero_rows(zero_keys: DataFrame, keys, start, hi) -> DataFrame:
@@ -161,11 +249,7 @@ def category_dense(sales: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFr
     """
     _, hi = spine_bounds(sales)
     keys = ["location", "primary_category", "category"]
-    ok = _qualifying_categories(sales, hi, min_days)
-    facts = sales.where(F.col("primary_category").isNotNull() & F.col("category").isNotNull()) \
-        .join(ok.select(*keys), keys, "left_semi")
-    nulls = ok.where(F.col("primary_category").isNull() | F.col("category").isNull())
-    return dense_rows(facts, keys, None, hi).unionByName(_zero_rows(nulls, keys, F.col("first_sale_date"), hi))
+    return spread(qualifying_daily(sales, hi, min_days), keys, None, hi)
 
 
 def _qualifying_categories(sales: DataFrame, hi, min_days: int) -> DataFrame:

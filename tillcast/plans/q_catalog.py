@@ -466,9 +466,8 @@ def _item_spikes(t):
     keys = ["location", "item_name"]
     sales = t.item_sales
     lo, hi = series.spine_bounds(sales)
-    arr = series.series_arrays(sales.where(F.col("item_name").isNotNull()), keys, lo, hi)
-    z = anomaly.zscore_from_arrays(arr, keys)
-    out = z.where(F.col("anomaly_type") == "spike")
+    points = series.daily(sales.where(F.col("item_name").isNotNull()), keys)
+    out = anomaly.zscore_from_spans(series.series_spans(points, keys, lo, hi), keys, spikes_only=True)
     for c in ("predicted_value", "lower_bound", "upper_bound", "anomaly_probability"):
         out = out.withColumn(c, F.round(c, 6))
     return out

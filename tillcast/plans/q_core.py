@@ -226,12 +226,12 @@ dense_fine AS (
 
 @query("D7_primary_category_dense", _DENSE_PRIMARY_SQL + "SELECT * FROM dense_primary")
 def d7_primary_category_dense(spark, sf_dir):
-    return series.primary_category_dense(tables(spark, sf_dir).category_points)
+    return series.primary_category_dense(tables(spark, sf_dir).item_sales)
 
 
 @query("D8_category_dense", _DENSE_FINE_SQL + "SELECT * FROM dense_fine")
 def d8_category_dense(spark, sf_dir):
-    return series.category_dense(tables(spark, sf_dir).category_points)
+    return series.category_dense(tables(spark, sf_dir).item_sales)
 
 
 @query("D9_forecastable_categories", f"""
@@ -295,13 +295,15 @@ def _round6(df):
 
 
 def primary_anomalies(spark, sf_dir):
-    keys = ["location", "primary_category"]
-    return anomaly.zscore_from_arrays(series.primary_series_arrays(tables(spark, sf_dir).category_points), keys)
+    keys, sales = ["location", "primary_category"], tables(spark, sf_dir).item_sales
+    lo, hi = series.spine_bounds(sales)
+    return anomaly.zscore_from_spans(series.series_spans(series.primary_daily(sales), keys, lo, hi), keys)
 
 
 def fine_anomalies(spark, sf_dir):
-    keys = ["location", "primary_category", "category"]
-    return anomaly.zscore_from_arrays(series.category_series_arrays(tables(spark, sf_dir).category_points), keys)
+    keys, sales = ["location", "primary_category", "category"], tables(spark, sf_dir).item_sales
+    _, hi = series.spine_bounds(sales)
+    return anomaly.zscore_from_spans(series.series_spans(series.qualifying_daily(sales, hi), keys, None, hi), keys)
 
 
 @query("E7_primary_category_anomalies",

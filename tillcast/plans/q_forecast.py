@@ -3,15 +3,18 @@ serving views (E8-E11)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tillcast import jobs
 from tillcast.functions.timeintel import us_holidays
 from tillcast.operators import anomaly, enrich, forecast, series
 from tillcast.plans import q_core
 from tillcast.plans.context import tables
 from tillcast.plans.registry import query
-from tillcast.session import stage
+from tillcast.session import run_dir, stage
 from tillcast.sources import testdata
 
 AS_OF = testdata.AS_OF
@@ -69,11 +72,11 @@ def _total_history(spark, sf_dir):
 
 
 def _primary_dense(spark, sf_dir):
-    return series.primary_category_dense(tables(spark, sf_dir).category_points)
+    return series.primary_category_dense(tables(spark, sf_dir).item_sales)
 
 
 def _fine_dense(spark, sf_dir):
-    return series.category_dense(tables(spark, sf_dir).category_points)
+    return series.category_dense(tables(spark, sf_dir).item_sales)
 
 
 def tier1(history, keys, value, name):
@@ -82,10 +85,14 @@ def tier1(history, keys, value, name):
 
 
 def tier1_dense(spark, sf_dir, keys, value, name):
-    """Tier 1 over the zero-filled primary / fine series (array form)."""
-    sales = tables(spark, sf_dir).category_points
-    arr = series.primary_series_arrays(sales) if keys == PRIMARY_KEYS else series.category_series_arrays(sales)
-    return forecast.tier1_from_arrays(arr, keys, value, value_name=name)
+    """Tier 1 over the zero-filled primary / fine series, from sums of their sparse points."""
+    sales = tables(spark, sf_dir).item_sales
+    lo, hi = series.spine_bounds(sales)
+    if keys == PRIMARY_KEYS:
+        sums = series.series_sums(series.primary_daily(sales), keys, lo, hi)
+    else:
+        sums = series.qualifying_sums(sales, hi)
+    return forecast.tier1_from_sums(sums, keys, value, value_name=name)
 
 
 @query("E4_total_sales_forecast_tier1",
@@ -396,3 +403,40 @@ def _register_series_models():
 
 
 _register_series_models()
+
+
+# --- G10: results read back from a published set ---------------------------------
+
+def _served(spark, sf_dir, name):
+    """The table as a reader finds it after a refresh that replaced an older set."""
+    t = tables(spark, sf_dir)
+    root = f"{run_dir(spark)}/served-{uuid.uuid4().hex}"
+    jobs.refresh(t, root, "2001-01-01 06:00:00", only=["daily_summary"])
+    jobs.refresh(t, root, REFRESHED_AT, only=["daily_summary", name])
+    return jobs.read(spark, f"{root}/results", name)
+
+
+@query("G10_served_sales_forecast",
+       _tier1_cte("daily_summary", TOTAL_KEYS, "total_net_sales", "tot")
+       + f"SELECT *, TIMESTAMP '{REFRESHED_AT}' AS refreshed_at FROM (" + _tier1_select("tot", TOTAL_KEYS, "predicted_sales") + ")")
+def g10_served_sales_forecast(spark, sf_dir):
+    return _round_cols(_served(spark, sf_dir, "sales_forecast_results"), ["predicted_sales", "lower_bound", "upper_bound"], 2)
+
+
+@query("G10_served_category_forecast",
+       q_core._DENSE_FINE_SQL + _tier1_cte("dense_fine", FINE_KEYS, "total_quantity", "cq")
+       + f"SELECT *, TIMESTAMP '{REFRESHED_AT}' AS refreshed_at FROM (" + _tier1_select("cq", FINE_KEYS, "predicted_quantity") + ")")
+def g10_served_category_forecast(spark, sf_dir):
+    return _round_cols(_served(spark, sf_dir, "category_qty_forecast_results"), ["predicted_quantity", "lower_bound", "upper_bound"], 2)
+
+
+@query("G10_models_serve_forecast",
+       f"SELECT {_DAYS_AHEAD.format(last=f'DATE {AS_OF!r}')}, location, TRUE AS centred, TRUE AS widening "
+       "FROM (SELECT DISTINCT location FROM daily_summary)")
+def g10_models_serve_forecast(spark, sf_dir):
+    """Retrain, then refresh: the served forecast comes from the stored regressor model."""
+    t, root = tables(spark, sf_dir), f"{run_dir(spark)}/served-{uuid.uuid4().hex}"
+    jobs.retrain(t, root, REFRESHED_AT, only=["total_sales_model"])
+    jobs.refresh(t, root, REFRESHED_AT, only=["sales_forecast_results"])
+    served = jobs.read(spark, f"{root}/results", "sales_forecast_results")
+    return forecast_checks(served.where("model like 'ridge_arma%'"), TOTAL_KEYS, "predicted_sales")
