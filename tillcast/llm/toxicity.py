@@ -153,13 +153,17 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Linea
     if prior is None:
         prior = known.agg(F.avg("toxic")).first()[0] or 0.0
     prior = min(max(prior, 1e-3), 0.5)
-    ids = docs.select("doc_id", F.char_length("text").alias("n")).filter(learn & F.col("doc_id").isNotNull() & (F.col("n") <= FIT_CHARS))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    unlabelled = ids.select("doc_id").orderBy(*order).limit(FIT_UNLABELLED).withColumn("toxic", F.lit(0))
-    positive = (ids.select("doc_id").join(known.filter("toxic = 1").select("doc_id").distinct(), "doc_id")
+    # One text per id, so the sample's bound holds whatever repeats; long texts teach only where
+    # there are not enough others.
+    ids = docs.select("doc_id", F.struct(F.char_length("text").alias("n"), F.xxhash64("text").alias("mark")).alias("t"))
+    ids = ids.filter(learn & F.col("doc_id").isNotNull() & F.col("t.n").isNotNull()).groupBy("doc_id").agg(F.min("t").alias("t")).select("doc_id", "t.*")
+    order = [F.col("n") > FIT_CHARS, F.xxhash64("doc_id"), F.col("doc_id")]
+    unlabelled = ids.orderBy(*order).limit(FIT_UNLABELLED).withColumn("toxic", F.lit(0))
+    positive = (ids.join(known.filter("toxic = 1").select("doc_id").distinct(), "doc_id")
                 .orderBy(*order).limit(FIT_POSITIVE).withColumn("toxic", F.lit(1)))
     chosen = stage(unlabelled.unionAll(positive), "chosen")  # at most FIT_UNLABELLED + FIT_POSITIVE rows
-    texts = docs.select("doc_id", "text").filter(F.char_length("text") <= FIT_CHARS).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(F.broadcast(chosen.drop("n")), ["doc_id", "mark"])
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # repeated rows
     rows = sorted((toxic, bytes(x)) for toxic, x in examples(texts).collect())
     side = [[np.frombuffer(x, dtype=np.int32) for toxic, x in rows if toxic == k] for k in (1, 0)]
     return train(side[0], side[1], prior)
