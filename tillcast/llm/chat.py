@@ -15,8 +15,8 @@ last assistant turn's text replaced by the partner's last assistant text. Withou
 or an assistant turn on either side, both are the same and the completions are empty.
 
 Defined results: null roles and texts are empty; a turn is ordered by turn (null first), role,
-text, and repeated rows are turns of their own; rows with a null conv_id form one
-conversation without a partner; if one side is a prefix of the other its completion is
+text, and repeated rows are turns of their own; a row with a null conv_id belongs to no
+other and is a conversation of its own, without a partner; if one side is a prefix of the other its completion is
 empty; an empty table gives no rows. Extra columns are ignored. A conversation is one row of
 the result, so its turns meet in one task.
 """
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import table
+from tillcast.llm.common import running_sum, table
 
 TRAINED_ROLE = "assistant"
 END = "\n<|end|>\n"
@@ -46,15 +46,11 @@ def rendered(turns: Column) -> Column:
 
 def mask(turns: Column) -> Column:
     """``start:length`` of the trained spans in the rendered turns, in characters."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
-
-    def add(so_far: Column, t: Column) -> Column:
-        head, body = F.char_length(header(t["role"])), F.char_length(escaped(t["text"])) + len(END)
-        span = F.concat((so_far["at"] + head).cast("string"), F.lit(":"), body.cast("string"))
-        return F.struct((so_far["at"] + head + body).alias("at"),
-                        F.when(t["role"] == TRAINED_ROLE, F.array_append(so_far["spans"], span)).otherwise(so_far["spans"]).alias("spans"))
-
-    return F.array_join(F.aggregate(turns, start, add, lambda done: done["spans"]), ",")
+    bodies = F.transform(turns, lambda t: F.char_length(escaped(t["text"])) + len(END))
+    ends = running_sum(F.zip_with(bodies, turns, lambda body, t: body + F.char_length(header(t["role"]))))
+    spans = F.zip_with(F.zip_with(ends, bodies, lambda end, body: F.concat((end - body).cast("string"), F.lit(":"), body.cast("string"))),
+                       turns, lambda span, t: F.when(t["role"] == TRAINED_ROLE, span))
+    return F.array_join(spans, ",")  # without the nulls
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -68,7 +64,8 @@ def common_turns(a: Column, b: Column) -> Column:
 def conversations(rows: DataFrame) -> DataFrame:
     """conv_id and its turns in order, as an array of (turn, role, text)."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    return rows.withColumn("__own", own).groupBy("conv_id", "__own").agg(F.sort_array(F.collect_list(turn)).alias("turns")).drop("__own")
 
 
 def format_pairs(pairs: DataFrame) -> DataFrame:
@@ -102,29 +99,29 @@ def op8_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH t AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
-  FROM conversations),
+    row_number() OVER (PARTITION BY conv_id, own ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos, own
+  FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own FROM conversations)),
 l AS (SELECT conv_id, max(pos) AS pos FROM t WHERE role = 'assistant' GROUP BY conv_id),
 a AS (SELECT t.conv_id, t.pos, t.text FROM t JOIN l ON t.conv_id = l.conv_id AND t.pos = l.pos),
 s AS (
-  SELECT t.conv_id, t.pos, t.role, t.text, CASE WHEN own.pos IS NOT NULL AND other.text IS NOT NULL THEN other.text ELSE t.text END AS swapped
+  SELECT t.conv_id, t.own, t.pos, t.role, t.text, CASE WHEN own.pos IS NOT NULL AND other.text IS NOT NULL THEN other.text ELSE t.text END AS swapped
   FROM t LEFT JOIN a own ON own.conv_id = t.conv_id AND own.pos = t.pos
   LEFT JOIN a other ON other.conv_id = xor(t.conv_id, 1::BIGINT)),
 r AS (
   SELECT *, '<|' || replace(replace(role, '\', '\\'), '<|', '<\|') || '|>' || chr(10) AS head,
     replace(replace(text, '\', '\\'), '<|', '<\|') || chr(10) || '<|end|>' || chr(10) AS body,
     replace(replace(swapped, '\', '\\'), '<|', '<\|') || chr(10) || '<|end|>' || chr(10) AS other_body,
-    coalesce(min(CASE WHEN text <> swapped THEN pos END) OVER (PARTITION BY conv_id) - 1, count(*) OVER (PARTITION BY conv_id)) AS n
+    coalesce(min(CASE WHEN text <> swapped THEN pos END) OVER (PARTITION BY conv_id, own) - 1, count(*) OVER (PARTITION BY conv_id, own)) AS n
   FROM s),
 o AS (
   SELECT *, coalesce(sum(CASE WHEN pos > n THEN length(head || body) END) OVER w, 0) AS start_at,
     coalesce(sum(CASE WHEN pos > n THEN length(head || other_body) END) OVER w, 0) AS other_start
-  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  FROM r WINDOW w AS (PARTITION BY conv_id, own ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT conv_id AS pair_id, max(n) AS n_prompt_turns, count(*) FILTER (pos > n) AS n_chosen_turns, count(*) FILTER (pos > n) AS n_rejected_turns,
   coalesce(string_agg(head || body, '' ORDER BY pos) FILTER (pos <= n), '') AS prompt,
   coalesce(string_agg(head || body, '' ORDER BY pos) FILTER (pos > n), '') AS chosen,
   coalesce(string_agg((start_at + length(head))::BIGINT || ':' || length(body), ',' ORDER BY pos) FILTER (pos > n AND role = 'assistant'), '') AS chosen_mask,
   coalesce(string_agg(head || other_body, '' ORDER BY pos) FILTER (pos > n), '') AS rejected,
   coalesce(string_agg((other_start + length(head))::BIGINT || ':' || length(other_body), ',' ORDER BY pos) FILTER (pos > n AND role = 'assistant'), '') AS rejected_mask
-FROM o GROUP BY conv_id
+FROM o GROUP BY conv_id, own
 """
