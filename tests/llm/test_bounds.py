@@ -1,7 +1,9 @@
 """Results that must not depend on how the work is cut up: block and bucket sizes."""
 import random
 
-from tillcast.llm import minhash, sharding
+from pyspark.sql import functions as F
+
+from tillcast.llm import chat, language, minhash, sharding, toxicity
 from tillcast.session import stage
 
 
@@ -26,3 +28,67 @@ def test_equal_texts_share_a_shard(spark):
     placed = sharding.shard(stage(sharding.records(spark.createDataFrame(rows, "doc_id long, text string"))), shards=5)
     assert placed.groupBy("text_crc32").agg({"shard": "max"}).count() == 1000
     assert placed.select("text_crc32", "shard").distinct().count() == 1000
+
+
+def test_the_fits_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """An id of 400 rows teaches once; long positives teach where there are no others."""
+    monkeypatch.setattr(toxicity, "FIT_CHARS", 50)
+    rows = [(7, "same text of an id " * (1 + i % 2)) for i in range(400)] + [(100 + i, f"words number{i}") for i in range(50)]
+    rows += [(1000 + i, "zorgscum " * 20) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1000 + i, 1) for i in range(40)] + [(7, 0)] + [(100 + i, 0) for i in range(50)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda positive, unlabelled, prior: seen.append((len(positive), len(unlabelled))))
+    toxicity.fit(docs, labels)
+    learn = lambda ids: len([i for i in ids if toxicity.zlib.crc32(str(i).encode()) % 3 != 1])
+    positives = learn(range(1000, 1040))
+    assert seen == [(positives, positives + learn([7]) + learn(range(100, 150)))]
+
+
+def test_risk_gradient_against_finite_differences():
+    """One step of the fit moves each weight against the slope of the plainly written non-negative risk."""
+    import numpy as np
+    draw = np.random.default_rng(3)
+    x, u = draw.random((30, 4)), draw.random((60, 4))
+    prior = 0.3
+
+    def risk(w):
+        zp, zu = x @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+        toxic = lambda z: np.log1p(np.exp(-z)).mean()
+        clean = lambda z: np.log1p(np.exp(z)).mean()
+        return prior * toxic(zp) + max(0.0, clean(zu) - prior * clean(zp))
+
+    for w in (np.zeros(5), draw.normal(size=5), np.array([-9.0, -9, -9, -9, -9])):
+        sig = lambda z: 1 / (1 + np.exp(-z))
+        zp, zu = x @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+        live = float(np.log1p(np.exp(zu)).mean() - prior * np.log1p(np.exp(zp)).mean() > 0)
+        gp, gu = prior * (sig(zp) - 1 - live * sig(zp)) / len(zp), live * sig(zu) / len(zu)     # the fit's formula
+        mine = np.append(x.T @ gp + u.T @ gu, gp.sum() + gu.sum())
+        plain = [(risk(w + h) - risk(w - h)) / 2e-6 for h in np.eye(5) * 1e-6]
+        assert np.allclose(mine, plain, atol=1e-5)
+
+
+def test_a_language_of_long_texts_only_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "FIT_CHARS", 200)
+    rows = [(i, "the thing and other things of the thing", "en") for i in range(40)]
+    rows += [(100 + i, "schön heit keit ungeheuer über die straße " * 20, "de") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.names == ["de", "en"]
+    got = {r.doc_id: r.p for r in docs.select("doc_id", language.identify(F.col("text"), model)["lang_pred"].alias("p")).collect()}
+    assert all(got[i] == ("en" if i < 100 else "de") for i in got)
+
+
+def test_rows_of_no_conversation_do_not_meet(spark):
+    rows = [(None, i, "assistant", f"t{i}") for i in range(300)] + [(4, 0, "user", "q"), (4, 1, "assistant", "a"), (4, 2, "assistant", "b")]
+    got = chat.format_pairs(chat.partner_pairs(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
+    assert len(got) == 301 and all(r.n_prompt_turns == 1 for r in got if r.pair_id is None)
+
+
+def test_mask_of_a_long_conversation(spark):
+    rows = [(4, i, "assistant" if i % 2 else "user", f"turn {i} <| \\") for i in range(3000)]
+    pairs = chat.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    r = pairs.select(chat.rendered(F.col("turns")).alias("text"), chat.mask(F.col("turns")).alias("mask")).first()
+    spans = [tuple(map(int, s.split(":"))) for s in r["mask"].split(",")]
+    want = [f"turn {i} <\\| \\\\\n<|end|>\n" for i in range(1, 3000, 2)]
+    assert [r["text"][a:a + n] for a, n in spans] == want

@@ -166,15 +166,19 @@ def labelled(texts: list[str | None], model: Languages, cache: dict[str, np.ndar
 
 def fit(docs: DataFrame) -> Languages:
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
-        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), MOD, HELD_OUT) & (F.char_length("text") <= FIT_CHARS))
-    per_lang = dict(known.groupBy("lang").count().collect())  # a row per language
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), MOD, HELD_OUT))
+    known = known.withColumn("short", F.char_length("text") <= FIT_CHARS)
+    counted_rows = known.groupBy("lang").agg(F.count("*").alias("n"), F.count(F.when(F.col("short"), 1)).alias("n_short")).collect()  # a row per language
+    per_lang, per_short = ({r.lang: r[c] for r in counted_rows} for c in ("n", "n_short"))
     names = sorted(per_lang, key=lambda s: s.encode())
     if not names:
         return Languages([], np.zeros(0), np.zeros((0, 0)), {})
     spark = docs.sparkSession
-    rates = spark.createDataFrame([(n, i, min(1.0, FIT_DOCS / per_lang[n])) for i, n in enumerate(names)], "lang string, label int, rate double")
+    # Long texts teach only a language that has no others.
+    rates = spark.createDataFrame([(n, i, min(1.0, FIT_DOCS / (per_short[n] or per_lang[n])), not per_short[n]) for i, n in enumerate(names)],
+                                  "lang string, label int, rate double, long boolean")
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(F.broadcast(rates), "lang").filter(u < F.col("rate")).select("label", "text").repartition(16)
+    sample = known.join(F.broadcast(rates), "lang").filter((u < F.col("rate")) & (F.col("short") | F.col("long"))).select("label", "text").repartition(16)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, letters = {}, Counter()
@@ -241,4 +245,6 @@ def identify(text: Column, model: Languages, with_spans: bool = True) -> Column:
 def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = docs.select("doc_id", held_out(F.col("doc_id"), MOD, HELD_OUT).alias("held_out"), identify(F.col("text"), fit(docs)).alias("r"))
-    return found.select("doc_id", "held_out", "r.lang_pred", "r.score", F.size("r.spans").alias("n_spans"))
+    span = lambda s: F.concat_ws(":", s["lang"], s["first"].cast("string"), s["words"].cast("string"))
+    return found.select("doc_id", "held_out", "r.lang_pred", "r.score", F.size("r.spans").alias("n_spans"),
+                        F.array_join(F.transform("r.spans", span), ",").alias("spans"))
