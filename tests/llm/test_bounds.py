@@ -92,3 +92,24 @@ def test_mask_of_a_long_conversation(spark):
     spans = [tuple(map(int, s.split(":"))) for s in r["mask"].split(",")]
     want = [f"turn {i} <\\| \\\\\n<|end|>\n" for i in range(1, 3000, 2)]
     assert [r["text"][a:a + n] for a, n in spans] == want
+
+
+def test_no_group_below_a_shard_is_split(spark):
+    """Over the whole sf0.1 table, and with groups just below and above a shard: shards stay near equal."""
+    placed = sharding.op3_sampled_splitter_shards(spark, "/root/testdata/sf0.1")
+    groups = placed.groupBy("text_crc32").agg(F.sum("size").alias("bytes"), F.countDistinct("shard").alias("n")).collect()
+    loads = [r.b for r in placed.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("top")).collect()]
+    share = sum(loads) / 40
+    assert len(loads) == 40 and max(loads) < 1.02 * share and min(loads) > 0.98 * share
+    assert all(r.n == 1 for r in groups if r.bytes <= share)
+    rows = [(i, "x" * 984) for i in range(90)] + [(100 + i, "y" * 984) for i in range(350)] + [(1000 + i, f"{i:05}" * 100) for i in range(1100)]
+    placed = sharding.shard(stage(sharding.records(spark.createDataFrame(rows, "doc_id long, text string"))), shards=10).collect()
+    where, loads, slots = {}, {}, {}
+    for r in placed:
+        where.setdefault(r.text_crc32, set()).add(r.shard)
+        loads[r.shard] = loads.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    sizes = sorted((len(s) for s in where.values()), reverse=True)
+    assert sizes[0] >= 4 and sizes[1] == 1      # only the text that outweighs a shard is cut
+    assert max(loads.values()) - min(loads.values()) < 0.05 * sum(loads.values()) / 10
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())

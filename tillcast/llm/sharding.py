@@ -5,12 +5,12 @@ of the hashes gives quantile boundaries that cut the order into ranges, many for
 The ranges are then weighed over all records; one that is overfull is sampled again from its
 own records and subdivided, by hash while it has several texts, else by the rest of the
 order, until no range is overfull or it is a single record. Ranges are small, so positions
-in the whole order come from a window over a range and the sums of the ranges before it, and
-a shard is a run of the order.
+come from a window over a range and the sums of the ranges before it.
 
-Equal texts have one hash and lie in one range, hence in one shard, unless their group alone
-outweighs 1/64 of a shard: such a group is subdivided and may span shards, which equal sizes
-need when copies outweigh a shard.
+Equal texts share a shard unless their group alone outweighs one. A group of more than 1/64 of a
+shard has ranges of its own: such groups are placed whole first, the heaviest on the lightest shard (at
+most 64 for each shard, so the driver can deal them out). All other texts fill up the shards as runs of the
+order, a group where its middle lies. Only a group that outweighs a shard is cut, as part of the runs.
 
 Defined results: a null text has 0 bytes and a null crc, and all null texts are one group;
 null doc_ids come first; equal rows are told apart by the number of the row; an empty table
@@ -21,7 +21,8 @@ are ignored.
 from __future__ import annotations
 
 import bisect
-from collections import Counter
+import heapq
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from pyspark.sql.functions import pandas_udf
 from tillcast.llm.common import table
 from tillcast.session import stage
 
-#: A shard is cut into about PER_SHARD ranges; a group of equal texts is kept whole up to 1/WHOLE of a shard.
+#: A shard is cut into about PER_SHARD ranges; a group of equal texts above 1/WHOLE of a shard has ranges of its own.
 SHARDS, PER_SHARD, WHOLE, PER_RECORD = 40, 256, 64, 16
 ORDER = ["hash", "id", "row"]
 
@@ -111,26 +112,61 @@ def split_ranges(rows: DataFrame, total: int, n_ranges: int, whole: float) -> li
         splitters = merged
 
 
+def placement(ranges: list[tuple[int, int, int, int]], total: int, shards: int) -> tuple[dict[int, int], list[float]]:
+    """For ``ranges`` (range, bytes, least and highest hash): the shard of each range of a heavy text, and
+    the ends of the shards' shares in the bytes of all other ranges."""
+    share, weights = total / shards, defaultdict(int)
+    for _, size, low, high in ranges:
+        if low == high:
+            weights[low] += size
+    heavy = sorted(((size, h) for h, size in weights.items() if share / WHOLE < size <= share), reverse=True)
+    loads, where = [(0, i) for i in range(shards)], {}
+    for size, h in heavy:  # the heaviest first, on the lightest shard
+        load, i = heapq.heappop(loads)
+        where[h] = i
+        heapq.heappush(loads, (load + size, i))
+    # The level to which the rest fills up all shards that are below it.
+    rest, ordered = total - sum(size for size, _ in heavy), sorted(load for load, _ in loads)
+    level = next(x for k in range(shards, 0, -1) if (x := (rest + sum(ordered[:k])) / k) >= ordered[k - 1])
+    room = np.zeros(shards)
+    for load, i in loads:
+        room[i] = max(level - load, 0.0)
+    return {r: where[low] for r, _, low, high in ranges if low == high and low in where}, np.cumsum(room).tolist()
+
+
 def shard(rows: DataFrame, shards: int = SHARDS, per_shard: int = PER_SHARD) -> DataFrame:
     """A stored ``records`` table with shard and slot."""
+    spark = rows.sparkSession
     total = rows.agg(F.sum("size")).first()[0] or 0
     splitters = split_ranges(rows, total, shards * per_shard, total / shards / WHOLE) if total else []
     ranged = stage(rows.withColumn("range", range_of(splitters)), "ranged")
     # One row per range: their number is bounded by shards, per_shard and the subdivisions.
-    sums = ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).toPandas().sort_values("range")
-    before = F.broadcast(ranged.sparkSession.createDataFrame(
-        [(int(r), int(b), int(n)) for r, b, n in zip(sums["range"], sums["bytes"].cumsum() - sums["bytes"], sums["n"].cumsum() - sums["n"], strict=True)],
-        "range int, bytes_before long, rows_before long"))
+    ranges = sorted(map(tuple, ranged.groupBy("range").agg(F.sum("size"), F.min("hash"), F.max("hash")).collect()))
+    fixed, ends = placement(ranges, total, shards) if total else ({}, [0.0])
+    starts, filled = [], 0
+    for r, size, _, _ in ranges:
+        starts.append((r, fixed.get(r), filled))
+        filled += 0 if r in fixed else size
+    starts = F.broadcast(spark.createDataFrame(starts, "range int, fixed int, bytes_before long"))
     group = W.partitionBy("range", "hash")
     inside = W.partitionBy("range").orderBy(*ORDER)
-    out = (ranged.join(before, "range")
+    run = F.lit(0)
+    for end in ends[:-1]:
+        run = run + (F.col("middle") >= end).cast("int")
+    out = (ranged.join(starts, "range")
            .withColumn("end", F.col("bytes_before") + F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-           .withColumn("position", F.col("rows_before") + F.row_number().over(inside) - 1)
+           .withColumn("place", F.row_number().over(inside))
            .withColumn("middle", (F.min(F.col("end") - F.col("size")).over(group) + F.max("end").over(group)) / 2)
-           .withColumn("shard", F.least(F.floor(F.col("middle") * shards / F.lit(max(total, 1))), F.lit(shards - 1)).cast("int")))
-    out = stage(out.select("doc_id", "size", "text_crc32", "shard", "position"), "placed")
-    first = out.groupBy("shard").agg(F.min("position").alias("first"))  # a row per shard
-    return out.join(F.broadcast(first), "shard").withColumn("slot", F.col("position") - F.col("first"))
+           .withColumn("shard", F.coalesce("fixed", run)))
+    out = stage(out.select("doc_id", "size", "text_crc32", "shard", "range", "place"), "placed")
+    # A shard's rows in a range are neighbours; the ranges of a shard follow each other.
+    parts, before, counts = [], 0, out.groupBy("shard", "range").agg(F.min("place"), F.count("*")).collect()
+    for i, (shard_, range_, first, n) in enumerate(sorted(map(tuple, counts))):
+        before = 0 if i and parts[-1][0] != shard_ else before
+        parts.append((shard_, range_, before - first))
+        before += n
+    parts = F.broadcast(spark.createDataFrame(parts, "shard int, range int, shift long"))
+    return out.join(parts, ["shard", "range"]).withColumn("slot", F.col("place") + F.col("shift"))
 
 
 def op3_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
