@@ -116,8 +116,8 @@ q("Q25_top_items_event_days",
   _TOP_ITEMS.format(where="WHERE coalesce(has_local_event, FALSE)", key="total_sales", n=10),
   lambda t: C.top_items_where(t, C.nz("has_local_event")))
 q("Q72_top_items_summer_event_days",
-  _TOP_ITEMS.format(where="WHERE coalesce(has_local_event, FALSE) AND month IN (6, 7, 8)", key="total_sales", n=10),
-  lambda t: C.top_items_where(t, C.nz("has_local_event") & F.col("month").isin(6, 7, 8)))
+  _TOP_ITEMS.format(where="WHERE coalesce(has_local_event, FALSE) AND month IN (6, 7, 8)", key="total_sales", n=5),
+  lambda t: C.top_items_where(t, C.nz("has_local_event") & F.col("month").isin(6, 7, 8), 5))
 q("Q71_top_items_rainy_weekends",
   _TOP_ITEMS.format(where="WHERE coalesce(had_rain, FALSE) AND is_weekend", key="total_sales", n=10),
   lambda t: C.top_items_where(t, C.nz("had_rain") & F.col("is_weekend")))
