@@ -2,6 +2,7 @@
 import datetime as dt
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillcast.operators import anomaly, forecast, series
@@ -235,3 +236,30 @@ def test_future_regressors_keep_regions_and_days(spark):
                                      "rain_likely boolean, snow_likely boolean")
     out = enrich.future_regressors(wf, "2025-01-01").collect()
     assert len(out) == 14 * 5 and {r.region for r in out} == set("ABCDE") and max(r.report_date for r in out) == D(2025, 1, 15)
+
+
+def test_rolling_origin_is_the_fit_at_every_origin(spark):
+    """Each origin's row equals a fit on the history up to it, gaps and two series included."""
+    import random
+    from tillcast.plans import catalog
+    rnd = random.Random(5)
+    days = [d for d in range(60) if d % 11]
+    data = [(k, d, 1000.0 * (1 + (k == "b")) + 3 * d + 50 * (d % 7) + rnd.gauss(0, 20)) for k in "ab" for d in days]
+    data += [("a", 70, None), ("c", 1, 5.0)]       # no value: left out; too short a series: no origin
+    h = spark.createDataFrame(data, "k string, d int, y double").selectExpr("k", "date_add(date'2020-02-01', d) AS report_date", "y")
+    out = {(r.k, r.origin): r for r in forecast.rolling_origin(h, ["k"], "y", horizon=9).collect()}
+    assert {k for k, _ in out} == {"a", "b"} and len(out) == 2 * (len(days) - 28)
+    for origin in ("2020-03-04", "2020-03-17", "2020-03-30"):
+        # the plain fit's horizon starts after the last day with history, which is the origin itself
+        for r in catalog.backtest(h.where("y is not null"), ["k"], "y", origin, horizon=9).collect():
+            got = next(v for (k, o), v in out.items() if k == r.k and str(o) == origin)
+            assert got.points == r.points
+            assert got.mae == pytest.approx(r.mae, abs=0.006) and got.mape_pct == pytest.approx(r.mape_pct, abs=0.006)
+            assert got.coverage == pytest.approx(r.coverage, abs=1e-4)
+    assert forecast.rolling_origin(h.where("false"), ["k"], "y").count() == 0
+
+
+def test_rolling_origin_of_constant_history(spark):
+    h = spark.range(40).selectExpr("'a' AS k", "date_add(date'2020-01-01', cast(id AS int)) AS report_date", "0.0D AS y")
+    r = forecast.rolling_origin(h, ["k"], "y").collect()
+    assert len(r) == 12 and all(x.mae == 0 and x.mape_pct is None and x.coverage == 1 for x in r)

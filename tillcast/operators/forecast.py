@@ -28,6 +28,7 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,6 +179,60 @@ def tier1_from_sums(sums: DataFrame, keys: list[str], metric: str, horizon: int
                     F.lit(confidence).alias("confidence_level"))
 
 
+def rolling_origin(history: DataFrame, keys: list[str], value_col: str, horizon: int = DEFAULT_HORIZON,
+                   confidence: float = DEFAULT_CONFIDENCE, min_points: int = 28) -> DataFrame:
+    """Q33: tier 1 fitted at every origin, each forecast compared with the days that follow.
+
+    One row per series and origin (a day with history that has ``min_points`` days up to it and at
+    least one in the ``horizon`` after it): ``points`` compared, ``mae``, ``mape_pct`` (non-zero
+    actuals, else null) and ``coverage`` of the interval. The fit at an origin needs only sums over
+    the series' rows up to it (n, t, y, tt, ty, yy, and n, t, y of each weekday), so all origins are
+    running sums of one window: one shuffle by series, at most one row a day in it, and the
+    actuals ahead are a second frame of the same window. Rows with a null value or date are left out.
+    """
+    z = z_value(confidence)
+    y = F.col(value_col).cast("double")
+    h = history.select(*keys, "report_date", y.alias("__y"), F.dayofweek("report_date").alias("__dow")) \
+        .where(F.col("__y").isNotNull() & F.col("report_date").isNotNull())
+    series = W.partitionBy(*keys)
+    # Days since the series' first one: small numbers keep the squares exact.
+    h = h.withColumn("__t", F.datediff("report_date", F.min("report_date").over(series)).cast("double"))
+    t, y = F.col("__t"), F.col("__y")
+    so_far = series.orderBy("__t").rangeBetween(W.unboundedPreceding, W.currentRow)
+    ahead = series.orderBy("__t").rangeBetween(1, horizon)
+    # Each moment is one running sum; a weekday's are running sums of the rows of that weekday.
+    run = {"n": F.lit(1.0), "st": t, "sy": y, "stt": t * t, "sty": t * y, "syy": y * y}
+    for d in range(1, 8):
+        on = F.col("__dow") == d
+        run |= {f"n{d}": on.cast("double"), f"st{d}": F.when(on, t).otherwise(0.0), f"sy{d}": F.when(on, y).otherwise(0.0)}
+    m = h.select(*keys, "report_date", *[F.sum(c).over(so_far).alias(f"__{name}") for name, c in run.items()],
+                 F.collect_list(F.struct(t.alias("t"), y.alias("y"), F.col("__dow").alias("dow"))).over(ahead).alias("__ahead"))
+    m = m.where((F.col("__n") >= min_points) & (F.size("__ahead") > 0))
+
+    def c(name):
+        return F.col(f"__{name}")
+
+    sxx, sxy, syy = (c(a) - c(b) * c(d) / c("n") for a, b, d in (("stt", "st", "st"), ("sty", "st", "sy"), ("syy", "sy", "sy")))
+    m = m.withColumn("__b", sxy / F.nullif(sxx, F.lit(0.0)))
+    m = m.withColumn("__a", (c("sy") - c("b") * c("st")) / c("n"))
+    m = m.withColumn("__week", F.array(*[F.coalesce((c(f"sy{d}") - c("a") * c(f"n{d}") - c("b") * c(f"st{d}")) / F.nullif(c(f"n{d}"), F.lit(0.0)), F.lit(0.0))
+                                         for d in range(1, 8)]))
+    offsets = sum((c(f"n{d}") * F.col("__week")[d - 1] * F.col("__week")[d - 1] for d in range(1, 8)), F.lit(0.0))
+    squares = syy - c("b") * sxy - offsets
+    squares = F.when(squares <= 1e-12 * c("syy"), F.lit(0.0)).otherwise(squares)
+    m = m.withColumn("__half", z * F.sqrt(squares / (c("n") - 1)))
+    m = m.withColumn("__err", F.transform("__ahead", lambda x: F.struct(
+        x["y"].alias("y"), F.abs(x["y"] - c("a") - c("b") * x["t"] - F.element_at("__week", x["dow"])).alias("e"))))
+
+    def mean(values):
+        return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / F.nullif(F.size(values), F.lit(0))
+
+    share = F.transform(F.filter("__err", lambda x: x["y"] != 0), lambda x: x["e"] / F.abs(x["y"]))
+    return m.select(*keys, F.col("report_date").alias("origin"), F.size("__ahead").alias("points"),
+                    mean(F.transform("__err", lambda x: x["e"])).alias("mae"), (100 * mean(share)).alias("mape_pct"),
+                    mean(F.transform("__err", lambda x: (x["e"] <= c("half")).cast("double"))).alias("coverage"))
+
+
 # ---------------------------------------------------------------------------
 # Tier 2
 # ---------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillcast.functions import timeintel
-from tillcast.operators import series
+from tillcast.operators import forecast, series
 from tillcast.plans import catalog as C
 from tillcast.plans import q_core
 from tillcast.plans.context import tables
@@ -529,6 +529,36 @@ FROM j GROUP BY location
                          (__import__("datetime").date.fromisoformat(AS_OF)
                           - __import__("datetime").timedelta(days=28)).isoformat()))
 
+# Every origin fitted anew on its own history: the plain way, one self-join.
+_ROLLING_SQL = f"""
+, rh AS (SELECT {{keys}}, report_date, CAST({{value}} AS DOUBLE) AS y, CAST(report_date - DATE '1970-01-01' AS DOUBLE) AS t,
+               dayofweek(report_date) AS dow FROM {{src}}),
+ro AS (SELECT {{keys}}, report_date AS origin FROM rh
+       QUALIFY count(*) OVER (PARTITION BY {{keys}} ORDER BY report_date) >= 28),
+rp AS (SELECT ro.origin, rh.* FROM ro JOIN rh USING ({{keys}}) WHERE rh.report_date <= ro.origin),
+rc AS (SELECT {{keys}}, origin, regr_slope(y, t) AS b, avg(y) AS my, avg(t) AS mt FROM rp GROUP BY ALL),
+rr AS (SELECT {{keys}}, origin, dow, y - my - b * (t - mt) AS r FROM rp JOIN rc USING ({{keys}}, origin)),
+rs AS (SELECT {{keys}}, origin, dow, avg(r) AS season FROM rr GROUP BY ALL),
+rg AS (SELECT {{keys}}, origin, stddev_samp(r - season) AS sigma FROM rr JOIN rs USING ({{keys}}, origin, dow) GROUP BY ALL),
+rf AS (SELECT {{keys}}, rc.origin, rh.y, abs(rh.y - my - b * (rh.t - mt) - coalesce(season, 0)) AS e, sigma
+       FROM rc JOIN rg USING ({{keys}}, origin) JOIN rh USING ({{keys}}) LEFT JOIN rs USING ({{keys}}, origin, dow)
+       WHERE rh.report_date > rc.origin AND rh.report_date <= rc.origin + 14)
+SELECT {{keys}}, origin, CAST(count(*) AS INTEGER) AS points, round(avg(e), 2) AS mae,
+       round(100 * avg(CASE WHEN y <> 0 THEN e / abs(y) END), 4) AS mape_pct,
+       round(avg(CAST(e <= {_Z!r} * sigma AS DOUBLE)), 4) AS coverage
+FROM rf GROUP BY {{keys}}, origin
+"""
+
+
+def _rolling(history, keys, value):
+    out = forecast.rolling_origin(history, keys, value)
+    return out.select(*keys, "origin", "points", F.round("mae", 2).alias("mae"), F.round("mape_pct", 4).alias("mape_pct"),
+                      F.round("coverage", 4).alias("coverage"))
+
+
+q("Q33_rolling_origin_total", _ROLLING_SQL.format(keys="location", value="total_net_sales", src="daily_summary"),
+  lambda t: _rolling(t.daily_summary, ["location"], "total_net_sales"))
+
 _Q89_G = f"""
 , v89 AS (SELECT * FROM restaurant_analytics
           WHERE report_date > DATE '{AS_OF}' - 14 AND report_date <= DATE '{AS_OF}'),
