@@ -1,7 +1,10 @@
 """G1, G6/G10, G8, G9, G11 helpers."""
 import datetime as dt
+import os
 import uuid
 
+import pytest
+
 from tillcast.session import checkpoint_dir
 from tillcast.sources import tables as T
 
@@ -159,3 +162,65 @@ def test_sparse_sums_equal_the_dense_days(spark):
         got = forecast.tier1_from_sums(series.series_sums(points.filter("primary_category is not null"), keys, lo, hi), keys, metric).collect()
         table = lambda rs: {(r.forecast_date, r.primary_category): [r.predicted_value, r.lower_bound, r.upper_bound] for r in rs}
         close(table(got), table(want))
+
+
+FACT = "report_date date, location string, primary_category string, category string, item_name string, quantity_sold bigint, " \
+       "net_sales double, discount double, data_source string"
+
+
+def _facts(spark, days, location="L", source="s"):
+    return spark.createDataFrame([(d, location, "P", "C", "i", 1, 1.0, 0.0, source) for d in days], FACT)
+
+
+def _held(spark, path):
+    return sorted((r.report_date, r.location, r.data_source) for r in T.read_fact(spark, path).collect())
+
+
+def test_stored_range_replace_empties_folders(spark, monkeypatch):
+    days = [D(2025, 1, 30), D(2025, 2, 3), D(2025, 2, 20), D(2025, 3, 1)]
+    for grain, folder in (("day", "report_date=2025-02-20"), ("month", "report_month=2025-02-01")):
+        path = f"{checkpoint_dir(spark)}/test-g4-{uuid.uuid4().hex}"
+        T.write_fact(_facts(spark, days).unionByName(_facts(spark, [D(2025, 1, 30)], "M")), path, grain=grain)
+        new = _facts(spark, [D(2025, 3, 1)], source="new")
+        # the run dies before it drops the emptied folders; the next one mends that
+        with monkeypatch.context() as m:
+            m.setattr(T, "_drop_part", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+            try:
+                T.apply_replace_range(spark, path, new, "2025-02-01", "2025-03-31", "L", grain)
+                raise AssertionError("the emptied folder was not noticed")
+            except OSError:
+                pass
+        for deleted in (3, 1):
+            counts = T.apply_replace_range(spark, path, new, "2025-02-01", "2025-03-31", "L", grain)
+            assert counts == {"deleted": deleted, "inserted": 1, "kept": 0}
+            assert _held(spark, path) == [(D(2025, 1, 30), "L", "s"), (D(2025, 1, 30), "M", "s"), (D(2025, 3, 1), "L", "new")]
+            assert not os.path.exists(f"{path}/{folder}")
+        # a location without rows in the range, rows out of the range, a table that is not there yet
+        assert T.apply_replace_range(spark, path, _facts(spark, []), "2025-01-01", "2025-01-31", "X", grain) == {"deleted": 0, "inserted": 0, "kept": 2}
+        with pytest.raises(ValueError):
+            T.apply_replace_range(spark, path, new, "2025-02-01", "2025-02-28", "L", grain)
+        assert T.apply_replace_range(spark, f"{path}-new", new, "2025-03-01", "2025-03-01", "L", grain)["inserted"] == 1
+        assert _held(spark, f"{path}-new") == [(D(2025, 3, 1), "L", "new")]
+
+
+def test_replace_keys_reads_touched_partitions_only(spark):
+    path = f"{checkpoint_dir(spark)}/test-g3-{uuid.uuid4().hex}"
+    T.write_fact(_facts(spark, [D(2025, 1, 30), D(2025, 2, 3)]).unionByName(_facts(spark, [D(2025, 2, 3)], "M")), path)
+    untouched = sorted(os.listdir(f"{path}/report_date=2025-01-30"))
+    for _ in range(2):
+        T.apply_replace_keys(spark, path, _facts(spark, [D(2025, 2, 3), D(2025, 2, 4)], source="new"))
+        assert _held(spark, path) == [(D(2025, 1, 30), "L", "s"), (D(2025, 2, 3), "L", "new"), (D(2025, 2, 3), "M", "s"), (D(2025, 2, 4), "L", "new")]
+    T.apply_replace_keys(spark, path, _facts(spark, []))
+    assert len(_held(spark, path)) == 4 and sorted(os.listdir(f"{path}/report_date=2025-01-30")) == untouched
+
+
+def test_stored_insert_counts(spark):
+    path = f"{checkpoint_dir(spark)}/test-g5-{uuid.uuid4().hex}"
+    rows = lambda *x: spark.createDataFrame(list(x), "weather_date date, v double")
+    assert T.apply_insert_if_absent(spark, path, rows()) == {"inserted": 0, "skipped": 0}
+    assert T.apply_insert_if_absent(spark, path, rows((D(2025, 1, 1), 1.0))) == {"inserted": 1, "skipped": 0}
+    # an old day, a day that comes twice (the least row), a row without a day
+    more = rows((D(2025, 1, 1), 9.0), (D(2025, 1, 2), 3.0), (D(2025, 1, 2), 2.0), (None, 1.0))
+    assert T.apply_insert_if_absent(spark, path, more) == {"inserted": 1, "skipped": 3}
+    assert T.apply_insert_if_absent(spark, path, more) == {"inserted": 0, "skipped": 4}
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(D(2025, 1, 1), 1.0), (D(2025, 1, 2), 2.0)]

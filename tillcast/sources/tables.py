@@ -11,7 +11,7 @@ category filters prune row groups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.session import stage
@@ -137,31 +137,108 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path)
 
 
-def apply_replace_keys(spark: SparkSession, path: str, new_rows: DataFrame,
-                       keys=("report_date", "location"), grain: str = "day") -> None:
-    """G3 on a stored fact: only the touched date (or month) partitions are read,
-    rebuilt (other keys kept, the new rows in), staged and overwritten."""
+def _with_part(rows: DataFrame, grain: str) -> DataFrame:
+    return rows.withColumn("report_month", F.trunc("report_date", "month")) if grain == "month" else rows
+
+
+def _parts(rows: DataFrame, part: str) -> list:
+    """The partitions that ``rows`` touch: at most one value a calendar day or month."""
+    return [r[0] for r in rows.select(part).distinct().collect()]
+
+
+def _drop_part(spark: SparkSession, path: str, part: str, value) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def apply_replace_keys(spark: SparkSession, path: str, new_rows: DataFrame, keys=("report_date", "location"),
+                       grain: str = "day", columns=FACT_COLUMNS) -> None:
+    """G3 on a stored table: only the touched date (or month) partitions are read,
+    rebuilt (other keys kept, the new rows in), staged and overwritten. The touched partitions
+    are named in the plan, so the scan lists no other folder; ``new_rows`` is read for their names
+    and again for its rows, so give a stored table."""
     part = _part_col(grain)
-    new_rows = new_rows.select(*FACT_COLUMNS)
-    if grain == "month":
-        new_rows = new_rows.withColumn("report_month", F.trunc("report_date", "month"))
+    new_rows = _with_part(new_rows.select(*columns), grain)
+    parts = _parts(new_rows, part)
+    if not parts:
+        return
     cur = read_if_exists(spark, path)
     if cur is None:
         content = new_rows
     else:
-        touched = cur.join(new_rows.select(part).distinct(), part, "left_semi")
-        content = replace_keys(touched.select(*new_rows.columns), new_rows, keys)
+        content = replace_keys(cur.where(F.col(part).isin(parts)).select(*new_rows.columns), new_rows, keys)
     write_replace_partitions(stage(content, "replace"), path, part)
 
 
-def replace_if_not_empty(incoming: DataFrame, path: str) -> bool:
-    """Replace the whole table, unless the new content is empty. The content is
-    computed once, into a staged table that is then checked and copied."""
-    incoming = stage(incoming, "replacement")
-    if incoming.isEmpty():
-        return False
-    incoming.write.mode("overwrite").parquet(path)
-    return True
+def apply_replace_range(spark: SparkSession, path: str, new_rows: DataFrame, start, end, location: str | None = None,
+                        grain: str = "day") -> dict[str, int]:
+    """G4 on a stored fact: every row of [start, end] (of ``location``, or of all) goes, and
+    ``new_rows`` come in; rows of ``new_rows`` outside of it are an error of the caller and raise.
+
+    Only the range's partitions are read. A partition that the result leaves empty is one that a
+    dynamic overwrite does not touch, so its folder is deleted after the write. A run that dies
+    in between is mended by running it again: the emptied folder still holds rows of the range,
+    and they go. Returns the rows ``deleted``, ``inserted`` and ``kept`` in the partitions read, counted by
+    the pass that writes."""
+    part = _part_col(grain)
+    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
+    inside = F.col("report_date").between(s, e)
+    if location is not None:
+        inside = inside & (F.col("location") == location)
+    inside = F.coalesce(inside, F.lit(False))
+    new_rows = _with_part(new_rows.select(*FACT_COLUMNS), grain)
+    first, last = (F.trunc(s, "month"), F.trunc(e, "month")) if grain == "month" else (s, e)
+    cur = read_if_exists(spark, path)
+    both = new_rows.withColumn("__new", F.lit(True))
+    before = []
+    if cur is not None:
+        old = cur.where(F.col(part).between(first, last)).select(*new_rows.columns)
+        before = _parts(old, part)
+        both = both.unionByName(old.withColumn("__new", F.lit(False)))
+    seen = Observation()
+    new = F.col("__new")
+    both = both.observe(seen, F.count_if(~new & inside).alias("deleted"), F.count_if(new).alias("inserted"),
+                        F.count_if(~new & ~inside).alias("kept"), F.count_if(new & ~inside).alias("outside"))
+    content = stage(both.where(new | ~inside).drop("__new"), "range")
+    counts = dict(seen.get)
+    if counts.pop("outside"):
+        raise ValueError(f"new rows outside of {start} to {end}" + (f" of {location}" if location is not None else ""))
+    write_replace_partitions(content, path, part)
+    for value in set(before) - set(_parts(content, part)):
+        _drop_part(spark, path, part, value)
+    return counts
+
+
+def apply_insert_if_absent(spark: SparkSession, path: str, incoming: DataFrame, key: str = "weather_date") -> dict[str, int]:
+    """G5 on a stored table: append the incoming rows whose key it does not have yet; of several
+    incoming rows of one key the least one, and rows without a key never. Returns the rows
+    ``inserted`` and ``skipped``, counted by the pass that writes, so running it again inserts 0."""
+    rest = [c for c in incoming.columns if c != key]
+    one = incoming.groupBy(key).agg(F.min(F.struct(*rest)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    stored = read_if_exists(spark, path)
+    if stored is None:
+        one = one.withColumn("__old", F.lit(None).cast("boolean"))
+    else:
+        one = one.join(stored.select(key).distinct().withColumn("__old", F.lit(True)), key, "left")
+    fresh = F.col("__old").isNull() & F.col(key).isNotNull()
+    seen = Observation()
+    one = one.observe(seen, F.count_if(fresh).alias("inserted"), (F.coalesce(F.sum("__n"), F.lit(0)) - F.count_if(fresh)).alias("skipped"))
+    out = stage(one.where(fresh).select(key, "__row.*").select(*incoming.columns), "insert")
+    counts = dict(seen.get)
+    if counts["inserted"] or stored is None:
+        append_rows(out, path)
+    return counts
+
+
+def replace_if_not_empty(incoming: DataFrame, path: str) -> int:
+    """Replace the whole table, unless the new content is empty; the rows written. The
+    content is computed and counted once, into a staged table that is then copied."""
+    seen = Observation()
+    incoming = stage(incoming.observe(seen, F.count(F.lit(1)).alias("rows")), "replacement")
+    rows = seen.get["rows"]
+    if rows:
+        incoming.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return rows
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
