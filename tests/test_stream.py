@@ -74,3 +74,36 @@ def test_stream_equals_batch_and_is_idempotent(spark):
     last = log.agg(F.max("batch_id")).first()[0]
     assert {r.status for r in log.where(F.col("batch_id") == last).collect()} == {"skipped"}
     assert _totals(spark.read.parquet(ingest.totals_path)) == streamed
+
+
+def test_import_state(spark):
+    """The state is read by month and not from the log, a replayed batch sees the state before it, failed
+    reports come again only on request, and tables without a state get theirs from the log."""
+    sales = testdata.item_sales(spark, SF).where("report_date between '1998-01-01' and '1998-02-20'")
+    words = report_render.render_words(sales)
+    root = f"{checkpoint_dir(spark)}/test-state-{uuid.uuid4().hex}"
+    ingest = ReportIngest(spark, f"{root}/tables")
+    ingest.process_batch(words, 0)
+    state = {(r.report_date, r.location): (r.status, r.batch_id) for r in spark.read.parquet(ingest.state_path).collect()}
+    log = spark.read.parquet(ingest.log_path)
+    assert state == {(r.report_date, r.location): (r.status, 0) for r in log.collect()}
+    assert {s for s, _ in state.values()} == {"success", "failed"}
+    january = testdata.item_sales(spark, SF).where("report_date between '1998-01-01' and '1998-01-31'").select("report_date").distinct()
+    plan = ingest.import_state(january, 1)._jdf.queryExecution().toString()
+    assert "import_log" not in plan and "PartitionFilters: [isnotnull(report_month" in plan
+    assert {r.report_date.month for r in ingest.import_state(january, 1).collect()} == {1}
+    assert ingest.import_state(january, 0).isEmpty()          # a replay does not see itself
+    ingest.process_batch(words, 1)
+    after = spark.read.parquet(ingest.log_path)
+    assert {r.status for r in after.where("batch_id = 1").collect()} == {"skipped"}
+    # failed ones again, and the state says which batch did it
+    again = ReportIngest(spark, f"{root}/tables", retry_failed=True)
+    again.process_batch(words, 2)
+    tried = {(r.report_date, r.location) for r in spark.read.parquet(ingest.log_path).where("batch_id = 2 and status <> 'skipped'").collect()}
+    assert tried == {k for k, (s, _) in state.items() if s == "failed"}
+    assert {(r.report_date, r.location) for r in spark.read.parquet(ingest.state_path).where("batch_id = 2").collect()} == tried
+    # the same log without a state
+    old = ReportIngest(spark, f"{root}/old")
+    spark.read.parquet(ingest.log_path).write.partitionBy("batch_id").parquet(old.log_path)
+    seeded = old.import_state(sales.select("report_date").distinct(), 3)
+    assert {(r.report_date, r.location): r.status for r in seeded.collect()} == {k: s for k, (s, _) in state.items()}

@@ -68,3 +68,32 @@ SELECT DISTINCT report_date, location FROM loaded WHERE report_date = DATE '{DUE
 def s4_reports_due(spark, sf_dir):
     """The reports that the ingest marked as due: those of the day before ``as_of``."""
     return spark.read.parquet(ingested(spark, sf_dir, as_of=DUE_AS_OF).due_path).select("report_date", "location")
+
+
+@query("G1_import_log", _DAY_SQL + f"""
+SELECT report_date, location, CASE WHEN day(report_date) = {report_render.MISMATCH_DAY} THEN 'failed' ELSE 'success' END AS status,
+       count(*) AS record_count, round(sum(net), 2) AS rows_sales
+FROM it GROUP BY report_date, location
+""")
+def g1_import_log(spark, sf_dir):
+    """The log that the stream appends: one row a report, with what it held and whether it was loaded."""
+    log = spark.read.parquet(ingested(spark, sf_dir).log_path)
+    return log.select("report_date", "location", "status", "record_count", F.round("total_sales", 2).alias("rows_sales"))
+
+
+@query("S1_import_state_skips_relanded", _DAY_SQL + f"""
+SELECT report_date, location, CASE WHEN day(report_date) = {report_render.MISMATCH_DAY} THEN 'failed' ELSE 'success' END AS state,
+       CAST(1 AS BIGINT) AS skipped, CAST(1 AS BIGINT) AS imports FROM it GROUP BY report_date, location
+""")
+def s1_import_state(spark, sf_dir):
+    """Every report lands a second time and the stream goes on: the keyed state knows each
+    (date, location), so all of them are skipped, those that failed too."""
+    ingest = ingested(spark, sf_dir, landing_files=2)
+    root = ingest.root.rsplit("/", 1)[0]
+    cells, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
+    land_words(words, f"{root}/landing", 1, cells)
+    ingest.start(f"{root}/landing", f"{root}/_checkpoint").awaitTermination()
+    log = spark.read.parquet(ingest.log_path).groupBy("report_date", "location").agg(
+        F.count_if(F.col("status") == "skipped").alias("skipped"), F.count_if(F.col("status") != "skipped").alias("imports"))
+    state = spark.read.parquet(ingest.state_path).select("report_date", "location", F.col("status").alias("state"))
+    return state.join(log, ["report_date", "location"], "full")

@@ -146,6 +146,11 @@ def _parts(rows: DataFrame, part: str) -> list:
     return [r[0] for r in rows.select(part).distinct().collect()]
 
 
+def months_of(rows: DataFrame) -> list:
+    """The months of ``rows``' report dates, first days: bounded by the calendar."""
+    return _parts(rows.select(F.trunc("report_date", "month").alias("month")).where("month IS NOT NULL"), "month")
+
+
 def _drop_part(spark: SparkSession, path: str, part: str, value) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -7,9 +7,9 @@ files were processed (checkpoint), and ``foreachBatch`` runs the batch pipeline
 each micro-batch:
 
   S1  name check (A2) -> already imported? (G2) -> route and parse (B3-B6) -> validate (B8)
-      -> replace (date, location) in the fact (G3) -> import log (G1)
-  S3  refresh the day totals, category-day aggregates and (given how to build it) the
-      daily summary of the touched dates only
+      -> replace (date, location) in the fact (G3) -> import log (G1) -> import state
+  S3  replace the day totals, category-day aggregates and (given how to build it) the
+      daily summary of the touched (date, location) pairs, from the batch's own rows
   S4  flag reports due when the imported date is the day before ``as_of``
 
 ``trigger(availableNow=True)`` (S2) processes whatever has landed and stops, so a
@@ -34,6 +34,7 @@ from tillcast.sources import tables as T
 
 CONTENT_SCHEMA = ("file_name string, page int, top double, x0 double, text string, "
                   "table_no int, row_no int, cells array<string>")
+STATE_COLUMNS = ["report_date", "location", "status", "batch_id"]
 LOG_COLUMNS = ["file_name", "report_date", "location", "status", "record_count", "total_sales", "error_message"]
 
 
@@ -42,7 +43,7 @@ class ReportIngest:
                  name_pattern: str = FS.DEFAULT_NAME_PATTERN, retry_failed: bool = False,
                  grain: str = "month", processed_at: str | None = None,
                  daily_summary: Callable[[DataFrame], DataFrame] | None = None):
-        """``daily_summary``: builds D1 rows from the fact rows of the touched days."""
+        """``daily_summary``: builds D1 rows from the fact rows of the touched (date, location) pairs."""
         self.spark = spark
         self.root = table_root.rstrip("/")
         self.as_of = as_of
@@ -60,6 +61,10 @@ class ReportIngest:
     def log_path(self):
         return f"{self.root}/import_log"
 
+    @property
+    def state_path(self):
+        return f"{self.root}/import_state"
+
     @property
     def totals_path(self):
         return f"{self.root}/daily_totals"
@@ -90,12 +95,10 @@ class ReportIngest:
         names = content.select("file_name").distinct()
         # A name without a date that exists is a failed file, like any other odd name.
         matched = FS.match_report_files(names, self.pattern).where(F.col("report_date").isNotNull())
+        matched = T.stage(matched, f"matched-{batch_id}")
         rejected = names.join(matched.select("file_name"), "file_name", "left_anti")
-        log = T.read_if_exists(spark, self.log_path)
-        if log is not None:
-            # earlier batches only: a replay of this batch must see the same state
-            log = log.where(F.col("batch_id") != batch_id)
-        todo = matched if log is None else FS.new_files(matched, log, retry_failed=self.retry_failed)
+        state = self.import_state(matched, batch_id)
+        todo = matched if state is None else FS.new_files(matched, state, retry_failed=self.retry_failed)
         skipped = matched.join(todo.select("file_name"), "file_name", "left_anti")
 
         content = content.join(todo.select("file_name"), "file_name", "left_semi")
@@ -106,10 +109,9 @@ class ReportIngest:
         parsed = T.stage(RR.parse_rows(cells, words), f"parsed-{batch_id}")
         recs = RR.records(parsed)
         valid = T.stage(RR.validate_totals(recs, RR.grand_totals(parsed), todo, RR.parse_errors(parsed)), f"valid-{batch_id}")
-        good = recs.join(valid.where(F.col("is_valid")).select("file_name"), "file_name", "left_semi")
+        good = T.stage(recs.join(valid.where(F.col("is_valid")).select("file_name"), "file_name", "left_semi"), f"good-{batch_id}")
 
-        if good.head(1):
-            T.apply_replace_keys(spark, self.fact_path, good, grain=self.grain)      # G3
+        T.apply_replace_keys(spark, self.fact_path, good, grain=self.grain)      # G3
 
         status_rows = (todo.join(valid, "file_name", "left").select(
             "file_name", "report_date", "location",
@@ -124,39 +126,52 @@ class ReportIngest:
                  .unionByName(skipped.select("file_name", "report_date", "location", F.lit("skipped").alias("status"),
                                              F.lit(0).cast("bigint").alias("record_count"),
                                              F.lit(None).cast("double").alias("total_sales"),
-                                             F.lit("Already imported").alias("error_message"))))
+                                             F.lit("a report of this day is in the log").alias("error_message"))))
         (self._log(status_rows.unionByName(other), batch_id).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.log_path))   # G1
 
-        touched = good.select("report_date", "location").distinct()
-        self.refresh_aggregates(touched)                                                   # S3
+        self.refresh_aggregates(good)                                                      # S3
         if self.as_of is not None:                                                         # S4
+            touched = good.select("report_date", "location").distinct()
             due = touched.where(F.col("report_date") == F.date_sub(F.lit(self.as_of).cast("date"), 1)) \
                 .withColumn("batch_id", F.lit(batch_id))
             (due.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(self.due_path))
-
-    def refresh_aggregates(self, touched: DataFrame) -> None:
-        """S3: recompute D2, D3 and D1 for the touched partitions only (dynamic overwrite by
-        date, or by month at month grain: a touched month is recomputed whole)."""
+        # Last, so that a batch which died before this is done again in full.
+        keyed = status_rows.groupBy("report_date", "location").agg(F.max("status").alias("status"))
+        T.apply_replace_keys(spark, self.state_path, T.stage(keyed.withColumn("batch_id", F.lit(batch_id).cast("long")), "state"),
+                             grain="month", columns=STATE_COLUMNS)
+
+    def import_state(self, files: DataFrame, batch_id: int) -> DataFrame | None:
+        """The imports that earlier batches made, one row a (report_date, location), from the
+        partitions of the months that ``files`` name; None before the first import. A replayed
+        batch does not see its own rows, so it does the same work again."""
+        state = T.read_if_exists(self.spark, self.state_path)
+        if state is None:
+            log = T.read_if_exists(self.spark, self.log_path)
+            if log is None:
+                return None
+            # Tables from before the state was kept: it is made from the log, this once.
+            old = log.where(F.col("status").isin("success", "failed") & F.col("report_date").isNotNull()).groupBy("report_date", "location").agg(
+                F.max("status").alias("status"), F.max("batch_id").cast("long").alias("batch_id"))
+            T.apply_replace_keys(self.spark, self.state_path, T.stage(old, "state"), grain="month", columns=STATE_COLUMNS)
+            state = T.read_if_exists(self.spark, self.state_path)
+            if state is None:
+                return None
+        return state.where(F.col("report_month").isin(T.months_of(files)) & (F.col("batch_id") != batch_id))
+
+    def refresh_aggregates(self, good: DataFrame) -> None:
+        """S3: D2, D3 and D1 of the touched (date, location) pairs. A report replaces its pair as
+        a whole and every aggregate row belongs to one pair, so the pair's new rows are all that its
+        aggregates need: the fact is not read again, and of the stored aggregates only the
+        partitions of the touched days (at month grain, months) are rewritten. Replaying gives the same tables."""
         from tillcast.operators import summarize
-        if not touched.head(1):
-            return
-        part = "report_month" if self.grain == "month" else "report_date"
-        fact = T.read_fact(self.spark, self.fact_path)
-        if self.grain == "month":
-            months = touched.select(F.trunc("report_date", "month").alias("m")).distinct()
-            days = fact.join(months, F.trunc(fact["report_date"], "month") == months["m"], "left_semi")
-        else:
-            days = fact.join(touched.select("report_date").distinct(), "report_date", "left_semi")
-        aggregates = [(summarize.daily_totals, self.totals_path, "totals"), (summarize.category_daily, self.category_path, "catdaily")]
+        aggregates = [(summarize.daily_totals, self.totals_path), (summarize.category_daily, self.category_path)]
         if self.daily_summary is not None:
-            aggregates.append((self.daily_summary, self.summary_path, "summary"))
-        for agg, path, name in aggregates:
-            out = agg(days)
-            if self.grain == "month":
-                out = out.withColumn("report_month", F.trunc("report_date", "month"))
-            T.write_replace_partitions(T.stage(out, name), path, part)
+            aggregates.append((self.daily_summary, self.summary_path))
+        for agg, path in aggregates:
+            out = T.stage(agg(good.select(*T.FACT_COLUMNS)), "aggregate")
+            T.apply_replace_keys(self.spark, path, out, grain=self.grain, columns=out.columns)
 
     # -- the stream -------------------------------------------------------------------
 
