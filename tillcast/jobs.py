@@ -3,7 +3,7 @@ retrain), written as DataFrame jobs:
 
 * ``retrain``: tier-2 coefficient tables (E1-E3), one row per series.
 * ``refresh``: day summary (D1), category anomalies (E7), forecasts of total, primary and
-  fine series (E4 / E5) and total-sales anomalies (E6), with one ``refreshed_at`` per run.
+  fine series (E4 / E5), total-sales anomalies (E6) and forecastable categories (D9), with one ``refreshed_at`` per run.
   Where a model is stored, forecasts and total-sales anomalies use it (tier 2, with the
   weather regressors it was trained on); without one they are tier 1.
 
@@ -105,7 +105,7 @@ def _series_results(t: Tables, models: dict[str, str]) -> dict:
     lo, hi = series.spine_bounds(points)
     daily = {"primary_category": (PRIMARY, series.primary_daily(points), lo), "category": (FINE, series.qualifying_daily(points, hi), None)}
     sums = {"primary_category": lambda: series.series_sums(daily["primary_category"][1], PRIMARY, lo, hi), "category": lambda: series.qualifying_sums(points, hi)}
-    out = {}
+    out = {"forecastable_categories": lambda: series.forecastable_categories(points, t.as_of)}
     for grain, (keys, rows, start) in daily.items():
         out[f"{grain}_anomaly_results"] = lambda k=keys, r=rows, s=start: anomaly.zscore_from_spans(series.series_spans(r, k, s, hi), k)
         for metric, short, value in (("total_sales", "sales", "predicted_sales"), ("total_quantity", "qty", "predicted_quantity")):
@@ -124,7 +124,7 @@ def refresh(t: Tables, root: str, refreshed_at: str, only: list[str] | None = No
     models = current(t.spark, f"{root}/models")
     wanted = lambda names: only is None or set(only) & set(names)
     make = {"daily_summary": lambda: t.daily_summary} | _total_results(t, models)
-    if wanted(f"{g}_{k}" for g in ("primary_category", "category") for k in ("anomaly_results", "sales_forecast_results", "qty_forecast_results")):
+    if wanted(["forecastable_categories"] + [f"{g}_{k}" for g in ("primary_category", "category") for k in ("anomaly_results", "sales_forecast_results", "qty_forecast_results")]):
         make |= _series_results(t, models)
     return publish(t.spark, f"{root}/results", {name: m() for name, m in make.items() if only is None or name in only}, refreshed_at)
 

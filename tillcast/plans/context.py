@@ -28,10 +28,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, as_of: str = testdata.AS_OF,
                  fact: DataFrame | None = None, locations: DataFrame | None = None,
                  weather: DataFrame | None = None, forecast_weather: DataFrame | None = None,
-                 local_events: DataFrame | None = None):
+                 local_events: DataFrame | None = None, root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.root = root            # where jobs publish models and results
+        self.derived = False        # whether results are published on demand (test data)
         self._given = {"item_sales": fact, "locations": locations, "weather": weather,
                        "forecast_weather": forecast_weather, "local_events": local_events}
 
@@ -43,7 +45,7 @@ class Tables:
         rd = spark.read.parquet
         return cls(spark, None, as_of, fact=read_fact(spark, f"{root}/item_sales"),
                    locations=rd(f"{root}/locations"), weather=rd(f"{root}/local_weather"),
-                   forecast_weather=rd(f"{root}/weather_forecast"), local_events=rd(f"{root}/local_events"))
+                   forecast_weather=rd(f"{root}/weather_forecast"), local_events=rd(f"{root}/local_events"), root=root)
 
     def _get(self, name, derive):
         given = self._given[name]

@@ -340,7 +340,7 @@ SELECT *, round(sales / sum(sales) OVER (PARTITION BY location), 6) AS share FRO
 # -- forecasts, weather forecasts and anomalies -------------------------------------------
 
 from tillcast.operators import anomaly  # noqa: E402
-from tillcast.plans import q_forecast  # noqa: E402
+from tillcast.plans import q_forecast, serving  # noqa: E402
 from tillcast.plans import report as R  # noqa: E402
 
 _Z = q_forecast.Z90
@@ -349,11 +349,11 @@ _SAT = f"(DATE '{AS_OF}' + CAST(7 - (dayofweek(DATE '{AS_OF}') + 1) % 7 AS INTEG
 
 
 def _e8(t):
-    return q_forecast.e8_sales_forecast_view(t.spark, t.sf_dir)
+    return serving.sales_forecast(t)
 
 
 def _e9(t):
-    return q_forecast.e9_primary_category_forecast(t.spark, t.sf_dir)
+    return serving.primary_forecast(t)
 
 
 _E8_SEL = f"""SELECT forecast_date, location, round(yhat, 2) AS predicted_sales,
@@ -434,11 +434,11 @@ _E11_AS = q_forecast.E11_CTE
 
 
 def _e6(t):
-    return q_forecast.e6_sales_anomalies_tier1(t.spark, t.sf_dir)
+    return serving.sales_anomalies(t)
 
 
 def _e11(t):
-    return q_forecast.e11_category_anomalies_view(t.spark, t.sf_dir)
+    return serving.category_anomalies(t)
 
 
 q("Q47_sales_anomalies", _E6_AS + "SELECT * FROM e6 WHERE is_anomaly", lambda t: C.anomalies_since(_e6(t), AS_OF))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.timeintel import us_holidays
 from tillcast.operators import enrich, events
 from tillcast.plans import catalog as C
-from tillcast.plans import q_catalog, q_forecast
+from tillcast.plans import q_catalog, q_forecast, serving
 from tillcast.plans.context import tables
 from tillcast.plans.registry import query
 from tillcast.session import checkpoint_dir
@@ -98,7 +98,7 @@ def e0_us_holidays(spark, sf_dir):
 SELECT * FROM e9 WHERE forecast_date = {q_catalog._SAT} AND primary_category IN ('PROMO', 'SMALL')
 """)
 def q43_compare_two_primaries(spark, sf_dir):
-    fc = q_forecast.e9_primary_category_forecast(spark, sf_dir)
+    fc = serving.primary_forecast(tables(spark, sf_dir))
     return C.forecast_on(fc, C.next_saturday(AS_OF)).where(F.col("primary_category").isin("PROMO", "SMALL"))
 
 

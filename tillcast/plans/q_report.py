@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillcast.operators import series
-from tillcast.plans import q_forecast
+from tillcast.plans import q_forecast, serving
 from tillcast.plans import report as R
 from tillcast.plans.context import tables
 from tillcast.plans.registry import query
@@ -94,7 +94,7 @@ f4 AS (SELECT *, {_rank("report_date, location",
 
 
 def _f4(spark, sf_dir):
-    return R.day_anomalies(q_forecast.e11_category_anomalies_view(spark, sf_dir))
+    return R.day_anomalies(serving.category_anomalies(tables(spark, sf_dir)))
 
 
 @query("F4_day_anomalies", _F4_CTE + "SELECT * FROM f4")
@@ -127,7 +127,7 @@ _F6_CTE = q_forecast._tier1_cte("daily_summary", ["location"], "total_net_sales"
 
 
 def _f6(spark, sf_dir):
-    return R.forecast_rows(q_forecast.e8_sales_forecast_view(spark, sf_dir), AS_OF)
+    return R.forecast_rows(serving.sales_forecast(tables(spark, sf_dir)), AS_OF)
 
 
 @query("F6_forecast_rows", _F6_CTE + "SELECT * FROM f6")
