@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tillcast.llm import chat, language, minhash, sharding, toxicity
+from tillcast.llm import chat, language, minhash, mixing, sharding, toxicity
 from tillcast.session import stage
 
 
@@ -113,3 +113,20 @@ def test_no_group_below_a_shard_is_split(spark):
     assert sizes[0] >= 4 and sizes[1] == 1      # only the text that outweighs a shard is cut
     assert max(loads.values()) - min(loads.values()) < 0.05 * sum(loads.values()) / 10
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_equal_rows_fill_a_target_to_half_a_row(spark):
+    """101 equal rows of one source: as many are taken as fit, the same rows count in both outputs."""
+    rows = [(7, "one two three", "a", f"extra {i % 4}") for i in range(101)] + [(i, f"some words of {i} " * 5, "b", None) for i in range(8, 20)]
+    rows += [(50, None, "c", None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, times string").repartition(7)
+    for share in (0.1, 0.37, 0.6, 1.5):
+        made = mixing.plan(stage(mixing.sized(docs)), share=share)
+        taken = made.join(stage(mixing.sized(docs))).groupBy("source_key").agg(
+            F.sum(F.col("size") * F.col("times")).alias("taken"), F.first("target").alias("target"), F.max("size").alias("size"))
+        for r in taken.collect():
+            assert abs(r.taken - r.target) <= r["size"] / 2 + 1e-9
+        mixed = mixing.mix(docs, share=share)
+        assert mixed.columns == docs.columns
+        got = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"\w+"))).alias("n")).collect() if r.source == "a"}
+        assert got.get("a", 0) == {r.source_key: r.taken for r in taken.collect()}["0a"]

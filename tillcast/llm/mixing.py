@@ -8,10 +8,11 @@ falls, only the documents of that bucket are counted again by the next 12 bits,
 on until the bucket holds one key. The mix itself is then a filter on the key.
 
 Defined results: a null text has size 0; a null source is a source of its own, ordered
-last; a null doc_id counts as the empty id; equal rows share a key and are taken
-together; an empty table gives an empty mix; a source without words has target 0.
-Documents of size 0 follow the same rule (their words taken are 0). Extra columns,
-whatever their names, are ignored by ``plan`` and kept by ``mix``.
+last; a null doc_id counts as the empty id; rows equal in id and text share a key, and of
+those at the threshold as many are taken as fit (which ones is fixed by a stored numbering,
+made for these rows alone); an empty table gives an empty mix; a source without words has
+target 0. Documents of size 0 follow the same rule (their words taken are 0); very long texts
+are sized whole. Extra columns, whatever their names, are ignored by ``plan`` and kept by ``mix``.
 """
 
 from __future__ import annotations
@@ -51,16 +52,41 @@ def sized(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Plan:
-    """One row per source: source_key, source_size, target, repeats (whole passes) and
-    threshold (documents below it are taken once more)."""
+    """One row per source: source_key, source_size, target, repeats (whole passes), threshold
+    (documents below it are taken once more), and of the equal rows at the threshold how many
+    there are (``copies``) and how many are taken once more (``fit``)."""
 
     sources: DataFrame
     n_sources: int
+    divided: bool  # whether any source takes some of its equal rows, but not all
 
     def join(self, rows: DataFrame) -> DataFrame:
         """``rows`` (with source_key and key) with their source's columns and ``times``."""
         out = rows.join(bounded_broadcast(self.sources, self.n_sources), "source_key")
-        return out.withColumn("times", F.col("repeats") + F.when(F.col("key") < F.col("threshold"), 1).otherwise(0))
+        at = F.col("key") == F.col("threshold")
+        more = (F.col("key") < F.col("threshold")) | (at & (F.col("fit") == F.col("copies")))
+        times = F.col("repeats") + F.when(more, 1).otherwise(0)
+        if not self.divided:
+            return out.withColumn("times", times)
+        some = at & (F.col("fit") > 0) & (F.col("fit") < F.col("copies"))
+        equal = stage(out.filter(some).withColumn("__place", F.monotonically_increasing_id()), "equal")
+        ends = self.places(equal)
+        equal = equal.join(bounded_broadcast(ends, self.n_sources), "source_key")
+        equal = equal.withColumn("times", F.col("repeats") + F.when(F.col("__place") <= F.col("__end"), 1).otherwise(0))
+        return out.filter(~some).withColumn("times", times).unionByName(equal.drop("__place", "__end"))
+
+    def places(self, equal: DataFrame) -> DataFrame:
+        """The place of each source's last row that fits: row numbers inside each stored
+        partition, after the sizes of the partitions before it, so no task holds a whole group."""
+        part = F.shiftright("__place", 33)
+        rows = equal.select("source_key", "fit", "__place", part.alias("__part"))
+        sizes = rows.groupBy("source_key", "__part").count()
+        up_to = F.sum("count").over(W.partitionBy("source_key").orderBy("__part"))
+        before = sizes.select("source_key", "__part", (up_to - F.col("count")).alias("__before"))
+        inside = F.row_number().over(W.partitionBy("source_key", "__part").orderBy("__place"))
+        numbered = rows.withColumn("__inside", inside).join(before, ["source_key", "__part"])
+        return (numbered.filter(F.col("__before") + F.col("__inside") == F.col("fit"))
+                .select("source_key", F.col("__place").alias("__end")))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
@@ -87,7 +113,7 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
 
     Whole passes come first; of the words that are left, documents are taken in order of
     their keys as long as more than half of the next one still fits, so a source's words
-    differ from its target by at most half of one document (or one set of equal rows).
+    differ from its target by at most half of one document.
     """
     goal = targets(rows.groupBy("source_key").agg(F.sum("size").alias("source_size")), weights, share, most)
     goal = goal.withColumn("repeats", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
@@ -101,24 +127,29 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
         if level:
             inside = inside.withColumn("prefix", F.shiftright("key", shift + LEVEL_BITS))
             inside = inside.join(bounded_broadcast(open_.select("source_key", "prefix"), n), ["source_key", "prefix"], "left_semi")
-        hist = inside.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"), F.min("key").alias("low"), F.max("key").alias("high"))
+        hist = inside.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("copies"),
+                                                             F.min("key").alias("low"), F.max("key").alias("high"))
         up_to = F.sum("words").over(W.partitionBy("source_key").orderBy("bucket"))
         hist = hist.join(open_, "source_key").withColumn("start", F.col("before") + up_to - F.col("words"))
         # The boundary bucket is the last one that starts within the budget.
         edge = hist.filter(F.col("start") <= F.col("left")).groupBy("source_key").agg(
-            F.max_by(F.struct("bucket", "start", "words", "low", "high", "left"), "bucket").alias("b")).select("source_key", "b.*")
+            F.max_by(F.struct("bucket", "start", "words", "copies", "low", "high", "left"), "bucket").alias("b")).select("source_key", "b.*")
         edge = stage(edge, "edge")
         single = F.col("low") == F.col("high")
-        take = 2 * F.col("start") + F.col("words") < 2 * F.col("left")
-        found.append(edge.filter(single).select("source_key", (F.col("low") + take.cast("long")).alias("threshold")))
+        # Equal rows have equal sizes: the j-th fits if more than half of it is still wanted.
+        each = F.col("words") / F.col("copies")
+        fit = F.ceil((2 * (F.col("left") - F.col("start")) - each) / F.nullif(2 * each, F.lit(0.0)))
+        fit = F.least(F.greatest(F.coalesce(fit, F.when(F.col("start") < F.col("left"), F.col("copies")).otherwise(0)), F.lit(0)), F.col("copies"))
+        found.append(edge.filter(single).select("source_key", F.col("low").alias("threshold"), "copies", fit.cast("long").alias("fit")))
         open_ = edge.filter(~single).select("source_key", "left", F.col("start").alias("before"), F.col("bucket").alias("prefix"))
         if open_.isEmpty():
             break
     ends = found[0]
     for more in found[1:]:
         ends = ends.unionByName(more)
-    goal = goal.join(ends, "source_key", "left").withColumn("threshold", F.coalesce("threshold", F.lit(0)).cast("long"))
-    return Plan(stage(goal.select("source_key", "source_size", "target", "repeats", "threshold"), "mix"), n)
+    filled = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("threshold", "copies", "fit")]
+    made = stage(goal.join(ends, "source_key", "left").select("source_key", "source_size", "target", "repeats", *filled), "mix")
+    return Plan(made, n, not made.filter((F.col("fit") > 0) & (F.col("fit") < F.col("copies"))).isEmpty())
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
@@ -164,9 +195,10 @@ t AS (
 r AS (
   SELECT sk, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS repeats
   FROM t),
+n AS (SELECT *, row_number() OVER (PARTITION BY sk, k) AS j FROM d),
 g AS (SELECT sk, k, sum(size) AS words FROM d GROUP BY sk, k),
-c AS (SELECT sk, k, words, sum(words) OVER (PARTITION BY sk ORDER BY k) - words AS start FROM g)
-SELECT d.doc_id, d.size, r.source_size, r.target,
-  (d.size * (r.repeats + CASE WHEN 2 * c.start + c.words < 2 * (r.target - r.repeats * r.source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM d JOIN r USING (sk) JOIN c ON c.sk = d.sk AND c.k = d.k
+c AS (SELECT sk, k, sum(words) OVER (PARTITION BY sk ORDER BY k) - words AS start FROM g)
+SELECT n.doc_id, n.size, r.source_size, r.target,
+  (n.size * (r.repeats + CASE WHEN 2 * c.start + (2 * n.j - 1) * n.size < 2 * (r.target - r.repeats * r.source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM n JOIN r USING (sk) JOIN c ON c.sk = n.sk AND c.k = n.k
 """
