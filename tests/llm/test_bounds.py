@@ -130,3 +130,10 @@ def test_equal_rows_fill_a_target_to_half_a_row(spark):
         assert mixed.columns == docs.columns
         got = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"\w+"))).alias("n")).collect() if r.source == "a"}
         assert got.get("a", 0) == {r.source_key: r.taken for r in taken.collect()}["0a"]
+
+
+def test_broadcasts_are_bounded_in_rows_and_bytes(spark):
+    from tillcast.llm.common import bounded_broadcast
+    marked = lambda **how: "broadcast" in bounded_broadcast(spark.range(3), **how)._jdf.queryExecution().logical().toString()
+    assert marked(rows=1_000_000) and not marked(rows=1_000_001)
+    assert marked(rows=60, row_bytes=1_000_000) and not marked(rows=65, row_bytes=1_000_000)

@@ -12,8 +12,8 @@ from tillcast.session import stage
 #: carriage return (in Python: ``bytes.split()``).
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Most rows of a side that is broadcast (checked by a count before each use).
-BROADCAST_ROWS = 1_000_000
+#: Most rows and bytes of a side that is broadcast (checked by a count before each use).
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,12 @@ def held_out(doc_id: Column, mod: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == remainder, F.lit(False))
 
 
-def bounded_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if its counted ``rows`` are within ``limit``; beyond it
-    the join is left to the planner (shuffled, AQE splits skewed keys)."""
-    return F.broadcast(df) if rows <= limit else df
+def bounded_broadcast(df: DataFrame, rows: int, row_bytes: int = 64, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if its counted ``rows`` and their bytes are within bounds;
+    beyond them the join is left to the planner (shuffled, AQE splits skewed keys). A table with
+    columns of free length gives the greatest ``row_bytes``; a few numbers or hashes need no more
+    than the default."""
+    return F.broadcast(df) if rows <= limit and rows * row_bytes <= BROADCAST_BYTES else df
 
 
 def ranked(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:

@@ -58,11 +58,12 @@ class Plan:
 
     sources: DataFrame
     n_sources: int
+    row_bytes: int  # at most, with the longest source's name
     divided: bool  # whether any source takes some of its equal rows, but not all
 
     def join(self, rows: DataFrame) -> DataFrame:
         """``rows`` (with source_key and key) with their source's columns and ``times``."""
-        out = rows.join(bounded_broadcast(self.sources, self.n_sources), "source_key")
+        out = rows.join(bounded_broadcast(self.sources, self.n_sources, self.row_bytes), "source_key")
         at = F.col("key") == F.col("threshold")
         more = (F.col("key") < F.col("threshold")) | (at & (F.col("fit") == F.col("copies")))
         times = F.col("repeats") + F.when(more, 1).otherwise(0)
@@ -71,7 +72,7 @@ class Plan:
         some = at & (F.col("fit") > 0) & (F.col("fit") < F.col("copies"))
         equal = stage(out.filter(some).withColumn("__place", F.monotonically_increasing_id()), "equal")
         ends = self.places(equal)
-        equal = equal.join(bounded_broadcast(ends, self.n_sources), "source_key")
+        equal = equal.join(bounded_broadcast(ends, self.n_sources, self.row_bytes), "source_key")
         equal = equal.withColumn("times", F.col("repeats") + F.when(F.col("__place") <= F.col("__end"), 1).otherwise(0))
         return out.filter(~some).withColumn("times", times).unionByName(equal.drop("__place", "__end"))
 
@@ -119,14 +120,15 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     goal = goal.withColumn("repeats", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                            .otherwise(0).cast("long"))
     goal = stage(goal.withColumn("left", F.col("target") - F.col("repeats") * F.col("source_size")), "targets")
-    n = goal.count()
+    n, longest = goal.agg(F.count("*"), F.max(F.octet_length("source_key"))).first()
+    row_bytes = 64 + (longest or 0)
     found, open_ = [], goal.select("source_key", "left", F.lit(0).cast("double").alias("before"), F.lit(0).cast("long").alias("prefix"))
     for level in range(LEVELS):
         shift = LEVEL_BITS * (LEVELS - 1 - level)
         inside = rows.withColumn("bucket", F.shiftright("key", shift))
         if level:
             inside = inside.withColumn("prefix", F.shiftright("key", shift + LEVEL_BITS))
-            inside = inside.join(bounded_broadcast(open_.select("source_key", "prefix"), n), ["source_key", "prefix"], "left_semi")
+            inside = inside.join(bounded_broadcast(open_.select("source_key", "prefix"), n, row_bytes), ["source_key", "prefix"], "left_semi")
         hist = inside.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("copies"),
                                                              F.min("key").alias("low"), F.max("key").alias("high"))
         up_to = F.sum("words").over(W.partitionBy("source_key").orderBy("bucket"))
@@ -149,7 +151,7 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
         ends = ends.unionByName(more)
     filled = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("threshold", "copies", "fit")]
     made = stage(goal.join(ends, "source_key", "left").select("source_key", "source_size", "target", "repeats", *filled), "mix")
-    return Plan(made, n, not made.filter((F.col("fit") > 0) & (F.col("fit") < F.col("copies"))).isEmpty())
+    return Plan(made, n, row_bytes, not made.filter((F.col("fit") > 0) & (F.col("fit") < F.col("copies"))).isEmpty())
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
