@@ -1,9 +1,12 @@
 """G1, G6/G10, G8, G9, G11 helpers."""
 import datetime as dt
+import glob
 import os
 import uuid
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tillcast.session import checkpoint_dir
 from tillcast.sources import tables as T
@@ -224,3 +227,45 @@ def test_stored_insert_counts(spark):
     assert T.apply_insert_if_absent(spark, path, more) == {"inserted": 1, "skipped": 3}
     assert T.apply_insert_if_absent(spark, path, more) == {"inserted": 0, "skipped": 4}
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(D(2025, 1, 1), 1.0), (D(2025, 1, 2), 2.0)]
+
+
+def _touched(path, **wanted):
+    """Row groups, and those whose kept bounds admit every wanted value."""
+    total = touched = 0
+    for file in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            bounds = {(c := group.column(i)).path_in_schema: c.statistics for i in range(group.num_columns)}
+            total += 1
+            touched += all(not bounds[k].has_min_max or bounds[k].min <= v <= bounds[k].max for k, v in wanted.items())
+    return total, touched
+
+
+def test_clustered_fact_skips_row_groups_by_category_and_by_location(spark):
+    """Sorted by category only, a location filter skips nothing; along the curve both filters skip."""
+    n = 40_000
+    i = F.col("id")
+    df = spark.range(n).select(
+        F.lit("2025-01-05").cast("date").alias("report_date"), F.concat(F.lit("L"), F.format_string("%02d", F.pmod(F.hash(i), F.lit(16)))).alias("location"),
+        F.concat(F.lit("P"), (i % 4).cast("string")).alias("primary_category"),
+        F.when(i % 1000 != 0, F.concat(F.lit("C"), F.format_string("%03d", i % 64))).alias("category"), F.concat(F.lit("item"), i).alias("item_name"),
+        F.lit(1).cast("bigint").alias("quantity_sold"), i.cast("double").alias("net_sales"), F.lit(0.0).alias("discount"), F.lit("s").alias("data_source"))
+    root = f"{checkpoint_dir(spark)}/test-curve-{uuid.uuid4().hex}"
+    for name, cluster in (("sorted", False), ("curve", True)):
+        T.write_fact(df, f"{root}/{name}", cluster=cluster, row_group_bytes=16_384)
+    back = T.read_fact(spark, f"{root}/curve").select(*T.FACT_COLUMNS)
+    assert back.count() == n and back.exceptAll(df).isEmpty()
+    total, by_place = _touched(f"{root}/sorted", location="L05")
+    assert total > 20 and by_place > 0.9 * total
+    total, by_place = _touched(f"{root}/curve", location="L05")
+    by_category = _touched(f"{root}/curve", primary_category="P1", category="C033")[1]
+    by_both = _touched(f"{root}/curve", location="L05", primary_category="P1", category="C033")[1]
+    assert total > 20 and by_place <= 0.4 * total and by_category <= 0.4 * total and by_both <= 0.1 * total
+
+
+def test_clustered_fact_of_an_empty_table_and_of_one_value(spark):
+    root = f"{checkpoint_dir(spark)}/test-curve-{uuid.uuid4().hex}"
+    T.write_fact(_facts(spark, [D(2025, 1, 30), D(2025, 2, 3)] * 3), f"{root}/one", grain="month", cluster=True)
+    assert _held(spark, f"{root}/one") == sorted([(D(2025, 1, 30), "L", "s"), (D(2025, 2, 3), "L", "s")] * 3)
+    assert T.on_curve(spark.createDataFrame([], FACT)).count() == 0

@@ -239,14 +239,26 @@ def declining_items(t):
     return g.where(F.col("slope") < 0).withColumn("slope", F.round("slope", 6))
 
 
-def partial_week_items(t):
-    """Q58: items sold on some but not all weekdays, with the weekdays they sell on."""
-    g = t.view.groupBy("location", "item_name").agg(F.array_sort(F.collect_set("day_name")).alias("days"))
+def partial_week_items(t, days=None):
+    """Q58: items sold on some but not all weekdays, with the weekdays they sell on; over the
+    last ``days`` days, if given."""
+    v = t.view
+    if days is not None:
+        v = v.where((F.col("report_date") > F.date_sub(_d(t.as_of), days)) & (F.col("report_date") <= _d(t.as_of)))
+    g = v.groupBy("location", "item_name").agg(F.array_sort(F.collect_set("day_name")).alias("days"))
     return g.where(F.size("days") < 7).select("location", "item_name",
                                               F.array_join("days", ", ").alias("weekdays"),
                                               F.size("days").alias("n_weekdays"))
 
 
+def temp_vs_category_points(t, primaries):
+    """Q81: a point per location and day: temperature and the sales of some primary categories.
+    Sales are summed per day before they meet the day's weather."""
+    sold = t.item_sales.where(F.col("primary_category").isin(*primaries)).groupBy("location", "report_date").agg(_money().alias("sales"))
+    days = t.daily_summary.where(F.col("avg_temp_f").isNotNull()).select("location", "report_date", "avg_temp_f")
+    return sold.join(days, ["location", "report_date"])
+
+
 def compare_items(t, item_a, item_b):
     """Q59: two items side by side per month."""
     v = t.view.where(F.col("item_name").isin(item_a, item_b))

@@ -20,6 +20,7 @@ EVENT = "purchase-7"
 COLD_F, HOT_F = 40.0, 80.0
 PRIMARY = "PROMO"
 LOCATION = "ASIA"
+RECENT_DAYS = 56
 
 
 def _rank(p, o):
@@ -192,6 +193,12 @@ SELECT location, item_name, string_agg(DISTINCT day_name, ', ' ORDER BY day_name
        CAST(count(DISTINCT day_name) AS INTEGER) AS n_weekdays
 FROM restaurant_analytics GROUP BY location, item_name HAVING count(DISTINCT day_name) < 7
 """, C.partial_week_items)
+q("Q58_partial_week_items_recent", f"""
+SELECT location, item_name, string_agg(DISTINCT day_name, ', ' ORDER BY day_name) AS weekdays,
+       CAST(count(DISTINCT day_name) AS INTEGER) AS n_weekdays
+FROM restaurant_analytics WHERE report_date > DATE '{AS_OF}' - {RECENT_DAYS} AND report_date <= DATE '{AS_OF}'
+GROUP BY location, item_name HAVING count(DISTINCT day_name) < 7
+""", lambda t: C.partial_week_items(t, RECENT_DAYS))
 q("Q59_compare_two_items", f"""
 SELECT location, year, month,
        CAST(sum(CASE WHEN item_name = '{ITEM_A}' THEN net_sales END) AS DOUBLE) AS item_a_sales,
@@ -418,6 +425,10 @@ q("Q42_primary_qty_next_week", _E9_AS + f"""
 SELECT location, primary_category, round(sum(predicted_quantity), 2) AS predicted_quantity_sum FROM e9
 WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7 GROUP BY ALL
 """, lambda t: C.forecast_sum(_e9(t), ["location", "primary_category"], "predicted_quantity", AS_OF))
+q("Q42_primary_sales_next_week", _E9_AS + f"""
+SELECT location, primary_category, round(sum(predicted_sales), 2) AS predicted_sales_sum FROM e9
+WHERE forecast_date > DATE '{AS_OF}' AND forecast_date <= DATE '{AS_OF}' + 7 GROUP BY ALL
+""", lambda t: C.forecast_sum(_e9(t), ["location", "primary_category"], "predicted_sales", AS_OF))
 q("Q44_primary_weekend_rank", _E9_AS + f"""
 , g AS (SELECT location, primary_category, round(sum(predicted_quantity), 2) AS weekend_total FROM e9
         WHERE forecast_date BETWEEN {_SAT} AND {_SAT} + 1 GROUP BY ALL)
@@ -598,6 +609,13 @@ WHERE avg_temp_f IS NOT NULL
 """, lambda t: t.daily_summary.where(F.col("avg_temp_f").isNotNull()).select(
     "location", "report_date", "avg_temp_f", "precipitation_in", "total_net_sales"))
 
+q("Q81_temp_drink_sales_points", f"""
+, s AS (SELECT location, report_date, CAST(sum(net_sales) AS DOUBLE) AS sales FROM item_sales
+        WHERE primary_category IN ({_drinks}) GROUP BY location, report_date)
+SELECT s.location, s.report_date, s.sales, d.avg_temp_f FROM s JOIN daily_summary d
+  ON d.location = s.location AND d.report_date = s.report_date WHERE d.avg_temp_f IS NOT NULL
+""", lambda t: C.temp_vs_category_points(t, DRINKS))
+
 q("Q61_june_vs_july", """
 SELECT location,
        CAST(CAST(sum(CASE WHEN month = 6 THEN total_net_sales END) AS DECIMAL(38,4)) AS DOUBLE) AS month_a_sales,

@@ -169,12 +169,15 @@ def e9_primary_category_forecast(spark, sf_dir):
     return forecast.combined_forecast(s, q, PRIMARY_KEYS)
 
 
-@query("E10_category_forecast", _combined_sql(
+E10_SQL = _combined_sql(
     q_core._DENSE_FINE_SQL, "dense_fine", FINE_KEYS,
     extra_join=f"""LEFT JOIN (SELECT location, category, primary_category FROM item_sales
                       GROUP BY location, primary_category, category
                       HAVING date_diff('day', min(report_date), DATE '{AS_OF}') >= 100) fc
-      ON fc.location = s.location AND fc.category = s.category"""))
+      ON fc.location = s.location AND fc.category = s.category""")
+
+
+@query("E10_category_forecast", E10_SQL)
 def e10_category_forecast(spark, sf_dir):
     s = tier1_dense(spark, sf_dir, FINE_KEYS, "total_sales", "predicted_sales")
     q = tier1_dense(spark, sf_dir, FINE_KEYS, "total_quantity", "predicted_quantity")

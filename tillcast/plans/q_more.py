@@ -39,6 +39,26 @@ def a1_fact_scan_date_range(spark, sf_dir):
                      F.col("discount").cast("double").alias("discount"))
 
 
+CLUSTERED_LOCATIONS = ["ASIA", "EUROPE"]
+
+
+@query("A1_clustered_fact_slice", f"""
+SELECT location, primary_category, category, min(report_date) AS first_date, max(report_date) AS last_date,
+       count(*) AS item_rows, CAST(sum(quantity_sold) AS BIGINT) AS quantity, CAST(sum(net_sales) AS DOUBLE) AS sales
+FROM item_sales WHERE location IN ({", ".join(f"'{x}'" for x in CLUSTERED_LOCATIONS)}) AND primary_category = '{q_catalog.PRIMARY}'
+GROUP BY location, primary_category, category
+""")
+def a1_clustered_fact_slice(spark, sf_dir):
+    """Store the whole fact clustered along the curve, then read some locations' rows of a primary
+    category: both filters reach the scan and skip row groups."""
+    path = f"{checkpoint_dir(spark)}/fact-{uuid.uuid4().hex}"
+    T.write_fact(tables(spark, sf_dir).item_sales, path, grain="month", cluster=True)
+    df = T.read_fact(spark, path).where(F.col("location").isin(CLUSTERED_LOCATIONS) & (F.col("primary_category") == q_catalog.PRIMARY))
+    return df.groupBy("location", "primary_category", "category").agg(
+        F.min("report_date").alias("first_date"), F.max("report_date").alias("last_date"), F.count(F.lit(1)).alias("item_rows"),
+        F.sum("quantity_sold").alias("quantity"), F.sum("net_sales").cast("double").alias("sales"))
+
+
 _names = ", ".join(f"'{n}'" for n in WEEKLY_NAMES)
 
 
@@ -102,6 +122,18 @@ def q43_compare_two_primaries(spark, sf_dir):
     return C.forecast_on(fc, C.next_saturday(AS_OF)).where(F.col("primary_category").isin("PROMO", "SMALL"))
 
 
+_E10_AS = q_forecast.E10_SQL.replace("\nSELECT s.forecast_date,", "\n, e10 AS (SELECT s.forecast_date,", 1) + ")\n"
+
+
+@query("Q107_category_forecast_next_saturday", _E10_AS + f"""
+SELECT * FROM e10 WHERE forecast_date = {q_catalog._SAT} AND primary_category = '{q_catalog.PRIMARY}'
+""")
+def q107_category_forecast_next_saturday(spark, sf_dir):
+    """The fine categories of one primary category on the coming Saturday."""
+    fc = serving.category_forecast(tables(spark, sf_dir))
+    return C.forecast_on(fc, C.next_saturday(AS_OF)).where(F.col("primary_category") == q_catalog.PRIMARY)
+
+
 @query("Q65_saturday_vs_sunday", """
 SELECT location, day_of_week, day_name, round(avg(total_net_sales), 4) AS avg_daily_sales, count(*) AS days
 FROM daily_summary WHERE day_of_week IN (1, 7) GROUP BY location, day_of_week, day_name

@@ -1,4 +1,4 @@
-"""The serving views (E6, E8, E9, E11) over the published result set: what the questions and
+"""The serving views (E6, E8, E9, E10, E11) over the published result set: what the questions and
 the daily report read, so that showing a day or a week computes no model and no history.
 
 ``Tables.from_parquet`` names the set that the daily refresh publishes. Tables derived from test data
@@ -19,6 +19,7 @@ from tillcast.plans.context import Tables
 from tillcast.session import run_dir
 
 PRIMARY = ["location", "primary_category"]
+FINE = [*PRIMARY, "category"]
 
 
 def result(t: Tables, name: str) -> DataFrame:
@@ -47,6 +48,12 @@ def primary_forecast(t: Tables) -> DataFrame:
     return forecast.combined_forecast(sales.drop("refreshed_at"), qty, PRIMARY)
 
 
+def category_forecast(t: Tables) -> DataFrame:
+    """E10."""
+    sales, qty = (result(t, f"category_{m}_forecast_results").drop("refreshed_at") for m in ("sales", "qty"))
+    return forecast.category_forecast_view(sales, qty, result(t, "forecastable_categories").drop("refreshed_at"), FINE)
+
+
 def sales_anomalies(t: Tables) -> DataFrame:
     """E6."""
     a = _rounded(result(t, "sales_anomaly_results").withColumnRenamed("actual", "actual_sales"), 2, "predicted_sales", "lower_bound", "upper_bound")

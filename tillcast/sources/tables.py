@@ -6,13 +6,17 @@ partitioned by date (``grain='day'``: one folder per report_date, the reference'
 layout, right when a day holds gigabytes; ``grain='month'``: one folder per month
 for small or sparse tables) and sorted within files by (report_date,
 primary_category, category), so date filters prune folders and row groups and
-category filters prune row groups.
+category filters prune row groups. ``write_fact(cluster=True)`` orders a folder's rows
+along a curve through categories and locations instead, so that filters on either prune.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tillcast.session import stage
 
@@ -24,19 +28,69 @@ def _part_col(grain: str) -> str:
     return {"day": "report_date", "month": "report_month"}[grain]
 
 
-def write_fact(df: DataFrame, path: str, mode: str = "overwrite", grain: str = "day") -> None:
+#: Each side of the clustering curve is cut into 2^CURVE_BITS ranges of about equal rows.
+CURVE_BITS = 10
+
+
+def _ranges(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """For each value of ``keys``, in their order, the number of the equal-rows range in which it
+    starts. Running row counts without one global window: inside each range partition, after
+    the sums of the partitions before it."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).repartitionByRange(*keys)
+    counts = stage(counts.withColumn("part", F.spark_partition_id()), "counts")
+    sums = counts.groupBy("part").agg(F.sum("n").alias("held"))     # a row per partition
+    before = sums.select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("before"),
+                         F.sum("held").over(Window.partitionBy()).alias("total"))
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy(*keys)) - F.col("n")
+    start = (F.col("before") + F.col("inside")) / F.col("total")
+    return (counts.withColumn("inside", inside).join(before, "part")
+            .select(*keys, F.floor(start * (1 << CURVE_BITS)).alias(name)))
+
+
+def _interleaved(a: Column, b: Column) -> Column:
+    """The bits of two range numbers in turn: a position on a curve that keeps close what is
+    close in both."""
+    bit = lambda c, i, to: F.shiftleft(F.shiftright(c, i).bitwiseAND(F.lit(1)), to)
+    bits = [bit(c, i, 2 * i + side) for i in range(CURVE_BITS) for side, c in ((1, a), (0, b))]
+    return reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+
+def on_curve(df: DataFrame) -> DataFrame:
+    """``df`` with ``curve``: where its (primary, category) and its location lie on the curve.
+    The two lists of values are joined null-safely; AQE broadcasts them if they are small."""
+    for keys, name in ((["primary_category", "category"], "along"), (["location"], "across")):
+        found = _ranges(df, keys, name)
+        found = found.select(*[F.col(k).alias(f"{k}_") for k in keys], name)
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+        df = df.join(found, same).drop(*[f"{k}_" for k in keys])
+    return df.withColumn("curve", _interleaved(F.col("along"), F.col("across"))).drop("along", "across")
+
+
+def write_fact(df: DataFrame, path: str, mode: str = "overwrite", grain: str = "day", cluster: bool = False,
+               row_group_bytes: int | None = None) -> None:
     """A1 write. The rebalance hint gathers a folder's rows in few files (instead of one per
     input partition), and AQE splits a hot folder's rows over several tasks, which a
-    ``repartition`` by the partition column would leave in one."""
+    ``repartition`` by the partition column would leave in one.
+
+    With ``cluster`` rows are range-partitioned and sorted by (folder, curve): the files of a hot
+    folder then hold separate stretches of the curve, and the bounds kept for each row group
+    let a filter on category, on location or on both skip most of them. The rows are staged
+    first, because counting and range sampling read them again."""
     part = _part_col(grain)
     out = df.select(*FACT_COLUMNS)
     if grain == "month":
         out = out.withColumn("report_month", F.trunc("report_date", "month"))
+    if cluster:
+        out = on_curve(stage(out, "fact")).repartitionByRange(part, "curve")
+        out = out.sortWithinPartitions(*dict.fromkeys([part, "curve", "report_date"])).drop("curve")
+    else:
+        out = out.hint("rebalance", part).sortWithinPartitions(*dict.fromkeys([part, "report_date", "primary_category", "category"]))
     # A full write replaces the whole table (static overwrite), whatever the
     # session's partitionOverwriteMode is.
-    (out.hint("rebalance", part)
-        .sortWithinPartitions(*dict.fromkeys([part, "report_date", "primary_category", "category"]))
-        .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(part).parquet(path))
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.partitionBy(part).parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
