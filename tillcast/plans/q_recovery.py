@@ -45,34 +45,45 @@ def b6_words_layout_roundtrip(spark, sf_dir):
 def b5_cells_layout_roundtrip(spark, sf_dir):
     """Every report has cells and words; those whose table is too small to be picked (at
     most 10 rows) are recovered from their words, so no report is missing."""
-    sales = tables(spark, sf_dir).item_sales
-    recs, _ = RR.parse_reports(report_render.render_cells(sales), report_render.render_words(sales))
+    lines = stage(report_render.report_rows(tables(spark, sf_dir).item_sales), "lines")
+    recs, _ = RR.parse_reports(report_render.cells_of(lines), report_render.words_of(lines))
     return recs.select(*RR.RECORD_COLS)
 
 
 def _landed(spark, sf_dir):
-    """Report content as the extractor lands it: (cells, words), stored."""
-    cells, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
-    return stage(cells, "cells"), stage(words, "words")
+    """Report content as the extractor lands it: (cells, words, files), from the printed lines, stored once.
+    Every report has at least its total's line and words, so the lines name all files."""
+    lines = stage(report_render.report_rows(tables(spark, sf_dir).item_sales), "lines")
+    return *report_render.mixed_of(lines), lines.select("file_name").distinct()
 
 
 def _mixed(spark, sf_dir):
-    """((records, grand totals), cells, words): parsed once, stored."""
-    cells, words = _landed(spark, sf_dir)
+    """((records, grand totals), files): parsed once, stored."""
+    cells, words, files = _landed(spark, sf_dir)
     parsed = stage(RR.parse_rows(cells, words), "parsed")
-    return (RR.records(parsed), RR.grand_totals(parsed)), cells, words
+    return (RR.records(parsed), RR.grand_totals(parsed)), files
+
+
+def _day_in(file_name):
+    """The day of the month in a rendered report's name."""
+    return F.substring(file_name, -6, 2)
+
+
+def damaged_name(file_name):
+    stem = F.substring(file_name, F.lit(1), F.char_length(file_name) - 7)
+    return F.when(_day_in(file_name) == "08", F.concat(stem, F.lit("-99.pdf"))).otherwise(file_name)
 
 
 def damaged(cells, words):
     """The rendered reports with damage by the day of the month in their names: 2nd a
     malformed amount, 4th a quantity beyond any integer, 6th no item rows, 8th a date that
     does not exist, 10th an empty table row."""
-    day = F.regexp_extract("file_name", r"-(\d{2})\.pdf$", 1)
-    renamed = F.when(day == "08", F.regexp_replace("file_name", r"-08\.pdf$", "-99.pdf")).otherwise(F.col("file_name"))
+    day, renamed = _day_in(F.col("file_name")), damaged_name(F.col("file_name"))
     bad_amount, bad_quantity = F.lit("$1.2.3"), F.lit("9" * 20)
-    total_row = words.where(F.col("text") == "Grand").select("file_name", "page", "top")
-    words = (words.join(total_row.withColumn("total", F.lit(True)), ["file_name", "page", "top"], "left")
-             .where((day != "06") | F.col("total"))
+    # Of the 6th only the total's line stays; no other day's words need the join.
+    sixth = words.where(day == "06")
+    total_row = sixth.where(F.col("text") == "Grand").select("file_name", "page", "top")
+    words = (words.where(day != "06").unionByName(sixth.join(total_row, ["file_name", "page", "top"], "left_semi"))
              .withColumn("text", F.when((day == "02") & (F.col("x0") == 300.0), bad_amount)
                          .when((day == "04") & (F.col("x0") == 190.0), bad_quantity).otherwise(F.col("text")))
              .select(renamed.alias("file_name"), "page", "top", "x0", "text"))
@@ -95,9 +106,9 @@ FROM f
 """)
 def b8_malformed_files(spark, sf_dir):
     from tillcast.sources import files as FS
-    cells, words = damaged(*_landed(spark, sf_dir))
-    parsed = stage(RR.parse_rows(cells, words), "parsed")
-    names = FS.match_report_files(cells.select("file_name").unionByName(words.select("file_name")).distinct())
+    cells, words, files = _landed(spark, sf_dir)
+    parsed = stage(RR.parse_rows(*damaged(cells, words)), "parsed")
+    names = stage(FS.match_report_files(files.select(damaged_name(F.col("file_name")).alias("file_name")).distinct()), "names")
     v = RR.validate_totals(RR.records(parsed), RR.grand_totals(parsed), names, RR.parse_errors(parsed))
     v = v.join(names.select("file_name", "report_date"), "file_name")
     bad_name = F.col("report_date").isNull()
@@ -107,7 +118,7 @@ def b8_malformed_files(spark, sf_dir):
 
 @query("B4_layout_router_roundtrip", _EXPECTED + _REC)
 def b4_layout_router_roundtrip(spark, sf_dir):
-    (recs, _), _, _ = _mixed(spark, sf_dir)
+    (recs, _), _ = _mixed(spark, sf_dir)
     return recs.select(*RR.RECORD_COLS)
 
 
@@ -133,8 +144,7 @@ SELECT file_name, record_count, calculated_total, round(grand_total, 2) AS grand
 FROM v
 """)
 def b8_validate_totals(spark, sf_dir):
-    (recs, totals), cells, words = _mixed(spark, sf_dir)
-    files = cells.select("file_name").unionByName(words.select("file_name"))
+    (recs, totals), files = _mixed(spark, sf_dir)
     v = RR.validate_totals(recs, totals, files)
     return v.select("file_name", "record_count", F.round("calculated_total", 2).alias("calculated_total"),
                     F.round("grand_total", 2).alias("grand_total"), "is_valid")
@@ -148,8 +158,7 @@ SELECT file_name, record_count, CASE WHEN abs(round(grand_total, 2) - calculated
 FROM v
 """)
 def b9_quality_review(spark, sf_dir):
-    (recs, totals), cells, words = _mixed(spark, sf_dir)
-    files = cells.select("file_name").unionByName(words.select("file_name"))
+    (recs, totals), files = _mixed(spark, sf_dir)
     q = RR.quality_review(recs, RR.validate_totals(recs, totals, files))
     return q.select("file_name", "record_count", "status", "issue_count")
 
@@ -160,7 +169,7 @@ SELECT file_name, count(*) AS record_count, CAST(sum(quantity_sold) AS BIGINT) A
 FROM exp GROUP BY file_name
 """)
 def b10_file_totals(spark, sf_dir):
-    (recs, _), _, _ = _mixed(spark, sf_dir)
+    (recs, _), _ = _mixed(spark, sf_dir)
     return RR.file_totals(recs)
 
 
@@ -170,7 +179,7 @@ SELECT file_name, coalesce(primary_category, 'Unknown') AS primary_category, cou
 FROM exp GROUP BY ALL
 """)
 def b10_file_category_totals(spark, sf_dir):
-    (recs, _), _, _ = _mixed(spark, sf_dir)
+    (recs, _), _ = _mixed(spark, sf_dir)
     return RR.file_category_totals(recs)
 
 
@@ -248,7 +257,7 @@ FROM j GROUP BY location
 def b11_import_summary(spark, sf_dir):
     """The reports are parsed once into a staged table; verdict, review and totals of a
     file then come from it."""
-    cells, words = _landed(spark, sf_dir)
+    cells, words, _ = _landed(spark, sf_dir)
     parsed = stage(RR.parse_rows(cells, words), "parsed")
     recs = stage(RR.records(parsed), "records")
     files = parsed.select("file_name").distinct()

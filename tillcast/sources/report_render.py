@@ -26,29 +26,33 @@ def _money(c: Column) -> Column:
 
 
 def report_rows(sales: DataFrame) -> DataFrame:
-    """One row per printed report line: file_name, idx (1-based), kind, texts, numbers."""
-    items = sales.groupBy("report_date", "location", "primary_category", "category", "item_name").agg(
+    """One row per printed report line: file_name, idx (1-based), kind, texts, numbers. The fact is
+    shuffled once, by report: the first item of a primary emits its header as well, the first
+    item of a report its grand total."""
+    named = sales.withColumn("file_name", F.concat(F.lit("report-"), "location", F.lit("-"),
+                                                   F.col("report_date").cast("string"), F.lit(".pdf"))).repartition("file_name")
+    report = ["file_name", "report_date", "location"]
+    items = named.groupBy(*report, "primary_category", "category", "item_name").agg(
         F.sum("quantity_sold").alias("qty"),
         F.round(F.sum("net_sales"), 2).cast("double").alias("net"),
         F.round(F.sum("discount"), 2).cast("double").alias("disc"))
-    items = items.withColumn("file_name", F.concat(F.lit("report-"), "location", F.lit("-"),
-                                                   F.col("report_date").cast("string"), F.lit(".pdf")))
-    heads = items.groupBy("file_name", "report_date", "location", "primary_category").agg(
-        F.sum("qty").alias("qty"), F.sum("net").alias("net"), F.sum("disc").alias("disc"))
-    grand = items.groupBy("file_name", "report_date", "location").agg(
-        F.sum("qty").alias("qty"), F.sum("net").alias("net"), F.sum("disc").alias("disc"))
+    sums = lambda w: F.struct(*[F.sum(c).over(w).alias(c) for c in ("qty", "net", "disc")])
+    inner = Window.partitionBy(*report, "primary_category").orderBy("category", "item_name")
+    outer = Window.partitionBy(*report).orderBy("primary_category", "category", "item_name")
+    items = items.select("*", sums(Window.partitionBy(*report, "primary_category")).alias("head"), sums(Window.partitionBy(*report)).alias("grand"),
+                         (F.row_number().over(inner) == 1).alias("opens"), (F.row_number().over(outer) == 1).alias("first"))
     off = F.when(F.dayofmonth("report_date") == MISMATCH_DAY, F.lit(1.01)).otherwise(F.lit(0.0))
-    lines = (items.select("file_name", "report_date", F.lit(0).alias("grp"), "primary_category",
-                          F.lit(1).alias("is_item"), "category", "item_name", "qty", "net", "disc")
-             .unionByName(heads.select("file_name", "report_date", F.lit(0).alias("grp"), "primary_category",
-                                       F.lit(0).alias("is_item"),
-                                       F.concat(F.lit("("), "primary_category", F.lit(")")).alias("category"),
-                                       F.lit("").alias("item_name"), "qty", "net", "disc"))
-             .unionByName(grand.select("file_name", "report_date", F.lit(1).alias("grp"),
-                                       F.lit(None).cast("string").alias("primary_category"),
-                                       F.lit(0).alias("is_item"), F.lit("Grand Total").alias("category"),
-                                       F.lit("").alias("item_name"), "qty", (F.col("net") + off).alias("net"),
-                                       "disc")))
+
+    def line(grp, primary, is_item, category, item, qty, net, disc):
+        return F.struct(F.lit(grp).alias("grp"), primary.alias("primary_category"), F.lit(is_item).alias("is_item"), category.alias("category"),
+                        item.alias("item_name"), qty.alias("qty"), net.alias("net"), disc.alias("disc"))
+
+    c = F.col
+    header = line(0, c("primary_category"), 0, F.concat(F.lit("("), "primary_category", F.lit(")")), F.lit(""), c("head.qty"), c("head.net"), c("head.disc"))
+    item = line(0, c("primary_category"), 1, c("category"), c("item_name"), c("qty"), c("net"), c("disc"))
+    total = line(1, F.lit(None).cast("string"), 0, F.lit("Grand Total"), F.lit(""), c("grand.qty"), c("grand.net") + off, c("grand.disc"))
+    printed = F.when(c("first"), F.array(item, header, total)).when(c("opens"), F.array(item, header)).otherwise(F.array(item))
+    lines = items.select("file_name", "report_date", F.explode(printed).alias("line")).select("file_name", "report_date", "line.*")
     w = Window.partitionBy("file_name").orderBy("grp", F.asc_nulls_first("primary_category"), "is_item",
                                                 "category", "item_name")
     return lines.withColumn("idx", F.row_number().over(w))
@@ -56,7 +60,11 @@ def report_rows(sales: DataFrame) -> DataFrame:
 
 def render_words(sales: DataFrame) -> DataFrame:
     """report_words(file_name, page, top, x0, text) for every report."""
-    r = report_rows(sales)
+    return words_of(report_rows(sales))
+
+
+def words_of(r: DataFrame) -> DataFrame:
+    """``render_words`` of given ``report_rows``."""
     page = ((F.col("idx") - 1) / ROWS_PER_PAGE).cast("int") + 1
     top = ((F.col("idx") - 1) % ROWS_PER_PAGE + 1).cast("double") * ROW_PITCH
     avg = F.when(F.col("qty") > 0, F.col("net") / F.col("qty")).otherwise(F.lit(0.0))
@@ -77,7 +85,11 @@ def render_words(sales: DataFrame) -> DataFrame:
 
 def render_cells(sales: DataFrame) -> DataFrame:
     """report_cells(file_name, page, table_no, row_no, cells) - one table per report."""
-    r = report_rows(sales)
+    return cells_of(report_rows(sales))
+
+
+def cells_of(r: DataFrame) -> DataFrame:
+    """``render_cells`` of given ``report_rows``."""
     avg = F.when(F.col("qty") > 0, F.col("net") / F.col("qty")).otherwise(F.lit(0.0))
     cells = F.array(F.col("category"), F.col("item_name"), F.format_string("%.2f", F.col("qty").cast("double")),
                     _money(F.col("net")), _money(avg), _money(F.col("disc")), F.lit(""), F.lit(""))
@@ -88,5 +100,9 @@ def render_cells(sales: DataFrame) -> DataFrame:
 def render_mixed(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Words for every report (any extractor yields words); table cells as well for
     old reports (before OLD_FORMAT_BEFORE), which had the table layout."""
-    old = F.col("report_date") < F.lit(OLD_FORMAT_BEFORE).cast("date")
-    return render_cells(sales.where(old)), render_words(sales)
+    return mixed_of(report_rows(sales))
+
+
+def mixed_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``render_mixed`` of given ``report_rows``, e.g. stored ones: both layouts are then narrow passes over them."""
+    return cells_of(rows.where(F.col("report_date") < F.lit(OLD_FORMAT_BEFORE).cast("date"))), words_of(rows)
