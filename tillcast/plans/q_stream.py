@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import summarize
 from tillcast.plans.context import tables
 from tillcast.plans.registry import query
-from tillcast.session import run_dir
+from tillcast.session import run_dir, stage
 from tillcast.sources import report_render
 from tillcast.streaming.ingest import ReportIngest, land_words
 
@@ -25,15 +25,31 @@ loaded AS (SELECT * FROM it WHERE day(report_date) <> {report_render.MISMATCH_DA
 DUE_AS_OF = "2001-07-31"        # the reports of the day before are due
 
 
-def ingested(spark, sf_dir, landing_files: int = 4, files_per_trigger: int = 2, **how) -> ReportIngest:
+LINES_PER_FILE = 200_000        # printed lines that one landed file holds, about
+
+
+def printed(spark, sf_dir):
+    """The lines of every report, stored."""
+    return stage(report_render.report_rows(tables(spark, sf_dir).item_sales), "lines")
+
+
+def land(lines, path: str, files: int) -> int:
+    """Land the reports of ``lines`` (old ones as table cells too) as ``files`` files, or as an equal number
+    of files in place of each where they would grow too large; returns that number."""
+    spread = max(1, -(-lines.count() // (files * LINES_PER_FILE)))
+    cells, words = report_render.mixed_of(lines)
+    land_words(words, path, files * spread, cells)
+    return spread
+
+
+def ingested(spark, sf_dir, landing_files: int = 4, files_per_trigger: int = 2, lines=None, **how) -> ReportIngest:
     """Render every report (old ones as table cells too), land them as files and run the
     stream to completion. Reports whose grand total is off are rejected by validation and
-    never loaded."""
+    never loaded. Larger tables give more files, not larger ones or more batches."""
     root = f"{run_dir(spark)}/stream-{uuid.uuid4().hex}"
-    cells, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
-    land_words(words, f"{root}/landing", landing_files, cells)
+    spread = land(printed(spark, sf_dir) if lines is None else lines, f"{root}/landing", landing_files)
     ingest = ReportIngest(spark, f"{root}/tables", **how)
-    ingest.start(f"{root}/landing", f"{root}/_checkpoint", max_files_per_trigger=files_per_trigger).awaitTermination()
+    ingest.start(f"{root}/landing", f"{root}/_checkpoint", max_files_per_trigger=files_per_trigger * spread).awaitTermination()
     return ingest
 
 
@@ -88,10 +104,10 @@ SELECT report_date, location, CASE WHEN day(report_date) = {report_render.MISMAT
 def s1_import_state(spark, sf_dir):
     """Every report lands a second time and the stream goes on: the keyed state knows each
     (date, location), so all of them are skipped, those that failed too."""
-    ingest = ingested(spark, sf_dir, landing_files=2)
+    lines = printed(spark, sf_dir)
+    ingest = ingested(spark, sf_dir, landing_files=2, lines=lines)
     root = ingest.root.rsplit("/", 1)[0]
-    cells, words = report_render.render_mixed(tables(spark, sf_dir).item_sales)
-    land_words(words, f"{root}/landing", 1, cells)
+    land(lines, f"{root}/landing", 1)
     ingest.start(f"{root}/landing", f"{root}/_checkpoint").awaitTermination()
     log = spark.read.parquet(ingest.log_path).groupBy("report_date", "location").agg(
         F.count_if(F.col("status") == "skipped").alias("skipped"), F.count_if(F.col("status") != "skipped").alias("imports"))

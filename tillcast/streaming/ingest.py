@@ -92,13 +92,16 @@ class ReportIngest:
         for field in StructType.fromDDL(CONTENT_SCHEMA):
             if field.name not in content.columns:
                 content = content.withColumn(field.name, F.lit(None).cast(field.dataType))
-        names = content.select("file_name").distinct()
+        # Every use of ``content`` reads the whole micro-batch, so the few names are stored.
+        names = T.stage(content.select("file_name").distinct(), f"names-{batch_id}")
         # A name without a date that exists is a failed file, like any other odd name.
         matched = FS.match_report_files(names, self.pattern).where(F.col("report_date").isNotNull())
         matched = T.stage(matched, f"matched-{batch_id}")
         rejected = names.join(matched.select("file_name"), "file_name", "left_anti")
         state = self.import_state(matched, batch_id)
-        todo = matched if state is None else FS.new_files(matched, state, retry_failed=self.retry_failed)
+        todo = matched if state is None else T.stage(FS.new_files(matched, state, retry_failed=self.retry_failed), f"todo-{batch_id}")
+        if todo.isEmpty():
+            content = content.limit(0)      # nothing is to be parsed, so the content need not be read again
         skipped = matched.join(todo.select("file_name"), "file_name", "left_anti")
 
         content = content.join(todo.select("file_name"), "file_name", "left_semi")
