@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillcast.llm import chat, language, minhash, mixing, packing, quality, queries, repetition, sharding, toxicity, winnowing
@@ -454,6 +455,17 @@ def test_winnowing_of_odd_texts(spark):
     check_fingerprints([rows[i] for i in range(len(texts))], texts)
 
 
+def test_winnowing_hashes_a_code_point_once(spark):
+    assert str(winnowing.choices(F.col("text"))).count("crc32(") == 1
+
+
+def test_winnowing_grown(spark):
+    """Runs that end at each place, shorter ones at the start."""
+    a = F.array(*[F.lit(x).cast("long") for x in range(1, 7)])
+    sums, highest = spark.range(1).select(winnowing.grown(a, 4, lambda x, y, by: x + y), winnowing.grown(F.reverse(a), 4, lambda x, y, by: F.greatest(x, y))).first()
+    assert (sums[:6], highest[:6]) == ([1, 3, 6, 10, 14, 18], [6, 6, 6, 6, 5, 4])
+
+
 def test_winnowing_of_repeated_and_null_ids(spark, monkeypatch):
     """Equal ids spread over ranges: each row's next is some row that follows it, all but one once."""
     monkeypatch.setattr(winnowing, "RANGE_BYTES", 400)

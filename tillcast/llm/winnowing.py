@@ -38,40 +38,39 @@ POSITIONS = (1 << 32) - 1
 RANGE_BYTES = 64 << 20
 
 
-def ahead(a: Column, by: int) -> Column:
-    return F.slice(a, by + 1, F.greatest(F.size(a) - by, F.lit(0)))
-
-
 def let(value: Column, use) -> Column:
     """``use`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def grown(a: Column, width: int, join) -> Column:
-    """For each place of ``a`` all of the ``width`` entries from it on in one, by doubling: ``join``
-    takes those of a run, of the run behind it, and the run's length. The last ones are null."""
+    """For each place of the bigint array ``a`` all of the ``width`` entries that end there in one, by
+    doubling: ``join`` takes those of a run, of the run behind it, and the latter's length. Before the
+    first place are zeros; ``width`` - 1 places without meaning follow the last one. ``a`` is computed once."""
     def step(runs: Column, by: int) -> Column:
-        return runs if by == width else let(F.zip_with(runs, ahead(runs, by), lambda x, y: join(x, y, by)), lambda r: step(r, 2 * by))
+        if by == width:
+            return runs
+        before = F.concat(F.array_repeat(F.lit(0).cast("bigint"), by), runs)
+        return let(F.zip_with(before, runs, lambda x, y: join(x, y, by)), lambda r: step(r, 2 * by))
 
-    return step(a, 1)
+    return let(a, lambda runs: step(runs, 1))
 
 
 def choices(text: Column, skip: Column | None = None, at: Column | None = None, whole: Column | None = None) -> Column:
     """The packed chosen grams of a text. The first ``skip`` grams are context only, the first one
     after them has position ``at``; if ``whole``, all are kept."""
     skip, n = F.lit(0) if skip is None else skip, F.char_length(text)
-    zeros = F.array_repeat(F.lit(0).cast("bigint"), GRAM - 1)  # before the first code point
     points = F.transform(F.split(text, ""), lambda p: F.crc32(p.cast("binary")))
     place = lambda i: i.cast("bigint") if at is None else i + at.cast("bigint")
 
     def chosen(packed: Column) -> Column:
         keep_all = F.size(packed) <= 2 * WINDOW if whole is None else whole
-        windows = F.greatest(F.size(packed) - WINDOW + 1, F.least(F.size(packed), F.lit(1)))
-        # Past the end the maximum skips nulls.
+        # The first window that is whole ends at gram ``WINDOW``; no packed gram is below the zeros.
+        first = F.greatest(F.least(F.size(packed), F.lit(WINDOW)), F.lit(1))
         highest = grown(packed, WINDOW, lambda x, y, by: F.greatest(x, y))
-        return F.when(keep_all, packed).otherwise(F.array_distinct(F.slice(highest, 1, windows)))
+        return F.when(keep_all, packed).otherwise(F.array_distinct(F.slice(highest, first, F.size(packed) - first + 1)))
 
-    polynomials = grown(F.concat(zeros, points), GRAM, lambda x, y, by: F.shiftleft(x, by) + y)
+    polynomials = grown(points, GRAM, lambda x, y, by: F.shiftleft(x, by) + y)
     packed = lambda g: F.transform(F.slice(g, skip + 1, n - skip), lambda x, i: F.shiftleft(x % PRIME, 32).bitwiseOR(place(i)))
     return let(let(polynomials, packed), chosen)
 
